@@ -7,7 +7,6 @@ carries: a carried NULL overwrites, a column not in `fields` keeps its old value
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,24 +39,53 @@ def _wire_names(column: str) -> list[str]:
     return sorted(names | {column})
 
 
-def _problems(raw: Column, values: Mapping[str, Column]) -> Column:
-    """List of reasons why a message is no valid update of its type."""
-    kind = raw["type"]
-    checks = [F.when(kind.isNull() | ~kind.isin(*schema.UPDATE_TYPES), F.lit("unknown type"))]
+def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row: a generator keeps the optimizer from copying
+    the expression into every place that refers to it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _rules() -> Column:
+    """Type name to the list of its fields' rules, as one literal map."""
+    def rule(key: str, kind: str, required: bool, nullable: bool) -> Column:
+        return F.struct(F.lit(key).alias("key"), F.lit(kind).alias("kind"), F.lit(required).alias("required"),
+                        F.lit(nullable).alias("nullable"))
+
+    pairs = []
     for name, spec in schema.UPDATE_TYPES.items():
-        mine = kind == name
-        for f in spec.fields:
-            given = raw[f.key]
-            if f.required:
-                checks.append(F.when(mine & ~F.map_contains_key(raw, f.key), F.lit(f"missing {f.key}")))
-            if not f.nullable:
-                checks.append(F.when(mine & F.map_contains_key(raw, f.key) & given.isNull(), F.lit(f"null {f.key}")))
-            bad = given.isNotNull() & values[f.name].isNull()
-            checks.append(F.when(mine & bad, F.lit(f"bad {f.key}")))
-        for stamp in (*spec.stamps, "last_modified"):
-            checks.append(F.when(mine & raw[stamp].isNotNull() & values[stamp].isNull(), F.lit(f"bad {stamp}")))
-    checks.append(F.when((kind == "Result") & raw["modified_by"].isNull(), F.lit("missing modified_by")))
-    return F.array_compact(F.array(*checks))
+        rules = [rule(f.key, schema.TABLE_TYPES[f.name], f.required, f.nullable) for f in spec.fields]
+        rules += [rule(s, "timestamp", False, True) for s in (*spec.stamps, "last_modified")]
+        rules.append(rule("modified_by", "string", name == "Result", name != "Result"))
+        pairs += [F.lit(name), F.array(*rules)]
+    return F.create_map(*pairs)
+
+
+def _misfit(raw: Column, kind: Column) -> Column:
+    """The text is there but is no value of that kind."""
+    fits = (F.when(kind == "string", F.lit(True))
+            .when(kind == "array<string>", _typed(raw, "array<string>").isNotNull())
+            .when(kind == "array<bigint>", _typed(raw, "array<bigint>").isNotNull())
+            .when(kind == "timestamp", text.iso_timestamp(raw).isNotNull())
+            .when(kind == "date", text.iso_date(raw).isNotNull())
+            .when(kind == "boolean", raw.try_cast("boolean").isNotNull())
+            .otherwise(raw.try_cast("bigint").isNotNull()))
+    return raw.isNotNull() & ~fits
+
+
+def _problems(raw: Column, domain: Column) -> Column:
+    """List of reasons why a message is no valid update of its type."""
+    rules = F.element_at(F.col("_rules"), raw["type"])
+
+    def judge(f: Column) -> Column:
+        given, there = raw[f["key"]], F.map_contains_key(raw, f["key"])
+        return (F.when(f["required"] & ~there, F.concat(F.lit("missing "), f["key"]))
+                .when(~f["nullable"] & there & given.isNull(), F.concat(F.lit("null "), f["key"]))
+                .when(_misfit(given, f["kind"]), F.concat(F.lit("bad "), f["key"])))
+
+    found = F.array_compact(F.transform(rules, judge))
+    nameless = F.array_compact(F.array(F.when(F.coalesce(domain, F.lit("")) == "", F.lit("missing domain"))))
+    return (F.when(raw.isNull(), F.array(F.lit("not a JSON object")))
+            .when(rules.isNull(), F.array(F.lit("unknown type"))).otherwise(F.concat(found, nameless)))
 
 
 def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = None,
@@ -68,57 +96,50 @@ def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = N
     tag to ours. With `parsed_only` an update carries only the columns present in its JSON; by
     default it carries every column of its type, so an absent optional one becomes NULL.
     """
-    raw = F.from_json("value", "map<string,string>")
-    kind = F.col("_raw")["type"]
+    base = _held(messages, "_json", F.from_json("value", "map<string,string>"))
+    kind = F.col("_json")["type"]
     if type_names:
         renamed = F.create_map(*[F.lit(x) for pair in type_names.items() for x in pair])
         kind = F.coalesce(renamed[kind], kind)
-    named = F.map_concat(F.map_filter("_raw", lambda k, _: k != "type"), F.create_map(F.lit("type"), kind))
-    base = (messages.withColumn("_raw", raw)
-            .withColumn("_raw", F.when(F.col("_raw").isNotNull(), named)))
+    named = F.map_concat(F.map_filter("_json", lambda k, _: k != "type"), F.create_map(F.lit("type"), kind))
+    base = _held(base, "_raw", F.when(F.col("_json").isNotNull(), named)).withColumn("_rules", _rules())
     raw = F.col("_raw")
+    domain = F.lower(F.coalesce(F.col("key"), raw["domain"]))
+    checked = _held(base, "_problems", _problems(raw, domain))
+    quarantine = (checked.where(F.size("_problems") > 0)
+                  .select("seq", "key", "value", F.array_join("_problems", "; ").alias("reason")))
 
-    values: dict[str, Column] = {}
     lowered = {f.name for t in schema.UPDATE_TYPES.values() for f in t.fields if f.lower}
-    for name, ddl in schema.TABLE_TYPES.items():
-        given = F.coalesce(*[raw[w] for w in _wire_names(name)])
-        value = _typed(given, ddl)
-        if name in lowered:
-            value = text.lower_all(value) if ddl.startswith("array") else F.lower(value)
-        values[name] = value
-    values["domain"] = F.lower(F.coalesce(F.col("key"), raw["domain"]))
-
-    problems = F.when(raw.isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(
-        _problems(raw, values), F.array_compact(F.array(F.when(F.coalesce(values["domain"], F.lit("")) == "",
-                                                                F.lit("missing domain"))))))
-    # types first, the defaults of absent bookkeeping columns after
+
+    def value_of(name: str) -> Column:
+        if name == "domain":
+            return domain
+        ddl = schema.TABLE_TYPES[name]
+        value = _typed(F.coalesce(*[raw[w] for w in _wire_names(name)]), ddl)
+        if name not in lowered:
+            return value
+        return text.lower_all(value) if ddl.startswith("array") else F.lower(value)
+
+    # defaults of absent bookkeeping columns: the arrival time
     defaults = {"last_modified": F.col("arrived"), "zonefile_date": F.to_date("arrived"),
                 "pi_import_date": F.to_date("arrived"), "pm_added": F.col("arrived"),
                 "pm_blacklisted": F.when(~F.map_contains_key(raw, "pm_blacklisted"), F.col("arrived")),
                 **{s: F.col("arrived") for t in schema.UPDATE_TYPES.values() for s in t.stamps}}
-    made_by = reduce(lambda acc, kv: acc.when(raw["type"] == kv[0], F.lit(kv[1].modified_by)),
-                     schema.UPDATE_TYPES.items(), F.when(F.lit(False), F.lit(None).cast("string")))
-    carried = reduce(lambda acc, kv: acc.when(raw["type"] == kv[0], F.array(*[F.lit(c) for c in kv[1].columns])),
-                     schema.UPDATE_TYPES.items(), F.when(F.lit(False), F.array().cast("array<string>")))
-    checked = base.withColumn("_problems", problems)
-    quarantine = (checked.where(F.size("_problems") > 0)
-                  .select("seq", "key", "value", F.array_join("_problems", "; ").alias("reason")))
-
-    def final(name: str) -> Column:
-        if name == "modified_by":
-            return F.coalesce(values[name], made_by).alias(name)
-        return (F.coalesce(values[name], defaults[name]) if name in defaults else values[name]).alias(name)
-
+    carried = F.create_map(*[x for n, t in schema.UPDATE_TYPES.items()
+                             for x in (F.lit(n), F.array(*[F.lit(c) for c in t.columns]))])[raw["type"]]
+    made_by = F.create_map(*[F.lit(x) for n, t in schema.UPDATE_TYPES.items() if t.modified_by
+                             for x in (n, t.modified_by)])
+    defaults["modified_by"] = F.try_element_at(made_by, raw["type"])
     if parsed_only:
-        present = F.array_compact(F.array(*[
-            F.when(F.array_contains(carried, c) & (F.lit(c in defaults or c == "modified_by") | reduce(
-                lambda a, b: a | b, [F.map_contains_key(raw, w) for w in _wire_names(c)])), F.lit(c))
-            for c in schema.TABLE_COLS]))
-    else:
-        present = carried
+        wires = F.create_map(*[x for c in schema.TABLE_COLS
+                               for x in (F.lit(c), F.array(*[F.lit(w) for w in _wire_names(c)]))])
+        always = F.array(*[F.lit(c) for c in defaults])
+        carried = F.filter(carried, lambda c: F.array_contains(always, c) | F.exists(
+            wires[c], lambda w: F.map_contains_key(raw, w)))
     good = checked.where(F.size("_problems") == 0)
-    updates = good.select("seq", raw["type"].alias("type"), present.alias("fields"),
-                          *[final(c) for c in schema.TABLE_COLS])
+    updates = good.select("seq", raw["type"].alias("type"), carried.alias("fields"), *[
+        F.coalesce(value_of(c), defaults[c]).alias(c) if c in defaults else value_of(c).alias(c)
+        for c in schema.TABLE_COLS])
     return updates, quarantine
 
 
