@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import text
+from zonewright.operators.once import once
 
 THROTTLED = [429, 422, 403]
 IANA_ID = "IANA Registrar ID"
@@ -14,9 +15,10 @@ IANA_ID = "IANA Registrar ID"
 # struct cannot hold two names that differ in case alone when the session ignores case, so the odd
 # spellings are renamed in the text first.
 _ID = "struct<type:string,identifier:string,other_identifier:string>"
+_ENTITIES = (f"array<struct<handle:string,roles:array<string>,publicIds:array<{_ID}>,other_public_ids:array<{_ID}>,"
+             "vcardArray:array<string>>>")
 _SHAPE = (f"struct<events:array<struct<eventAction:string,eventDate:string>>,status:string,publicIds:array<{_ID}>,"
-          f"entities:array<struct<handle:string,roles:array<string>,publicIds:array<{_ID}>,"
-          f"other_public_ids:array<{_ID}>,vcardArray:array<string>>>>")
+          f"entities:{_ENTITIES}>")
 
 
 def parse(body: Column) -> Column:
@@ -49,20 +51,24 @@ def registrar_id(doc: Column) -> Column:
     return F.coalesce(_iana(doc["publicIds"]), F.get(F.filter(inner, lambda i: i.isNotNull()), F.lit(0)))
 
 
-def _has_role(entity: Column, role: str) -> Column:
-    roles = entity["roles"]
-    if role == "registrant":
-        return F.coalesce(F.array_contains(roles, role), F.lit(False))
-    return F.coalesce(F.exists(roles, lambda r: r.startswith(role)), F.lit(False))
+def _with_role(entities: Column, role: str) -> Column:
+    """Entities of a role; administrative and technical ones by the start of the role's name."""
+    def fits(entity: Column) -> Column:
+        hit = F.exists(entity["roles"], lambda r: r == role if role == "registrant" else r.startswith(role))
+        return F.coalesce(hit, F.lit(False))
+    return F.filter(entities, fits)
 
 
-def _card(entity: Column) -> Column:
-    """Contact card as a list of properties, each a list of raw JSON texts."""
-    return F.from_json(F.get(entity["vcardArray"], F.lit(1)), "array<array<string>>")
+def opened(doc: Column) -> Column:
+    """Entities with their card parsed: a list of properties, each a list of raw JSON texts."""
+    cards = "array<array<string>>"
+    return F.transform(F.coalesce(doc["entities"], F.array().cast(_ENTITIES)), lambda e: F.struct(
+        e["roles"].alias("roles"), F.coalesce(e["handle"], F.lit("")).alias("handle"),
+        F.from_json(F.get(e["vcardArray"], F.lit(1)), cards).alias("card")))
 
 
 def _properties(entity: Column, name: str) -> Column:
-    return F.filter(_card(entity), lambda p: F.get(p, F.lit(0)) == name)
+    return F.filter(entity["card"], lambda p: F.get(p, F.lit(0)) == name)
 
 
 def _first(entity: Column, name: str) -> Column:
@@ -81,33 +87,36 @@ def _addresses(entity: Column) -> Column:
     return F.when(F.size(found) > 0, found)
 
 
-def _address_part(entity: Column, back: int) -> Column:
-    """Component counted from the end of the first address that is a list; blank is missing."""
-    lists = F.filter(_addresses(entity), lambda a: a.startswith("[") & (F.regexp_replace(a, r"\s", "") != "[]"))
-    part = F.try_element_at(F.from_json(F.get(lists, F.lit(0)), "array<string>"), F.lit(-back))
-    return F.when(part != "", part)
+def _parts(addresses: Column) -> Column:
+    """Components of the first address that is a list and not empty."""
+    lists = F.filter(addresses, lambda a: a.startswith("[") & (F.regexp_replace(a, r"\s", "") != "[]"))
+    return F.from_json(F.get(lists, F.lit(0)), "array<string>")
 
 
-def _latest_given(entities: Column, pick, kind: str) -> Column:
-    """Value of the last entity that has one."""
-    return F.aggregate(entities, F.lit(None).cast(kind), lambda acc, e: F.coalesce(pick(e), acc))
+def digested(entities: Column) -> Column:
+    """Per entity its roles and the contact details its card gives, NULL for what it lacks."""
+    def part(parts: Column, back: int) -> Column:
+        found = F.try_element_at(parts, F.lit(-back))
+        return F.when(found != "", found)
 
+    plain = F.transform(entities, lambda e: F.struct(
+        e["roles"].alias("roles"), _first(e, "fn").alias("name"), _first(e, "org").alias("organization"),
+        _phone(e).alias("phone"), _first(e, "email").alias("email"), _addresses(e).alias("adr"),
+        _parts(_addresses(e)).alias("parts")))
+    return F.transform(plain, lambda e: F.struct(
+        *[e[n].alias(n) for n in ("roles", "name", "organization", "phone", "email", "adr")],
+        part(e["parts"], 3).alias("stateprovince"), part(e["parts"], 1).alias("country")))
 
-def contacts(doc: Column) -> dict[str, Column]:
-    """name, organization, phone, email, adr, stateprovince, country of the three roles."""
+
+def contacts(details: Column) -> dict[str, Column]:
+    """Details of the three roles; a later entity overrides an earlier one with what it has."""
     out: dict[str, Column] = {}
     for ours, role in (("registrant", "registrant"), ("admin", "admin"), ("tech", "tech")):
-        mine = F.filter(F.coalesce(doc["entities"], F.array().cast(
-            "array<struct<handle:string,roles:array<string>,publicIds:array<" + _ID + ">,other_public_ids:array<"
-            + _ID + ">,vcardArray:array<string>>>")), lambda e, r=role: _has_role(e, r))
-        out[f"{ours}_name"] = _latest_given(mine, lambda e: _first(e, "fn"), "string")
-        out[f"{ours}_organization"] = _latest_given(mine, lambda e: _first(e, "org"), "string")
-        out[f"{ours}_phone"] = _latest_given(mine, _phone, "string")
-        out[f"{ours}_email"] = _latest_given(mine, lambda e: _first(e, "email"), "string")
-        out[f"{ours}_adr"] = F.coalesce(_latest_given(mine, _addresses, "array<string>"),
-                                        F.array().cast("array<string>"))
-        out[f"{ours}_stateprovince"] = _latest_given(mine, lambda e: _address_part(e, 3), "string")
-        out[f"{ours}_country"] = _latest_given(mine, lambda e: _address_part(e, 1), "string")
+        mine = _with_role(details, role)
+        for name in ("name", "organization", "phone", "email", "adr", "stateprovince", "country"):
+            given = F.filter(F.transform(mine, lambda e: e[name]), lambda v: v.isNotNull())
+            out[f"{ours}_{name}"] = F.try_element_at(given, F.lit(-1))
+        out[f"{ours}_adr"] = F.coalesce(out[f"{ours}_adr"], F.array().cast("array<string>"))
     return out
 
 
@@ -133,13 +142,13 @@ def extract_rdap(captures: DataFrame) -> dict[str, DataFrame]:
     throttled = base.where(F.col("_outcome") == "throttled").select(*head, "status_code")
     failed = base.where(F.col("_outcome") == "error").select(*head, "status_code")
 
-    docs = base.where(F.col("_outcome") == "record").withColumn("_doc", parse(F.col("rdap_json")))
+    docs = once(base.where(F.col("_outcome") == "record").select("domain", "rdap_json"), _doc=parse(F.col("rdap_json")))
+    docs = once(once(docs, _open=opened(F.col("_doc"))), _who=digested(F.col("_open")))
     doc = F.col("_doc")
     raw_dates = parse_columns(doc)
-    raw = docs.select("domain", "rdap_json", *[c.alias(f"_{n}") for n, c in raw_dates.items()],
-                      registrar_id(doc).alias("_id"), status_list(doc).alias("status"),
-                      (doc.isNull() | doc["events"].isNull() | doc["entities"].isNull()).alias("_broken"),
-                      *[c.alias(n) for n, c in contacts(doc).items()])
+    raw = once(docs, **{f"_{n}": c for n, c in raw_dates.items()}, _id=registrar_id(doc), status=status_list(doc),
+               _broken=doc.isNull() | doc["events"].isNull() | doc["entities"].isNull(),
+               **contacts(F.col("_who"))).drop("_doc", "_open", "_who")
     dates = {d: text.iso_timestamp(F.col(f"_{d}")) for d in raw_dates}
     number = F.col("_id").try_cast("bigint")
     reasons = F.array_compact(F.array(
@@ -147,7 +156,7 @@ def extract_rdap(captures: DataFrame) -> dict[str, DataFrame]:
         F.when(~F.col("_broken") & F.col("_registration_date").isNull(), F.lit("missing registration_date")),
         F.when(F.col("_id").isNotNull() & number.isNull(), F.lit("bad registrar_id")),
         *[F.when(F.col(f"_{d}").isNotNull() & v.isNull(), F.lit(f"bad {d}")) for d, v in dates.items()]))
-    judged = raw.withColumn("_reasons", reasons)
+    judged = once(raw, _reasons=reasons)
     keep = [c for c in raw.columns if not c.startswith("_") and c not in ("domain", "rdap_json")]
     records = judged.where(F.size("_reasons") == 0).select(
         *head, F.lit("RDAPResult").alias("type"), F.lit("rdap").alias("modified_by"), "rdap_json",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import text
+from zonewright.operators.once import once
 from zonewright.operators.skew import salted_join
 
 # fixed values: phrases (case counts) that mean "no such name"
@@ -36,56 +37,61 @@ NO_MATCH = [
     "Domain not found",
 ]
 
-# fixed values: line labels of each field (regular expressions, without the colon)
+# fixed values: line labels of each field
+_CONTACT_LABELS = {"name": ["Name", "Contact Name"], "organization": ["Organization"], "stateprovince": ["State/Province"],
+                   "country": ["Country"], "phone": ["Phone"], "email": ["Email"]}
 LABELS = {
-    "last_changed_date": "(?:Updated Date|Last Modified)",
-    "registration_date": "(?:Registration|Creation) Date",
-    "expiration_date": "(?:Registrar Registration Expiration Date|Registry Expiry Date|Expiration Date)",
-    "registrar_name": "(?:Registrar Name|Registrar)",
-    "registrar_id": "Registrar IANA ID",
-    "registrant": "Registrant",
-    "registrant_id": "Registrant ID",
-    **{f"{role.lower()}_{field}": f"{role} {label}"
-       for role in ("Registrant", "Admin", "Tech")
-       for field, label in (("name", "(?:Contact )?Name"), ("organization", "Organization"),
-                            ("stateprovince", "State/Province"), ("country", "Country"),
-                            ("phone", "Phone"), ("email", "Email"))},
-    "eligibility_type": "Eligibility Type",
-    "eligibility_name": "Eligibility Name",
-    "eligibility_id": "Eligibility ID",
+    "last_changed_date": ["Updated Date", "Last Modified"],
+    "registration_date": ["Registration Date", "Creation Date"],
+    "expiration_date": ["Registrar Registration Expiration Date", "Registry Expiry Date", "Expiration Date"],
+    "status": ["Status", "Domain Status"],
+    "registrar_name": ["Registrar Name", "Registrar"],
+    "registrar_id": ["Registrar IANA ID"],
+    "registrant": ["Registrant"],
+    "registrant_id": ["Registrant ID"],
+    **{f"{role.lower()}_{field}": [f"{role} {label}" for label in labels]
+       for role in ("Registrant", "Admin", "Tech") for field, labels in _CONTACT_LABELS.items()},
+    "eligibility_type": ["Eligibility Type"],
+    "eligibility_name": ["Eligibility Name"],
+    "eligibility_id": ["Eligibility ID"],
 }
-STATUS_LABEL = "(?:Domain )?Status"
 DATES = ("last_changed_date", "registration_date", "expiration_date")
 
-# a label counts at the start of a line only; blanks around it may not cross the line end
-_FLAGS, _START, _GAP = "(?mU)", r"^[^\S\n]*", r":[^\S\n]*"
+# fixed values: what counts as white space, and what of it ends a line
+LINE_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+SPACE = " \t\x1f\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b)) + "\u202f\u205f\u3000" + LINE_ENDS
 
 
 def is_no_match(body: Column) -> Column:
     return reduce(lambda a, b: a | b, [body.contains(p) for p in NO_MATCH])
 
 
-def one_line_ends(body: Column) -> Column:
-    """Every kind of line end as a plain newline."""
-    odd = "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
-    unified = F.regexp_replace(body, "\r\n?", "\n")
-    return F.translate(unified, odd, "\n" * len(odd))
+def label_lines(body: Column) -> Column:
+    """Lines `label: value` of a whole text in order, as a list of (label, value).
 
+    The label is all that stands before a line's first colon; lines without a value are left out.
+    """
+    lines = F.split(F.translate(body, LINE_ENDS, "\n" * len(LINE_ENDS)), "\n")
+    labelled = F.filter(lines, lambda line: line.contains(":"))
+    pairs = F.transform(labelled, lambda line: F.struct(
+        F.ltrim(F.substring_index(line, ":", 1), F.lit(SPACE)).alias("label"),
+        F.trim(F.substr(line, F.locate(":", line) + 1), F.lit(SPACE)).alias("value")))
+    return F.filter(pairs, lambda p: p["value"] != "")
 
-def label_values(body: Column, label: str, value: str = r"\S[^\n]*") -> Column:
-    """All values of a label in the whole text, in order of their lines."""
-    return F.regexp_extract_all(body, F.lit(f"{_FLAGS}{_START}{label}{_GAP}({value})"), F.lit(1))
 
+def known_lines(body: Column) -> Column:
+    """Label lines of the fields we keep."""
+    wanted = sorted({label for labels in LABELS.values() for label in labels})
+    return F.filter(label_lines(body), lambda p: p["label"].isin(*wanted))
 
-def last_value(body: Column, label: str) -> Column:
-    """Value of the last line with that label, NULL if there is none or it is blank."""
-    return text.strip_space(F.try_element_at(label_values(body, label), F.lit(-1)))
 
+def parse_fields(lines: Column) -> dict[str, Column]:
+    """Field texts from known lines: the last value given; for status all of them, first words only."""
+    def values(labels: list[str]) -> Column:
+        return F.transform(F.filter(lines, lambda p: p["label"].isin(*labels)), lambda p: p["value"])
 
-def parse_fields(body: Column) -> dict[str, Column]:
-    """Raw text fields of a response; `status` is the list of first words in line order."""
-    fields = {name: last_value(body, label) for name, label in LABELS.items()}
-    fields["status"] = label_values(body, STATUS_LABEL, r"\S+")
+    fields = {name: F.try_element_at(values(labels), F.lit(-1)) for name, labels in LABELS.items()}
+    fields["status"] = F.transform(values(LABELS["status"]), lambda v: F.regexp_extract(v, r"(?U)^\S+", 0))
     return fields
 
 
@@ -95,17 +101,16 @@ def extract_whois(captures: DataFrame, registrar_ids: DataFrame) -> tuple[DataFr
     `registrar_ids(registrar_name, registrar_id)` supplies the id where the text has a registrar
     but no id. A record needs a last change date, a registrar, its numeric id and a status.
     """
-    body = captures.withColumn("_nx", is_no_match(F.col("whois_text")))
+    body = once(captures.select("domain", "whois_text"), _nx=is_no_match(F.col("whois_text")))
     nx = body.where(F.col("_nx")).select(F.lower("domain").alias("domain"), F.lit("WHOISNXResult").alias("type"),
                                          F.lit("whois").alias("modified_by"), F.lit(False).alias("registered"))
-    raw = (body.where(~F.col("_nx")).withColumn("_body", one_line_ends(F.col("whois_text")))
-           .select("domain", "whois_text", *[c.alias(f"_{n}") for n, c in parse_fields(F.col("_body")).items()]))
-    ids = registrar_ids.select(F.col("registrar_name").alias("_registrar_name"),
-                               F.col("registrar_id").cast("string").alias("_found"))
-    needs = raw.where(F.col("_registrar_id").isNull() & F.col("_registrar_name").isNotNull())
-    rest = raw.where(~(F.col("_registrar_id").isNull() & F.col("_registrar_name").isNotNull()))
-    looked_up = salted_join(needs, ids, ["_registrar_name"], F.col("domain"))
-    both = rest.withColumn("_found", F.lit(None).cast("string")).unionByName(looked_up)
+    texts = body.where(~F.col("_nx")).select("domain", "whois_text")
+    lines = once(texts, _lines=known_lines(F.col("whois_text")))
+    raw = once(lines, **{f"_{n}": c for n, c in parse_fields(F.col("_lines")).items()}).drop("_lines")
+    ids = registrar_ids.select(F.col("registrar_name").alias("_name"), F.col("registrar_id").cast("string").alias("_found"))
+    # only rows without an id of their own have a key to look up; the others pass through
+    keyed = raw.withColumn("_name", F.when(F.col("_registrar_id").isNull(), F.col("_registrar_name")))
+    both = salted_join(keyed, ids, ["_name"], F.col("domain")).drop("_name")
 
     the_id = F.coalesce("_registrar_id", "_found")
     number = the_id.try_cast("bigint")
@@ -118,8 +123,8 @@ def extract_whois(captures: DataFrame, registrar_ids: DataFrame) -> tuple[DataFr
         F.when(the_id.isNotNull() & number.isNull(), F.lit("bad registrar_id")),
         F.when(F.size("_status") == 0, F.lit("missing status")),
         *[F.when(F.col(f"_{d}").isNotNull() & v.isNull(), F.lit(f"bad {d}")) for d, v in dates.items()]))
-    judged = both.withColumn("_reasons", reasons)
-    plain = [n for n in LABELS if n not in DATES and n != "registrar_id"]
+    judged = once(both, _reasons=reasons)
+    plain = [n for n in LABELS if n not in DATES and n not in ("registrar_id", "status")]
     records = judged.where(F.size("_reasons") == 0).select(
         F.lower("domain").alias("domain"), F.lit("WHOISResult").alias("type"), F.lit("whois").alias("modified_by"),
         "whois_text", F.lit(True).alias("registered"), *[v.alias(d) for d, v in dates.items()],

@@ -15,6 +15,7 @@ from zonewright import schema
 from zonewright.functions import text
 from zonewright.operators import skew
 from zonewright.operators.names import Suffixes, suffix_of
+from zonewright.operators.once import once
 
 CURRENT_SEQ = -1  # orders the stored row before every update
 
@@ -39,12 +40,6 @@ def _wire_names(column: str) -> list[str]:
     return sorted(names | {column})
 
 
-def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that is worked out once per row: a generator keeps the optimizer from copying
-    the expression into every place that refers to it."""
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def _rules() -> Column:
     """Type name to the list of its fields' rules, as one literal map."""
     def rule(key: str, kind: str, required: bool, nullable: bool) -> Column:
@@ -96,16 +91,16 @@ def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = N
     tag to ours. With `parsed_only` an update carries only the columns present in its JSON; by
     default it carries every column of its type, so an absent optional one becomes NULL.
     """
-    base = _held(messages, "_json", F.from_json("value", "map<string,string>"))
+    base = once(messages, _json=F.from_json("value", "map<string,string>"))
     kind = F.col("_json")["type"]
     if type_names:
         renamed = F.create_map(*[F.lit(x) for pair in type_names.items() for x in pair])
         kind = F.coalesce(renamed[kind], kind)
     named = F.map_concat(F.map_filter("_json", lambda k, _: k != "type"), F.create_map(F.lit("type"), kind))
-    base = _held(base, "_raw", F.when(F.col("_json").isNotNull(), named)).withColumn("_rules", _rules())
+    base = once(base, _raw=F.when(F.col("_json").isNotNull(), named)).withColumn("_rules", _rules())
     raw = F.col("_raw")
     domain = F.lower(F.coalesce(F.col("key"), raw["domain"]))
-    checked = _held(base, "_problems", _problems(raw, domain))
+    checked = once(base, _problems=_problems(raw, domain))
     quarantine = (checked.where(F.size("_problems") > 0)
                   .select("seq", "key", "value", F.array_join("_problems", "; ").alias("reason")))
 

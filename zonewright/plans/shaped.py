@@ -228,4 +228,4 @@ def suffix_sql(rows: str, host: str, keep: str) -> str:
 
 
 NORMALIZED_SQL = ("CASE WHEN suffix IS NOT NULL THEN array_to_string(list_slice(string_split(host, '.'), "
-                  "-(len(string_split(suffix, '.')) + 1), NULL), '.') END")
+                  "-(len(string_split(suffix, '.')) + 1), -1), '.') END")
