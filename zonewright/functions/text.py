@@ -21,9 +21,19 @@ _ISO = (r"^\d{4}-\d{2}-\d{2}"
         r"([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$")
 
 
+# fixed values: what counts as white space, and what of it ends a line
+LINE_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+SPACE = " \t\x1f\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b)) + "\u202f\u205f\u3000" + LINE_ENDS
+
+
 def strip_space(col: Column) -> Column:
     """Without leading and trailing white space of any kind."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.trim(col, F.lit(SPACE))
+
+
+def words(col: Column) -> Column:
+    """Text cut at white space of any kind; a blank text is one empty word."""
+    return F.split(F.trim(F.translate(col, SPACE, " " * len(SPACE))), " +")
 
 
 def lower_all(arr: Column) -> Column:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonewright.operators.once import once
 from zonewright.operators.skew import salted_join
 
 _OCTET = r"(25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -25,40 +27,42 @@ def _masked(number: Column, bits: Column) -> Column:
     return F.floor(number / F.pow(F.lit(2.0), F.lit(32) - bits)).cast("bigint")
 
 
-def longest_prefix(addresses: DataFrame, networks: DataFrame, value: str) -> DataFrame:
-    """`(addr, value)` of the most specific network that holds each address; misses are dropped.
+def longest_prefix(addresses: DataFrame, networks: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """`(addr, <out>...)`: per table the value of the most specific network that holds the address.
 
-    `addresses(addr)` must be distinct. Each address is looked up once per prefix length in use (at
-    most 33), as an equi-join on (length, network number): no range condition and no pairs of rows
-    that merely share a bucket.
+    `networks` is `{out: (table(network, prefix_len, ...), value column)}`, `addresses(addr)` must be
+    distinct. Each address is looked up once per prefix length in use (at most 33), as an equi-join
+    on (length, network number): no range condition and no pairs of rows that merely share a bucket.
+    Addresses in no network are dropped.
     """
-    lengths = sorted(r["prefix_len"] for r in networks.select("prefix_len").distinct().collect())
-    table = (networks.select(F.col("prefix_len").cast("int").alias("_bits"),
-                             _masked(ip_number(F.col("network")), F.col("prefix_len")).alias("_net"),
-                             F.col(value).cast("string").alias("_value"))
-             .where(F.col("_net").isNotNull() & F.col("_value").isNotNull())
-             .groupBy("_bits", "_net").agg(F.max("_value").alias("_value")))
-    candidates = (addresses.select("addr", ip_number(F.col("addr")).alias("_n")).where(F.col("_n").isNotNull())
-                  .select("addr", "_n", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("_bits"))
+    lengths: set[int] = set()
+    tables = []
+    for out, (table, value) in networks.items():
+        lengths |= {r["prefix_len"] for r in table.select("prefix_len").distinct().collect()}
+        tables.append(table.select(
+            F.lit(out).alias("_kind"), F.col("prefix_len").cast("int").alias("_bits"),
+            _masked(ip_number(F.col("network")), F.col("prefix_len")).alias("_net"), F.col(value).cast("string").alias("_value")))
+    known = (reduce(DataFrame.unionByName, tables).where(F.col("_net").isNotNull() & F.col("_value").isNotNull())
+             .groupBy("_bits", "_net").agg(*[F.max(F.when(F.col("_kind") == out, F.col("_value"))).alias(out) for out in networks]))
+    numbered = once(addresses.select("addr"), _n=ip_number(F.col("addr"))).where(F.col("_n").isNotNull())
+    candidates = (numbered.select("addr", "_n", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)])).alias("_bits"))
                   .select("addr", "_bits", _masked(F.col("_n"), F.col("_bits")).alias("_net")))
-    hits = candidates.join(table, ["_bits", "_net"])
-    return hits.groupBy("addr").agg(F.max_by("_value", "_bits").alias(value))
+    return candidates.join(known, ["_bits", "_net"]).groupBy("addr").agg(*[
+        F.max_by(out, F.when(F.col(out).isNotNull(), F.col("_bits"))).alias(out) for out in networks])
 
 
 def lookup_lists(rows: DataFrame, key: Sequence[str], networks: dict[str, tuple[DataFrame, str]],
                  addr: str = "addr") -> DataFrame:
-    """Per key one sorted distinct list for each named network table: `{out: (table, value column)}`.
+    """Per key one sorted distinct list for each named network table.
 
     Addresses are made distinct first, as parking and delivery networks put one address on very
     many names; the answers go back to the rows by a salted join for the same reason.
     """
     key = list(key)
     each = rows.select(*key, F.explode(addr).alias("addr"))
-    distinct = each.select("addr").distinct()
-    for out, (table, value) in networks.items():
-        each = salted_join(each, longest_prefix(distinct, table, value).withColumnRenamed(value, out), ["addr"],
-                           F.struct(*key))
-    return each.groupBy(*key).agg(*[F.array_sort(F.collect_set(out)).alias(out) for out in networks])
+    answers = longest_prefix(each.select("addr").distinct(), networks)
+    found = salted_join(each, answers, ["addr"], F.struct(*key))
+    return found.groupBy(*key).agg(*[F.array_sort(F.collect_set(out)).alias(out) for out in networks])
 
 
 def add_geo_asn(updates: DataFrame, geo: DataFrame, asn: DataFrame) -> DataFrame:

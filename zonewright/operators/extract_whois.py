@@ -57,11 +57,6 @@ LABELS = {
 }
 DATES = ("last_changed_date", "registration_date", "expiration_date")
 
-# fixed values: what counts as white space, and what of it ends a line
-LINE_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
-SPACE = " \t\x1f\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b)) + "\u202f\u205f\u3000" + LINE_ENDS
-
-
 def is_no_match(body: Column) -> Column:
     return reduce(lambda a, b: a | b, [body.contains(p) for p in NO_MATCH])
 
@@ -71,11 +66,11 @@ def label_lines(body: Column) -> Column:
 
     The label is all that stands before a line's first colon; lines without a value are left out.
     """
-    lines = F.split(F.translate(body, LINE_ENDS, "\n" * len(LINE_ENDS)), "\n")
+    lines = F.split(F.translate(body, text.LINE_ENDS, "\n" * len(text.LINE_ENDS)), "\n")
     labelled = F.filter(lines, lambda line: line.contains(":"))
     pairs = F.transform(labelled, lambda line: F.struct(
-        F.ltrim(F.substring_index(line, ":", 1), F.lit(SPACE)).alias("label"),
-        F.trim(F.substr(line, F.locate(":", line) + 1), F.lit(SPACE)).alias("value")))
+        F.ltrim(F.substring_index(line, ":", 1), F.lit(text.SPACE)).alias("label"),
+        F.trim(F.substr(line, F.locate(":", line) + 1), F.lit(text.SPACE)).alias("value")))
     return F.filter(pairs, lambda p: p["value"] != "")
 
 
@@ -91,7 +86,7 @@ def parse_fields(lines: Column) -> dict[str, Column]:
         return F.transform(F.filter(lines, lambda p: p["label"].isin(*labels)), lambda p: p["value"])
 
     fields = {name: F.try_element_at(values(labels), F.lit(-1)) for name, labels in LABELS.items()}
-    fields["status"] = F.transform(values(LABELS["status"]), lambda v: F.regexp_extract(v, r"(?U)^\S+", 0))
+    fields["status"] = F.transform(values(LABELS["status"]), lambda v: F.element_at(text.words(v), 1))
     return fields
 
 

@@ -25,6 +25,16 @@ def salted_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], spread: Col
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """A scan's rows dealt out evenly when it has fewer splits than the cluster has cores.
+
+    For costly work on each row of a few unsplittable files. With enough splits nothing is moved.
+    Only for plain scans: counting the splits of anything with a shuffle would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def order_number(col: Column, kind: str) -> Column:
     """Order column as a long, for cutting a long run of rows into blocks."""
     if kind in ("timestamp", "timestamp_ntz", "date"):

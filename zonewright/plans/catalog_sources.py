@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from zonewright.functions import text
 from zonewright.operators import dims, enrich, extract_dns, extract_rdap, extract_whois, names
 from zonewright.plans import jobs, shaped
-from zonewright.plans.shaped import HOSTS_SQL, LOG_SQL, NORMALIZED_SQL, SERVERS_SQL, current, page_hosts, suffix_sql, table
+from zonewright.plans.shaped import HOSTS_SQL, LOG_SQL, NORMALIZED_SQL, SERVERS_SQL, current, page_hosts, spread_table, suffix_sql, table
 from zonewright.sources import tables
 
 QUERIES, ORACLES = {}, {}
@@ -253,7 +253,7 @@ def _(spark, sf):
 # --- extraction ----------------------------------------------------------------------------------
 def whois_captures(spark, sf):
     """Orders as text responses: labels repeated, blank or missing, one or two statuses, some names free."""
-    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = spread_table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     status = F.col("o_orderstatus")
     prio = F.col("o_orderpriority")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -354,7 +354,7 @@ def _(spark, sf):
 
 def rdap_captures(spark, sf):
     """Orders as RDAP answers: several spellings and shapes, some statuses that are no record."""
-    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = spread_table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     key = F.col("o_orderkey").cast("string")
@@ -424,7 +424,7 @@ def _(spark, sf):
 # --- DNS answers and addresses ---------------------------------------------------------------------
 def dns_answers(spark, sf):
     """Line items as DNS answers of their customer's name."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    li = spread_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     r = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     flag = F.col("l_returnflag")

@@ -10,7 +10,7 @@ from zonewright import schema
 from zonewright.operators import history, merge, skew, snapshots
 from zonewright.plans import jobs, shaped
 from zonewright.plans.shaped import (EVENT_LOG_SQL, LOG_SQL, UPDATES_SQL, current, event_errors, event_log,
-                                     event_updates, table)
+                                     event_updates, spread_table, table)
 from zonewright.session import shared_dir
 from zonewright.sources import messages, zone
 
@@ -91,7 +91,7 @@ _NX_MESSAGES = """msgs AS (SELECT event_id AS seq, event_type, user_id, CAST(jso
 
 def event_messages(spark, sf):
     """Events as result messages on the wire; some types and values are not valid."""
-    e = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = spread_table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     kind = F.col("event_type")
     name = F.format_string("U%d.COM", F.col("user_id"))
     value = (F.when(kind == "view", F.format_string(
@@ -205,7 +205,7 @@ def zone_lines(spark, sf):
     """Line items as lines of zone text, in the forms zones come in: absolute, relative and upper case,
     with other record types in between; `prev` and `cur` tell which of two days a line is in."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")
+    li = spread_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")
     r = li.join(o, li.l_orderkey == o.o_orderkey)
     owner = F.format_string("c%d", F.col("o_custkey"))
     host = F.format_string("ns%d.s%d", F.col("l_linenumber"), F.col("l_suppkey"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewright.operators.names import Suffixes
+from zonewright.operators.skew import spread_scan
 
 AS_OF_ORDERS = "2001-06-15 00:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"
@@ -25,6 +26,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
+    """For costly work per row: columns of a table, dealt out if it comes in fewer splits than cores."""
+    t = table(spark, sf, name)
+    return spread_scan(t.select(*cols) if cols else t)
+
+
 def suffixes(spark: SparkSession) -> Suffixes:
     return Suffixes.of(spark, SUFFIXES)
 

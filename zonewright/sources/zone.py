@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewright.functions.text import strip_space
+from zonewright.functions.text import words
+from zonewright.operators.once import once
+from zonewright.operators.skew import spread_scan
 
 FILE_NAME = r"zone-([a-z0-9.\-]+)-(\d{4}-\d{2}-\d{2})\.gz"
 FIRST_IMPORT = "2024-02-17"  # imports of a suffix seen for the first time start after this day
@@ -25,10 +27,9 @@ def parse_zone_lines(lines: DataFrame, line: str = "value", tld: str = "tld", ke
     A line is owner ... type value. Short lines, the suffix's own record, other types and DNSSEC
     signatures are skipped.
     """
-    parts = F.split(strip_space(F.lower(line)), r"(?U)\s+")
-    split = lines.select(*keep, F.col(tld).alias("_tld"), parts.alias("_p")).where(F.size("_p") >= 3)
-    split = split.select(*keep, "_tld", F.col("_p")[0].alias("_owner"), F.element_at("_p", -2).alias("_type"),
-                         F.element_at("_p", -1).alias("_value"))
+    split = once(lines.select(*keep, F.col(tld).alias("_tld"), F.col(line).alias("_line")), _p=words(F.lower("_line")))
+    split = split.where(F.size("_p") >= 3).select(*keep, "_tld", F.col("_p")[0].alias("_owner"),
+                                                  F.element_at("_p", -2).alias("_type"), F.element_at("_p", -1).alias("_value"))
     ns = split.where((F.col("_type") == "ns") & (F.col("_value") != "rrsig") &
                      (F.col("_owner") != F.concat(F.col("_tld"), F.lit("."))))
     return ns.select(*keep, _absolute(F.col("_owner"), F.col("_tld")).alias("domain"),
@@ -38,8 +39,8 @@ def parse_zone_lines(lines: DataFrame, line: str = "value", tld: str = "tld", ke
 def read_zone(spark: SparkSession, path: str | Sequence[str], tld: str | None = None) -> DataFrame:
     """Records `(tld, date, domain, ns)` of one or many zone files, suffix and day from the file names.
 
-    A gz file is one split; all that happens before the next shuffle is line parsing. With `tld`
-    given, file names need not follow the pattern and `date` is NULL.
+    A gz file is one split, so where there are fewer files than cores the lines are dealt out before
+    they are parsed. With `tld` given, file names need not follow the pattern and `date` is NULL.
     """
     paths = [path] if isinstance(path, str) else list(path)
     file = F.col("_metadata.file_name")
@@ -49,6 +50,7 @@ def read_zone(spark: SparkSession, path: str | Sequence[str], tld: str | None =
                              F.regexp_extract(file, FILE_NAME, 2).try_cast("date").alias("date"))
     else:
         lines = lines.select("value", F.lit(tld).alias("tld"), F.lit(None).cast("date").alias("date"))
+    lines = spread_scan(lines)
     return parse_zone_lines(lines.withColumnRenamed("tld", "_zone").withColumn("tld", F.col("_zone")), keep=["_zone", "date"]) \
         .withColumnRenamed("_zone", "tld")
 
