@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,11 @@ RDAP_UNSUPPORTED = ["au", "be", "cm", "cn", "co", "co.ke", "co.kr", "co.za", "co
                     "in", "io", "it", "ru", "us"]
 
 
+def _local_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """From an Arrow table: Spark then knows its size before it plans a join with it."""
+    return spark.createDataFrame(pa.table({"suffix": list(dict.fromkeys(names))}))
+
+
 @dataclass(frozen=True)
 class Suffixes:
     """Suffix dimension: `table(suffix)` and the largest number of labels in it."""
@@ -25,8 +31,7 @@ class Suffixes:
 
     @staticmethod
     def of(spark: SparkSession, names: Sequence[str]) -> Suffixes:
-        table = spark.createDataFrame([(n,) for n in dict.fromkeys(names)], "suffix string").coalesce(1)
-        return Suffixes(table, max(n.count(".") + 1 for n in names))
+        return Suffixes(_local_table(spark, names), max(n.count(".") + 1 for n in names))
 
     @staticmethod
     def from_table(table: DataFrame) -> Suffixes:
@@ -112,7 +117,7 @@ def normalise_ns_domains(domains: DataFrame, suffixes: Suffixes, col: str = "ns_
 
 def rdap_unsupported(suffixes: Suffixes) -> DataFrame:
     """Suffixes to ask by WHOIS only."""
-    fixed = suffixes.table.sparkSession.createDataFrame([(n,) for n in RDAP_UNSUPPORTED], "suffix string").coalesce(1)
+    fixed = _local_table(suffixes.table.sparkSession, RDAP_UNSUPPORTED)
     return fixed.unionByName(suffixes.table.where(F.col("suffix").endswith(".au"))).distinct()
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 SALTS = 16
 HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], spread: Column,
@@ -43,26 +44,35 @@ def order_number(col: Column, kind: str) -> Column:
 
 
 def with_block(df: DataFrame, key: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_block`: 0 for the keys with few rows; for a hot key the number of its slice of `order`.
+    """Add `_hot` and `_block`: 0 for keys with few rows, for a hot key the number of its slice of `order`.
 
     Slices are of equal width between the key's least and greatest order value, so a row's block
     follows from counts and extremes alone and is the same whenever it is computed again. Rows with
-    equal order values always share a block, and blocks follow the order.
+    equal order values share a block, and blocks follow the order.
     """
     key = list(key)
     number = order_number(F.col(order), dict(df.dtypes)[order])
-    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
-           .where((F.col("_n") > hot_rows) & (F.col("_hi") > F.col("_lo")))
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
+    # The largest HOT_KEYS keys at most, so the broadcast side is bounded whatever the data is. A key
+    # beyond them has less than 1/HOT_KEYS of all rows and can stay in one piece.
+    hot = (counts.where((F.col("_n") > hot_rows) & (F.col("_hi") > F.col("_lo")))
+           .orderBy(F.desc("_n"), *key).limit(HOT_KEYS)
            .select(*key, "_lo", ((F.col("_hi") - F.col("_lo")) / (F.ceil(F.col("_n") / hot_rows) * 4)).alias("_step")))
-    # at most rows / hot_rows keys are hot, so this side is tiny by arithmetic
     block = (F.when(F.col("_step").isNull(), F.lit(0)).when(number.isNull(), F.lit(1))
              .otherwise(F.floor((number - F.col("_lo")) / F.col("_step")).cast("int") + 2))
-    return df.join(hot, key, "left").withColumn("_block", block).drop("_lo", "_step")
+    return (df.join(F.broadcast(hot), key, "left").withColumn("_block", block)
+            .withColumn("_hot", F.col("_step").isNotNull()).drop("_lo", "_step"))
+
+
+def _placed(blocked: DataFrame, key: list[str]) -> DataFrame:
+    """Rows by key and block: the slices of a hot key lie in different tasks. Asked for by hand, as
+    a partitioning by the key alone would also satisfy the window."""
+    return blocked.drop("_hot").repartition(*key, "_block")
 
 
 def _carry(blocked: DataFrame, key: list[str], order: list[Column], values: dict[str, Column]) -> DataFrame:
     """Per hot (key, block): last value of each column in all earlier blocks of the key."""
-    per_block = (blocked.where(F.col("_block") > 0).groupBy(*key, "_block")
+    per_block = (blocked.where(F.col("_hot")).groupBy(*key, "_block")
                  .agg(*[F.max_by(F.struct(v.alias("v")), F.when(v.isNotNull(), F.struct(*order))).alias(name)
                         for name, v in values.items()]))
     before = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,7 +94,7 @@ def running_last(df: DataFrame, key: Sequence[str], order: Sequence[str], values
     blocked = with_block(base, key, order[0], hot_rows)
     frame = (Window.partitionBy(*key, "_block").orderBy(*[F.col(o).asc_nulls_first() for o in order])
              .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1))
-    inner = blocked.select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(frame).alias(f"_l_{n}") for n in values])
+    inner = _placed(blocked, key).select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(frame).alias(f"_l_{n}") for n in values])
     carry = _carry(blocked, key, [F.col(o) for o in order], {n: F.col(f"_v_{n}") for n in values})
     joined = inner.join(carry, [*key, "_block"], "left")
     return joined.select(*df.columns, *[
@@ -97,10 +107,10 @@ def arrival_number(df: DataFrame, key: Sequence[str], order: Sequence[str], name
     key, order = list(key), list(order)
     blocked = with_block(df, key, order[0], hot_rows)
     within = Window.partitionBy(*key, "_block").orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    sizes = blocked.where(F.col("_block") > 0).groupBy(*key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = blocked.where(F.col("_hot")).groupBy(*key, "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offset = sizes.select(*key, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (blocked.withColumn("_rn", F.row_number().over(within)).join(offset, [*key, "_block"], "left")
+    return (_placed(blocked, key).withColumn("_rn", F.row_number().over(within)).join(offset, [*key, "_block"], "left")
             .select(*df.columns, (F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint").alias(name)))
 
 

@@ -27,6 +27,7 @@ def upsert_batch(store: VersionStore, results: DataFrame, batch_id: int, suffixe
     """
     updates, bad = decode_updates(results, type_names)
     updates = updates.persist()
+    updates.count()  # fills the cache, so that its real size is known when the joins below are planned
     try:
         current = store.current(before=batch_id, touched=updates)
         versions, rejected = apply_updates(current, updates, suffixes, enrich)
