@@ -19,7 +19,7 @@ def test_running_last_in_blocks_equals_one_window(spark):
     df = _rows(spark)
     w = Window.partitionBy("key").orderBy("at", "seq").rowsBetween(Window.unboundedPreceding, 0)
     plain = {r["seq"]: r["x"] for r in df.select("seq", F.last("v", True).over(w).alias("x")).collect()}
-    for hot_rows in (5, 20, 10_000):
+    for hot_rows in (5, 20, 10_000, None):
         got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("v")}, hot_rows=hot_rows)
         assert {r["seq"]: r["x"] for r in got.collect()} == plain
 

@@ -18,13 +18,13 @@ def _as_text(name: str, df: DataFrame) -> Column:
 
 
 def with_previous(log: DataFrame, cols: Sequence[str], key: str = "domain",
-                  order: Sequence[str] = ("last_modified", "seq"), hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                  order: Sequence[str] = ("last_modified", "seq"), hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
     """Add `_prev`: struct of `cols` in the key's version before this one, NULL for the first."""
     whole = F.struct(*[F.col(c) for c in cols])
     return skew.running_last(log, [key], order, {"_prev": whole}, include_current=False, hot_rows=hot_rows)
 
 
-def _history(log: DataFrame, cols: Sequence[str], key: str, order: Sequence[str], hot_rows: int) -> DataFrame:
+def _history(log: DataFrame, cols: Sequence[str], key: str, order: Sequence[str], hot_rows: int | None) -> DataFrame:
     texts = log.select(key, *order, *[_as_text(c, log).alias(f"_t_{c}") for c in cols])
     prev = with_previous(texts, [f"_t_{c}" for c in cols], key, order, hot_rows)
     first = F.col("_prev").isNull()
@@ -36,7 +36,7 @@ def _history(log: DataFrame, cols: Sequence[str], key: str, order: Sequence[str]
 
 
 def change_history(log: DataFrame, cols: Sequence[str], key: str = "domain",
-                   order: Sequence[str] = ("last_modified", "seq"), hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                   order: Sequence[str] = ("last_modified", "seq"), hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
     """Per version the changed fields with values before and after, as text; unchanged versions dropped.
 
     The first version of a key lists every field. Output: key, order columns, `is_first`,
@@ -47,7 +47,7 @@ def change_history(log: DataFrame, cols: Sequence[str], key: str = "domain",
 
 def change_table(log: DataFrame, cols: Sequence[str], key: str = "domain",
                  order: Sequence[str] = ("last_modified", "seq"), source: str = "modified_by",
-                 hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                 hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
     """One row per changed field: key, order columns, source, field, before, after.
 
     Before the first version stands N/A. Bookkeeping fields are shown for first versions only.

@@ -182,54 +182,65 @@ def split_unknown_suffix(updates: DataFrame, current: DataFrame, suffixes: Suffi
 
 
 # --- fold ------------------------------------------------------------------------------------
-def _cell(c: str) -> Column:
-    """NULL when the update does not carry the column, else a struct holding its value (NULL too)."""
-    return F.when(F.array_contains("fields", c), F.struct(F.col(c).alias("c")))
+def _fold(updates: DataFrame, groups: Sequence[Sequence[str]], key: str, order: Sequence[str],
+          hot_rows: int | None) -> DataFrame:
+    """Running fold of column groups: after each update `_g<i>` is the group's latest carried struct."""
+    inside = {c for g in groups for c in g}
+    kept = [c for c in updates.columns if c not in inside]
+    cells = {f"_g{i}": F.when(F.array_contains("fields", g[0]), F.struct(*g)) for i, g in enumerate(groups)}
+    lean = updates.select(*kept, *[v.alias(f"_cell{n}") for n, v in cells.items()])
+    folded = skew.running_last(lean, [key], order, {n: F.col(f"_cell{n}") for n in cells}, hot_rows=hot_rows)
+    return folded.select(*kept, *cells)
 
 
 def fold_updates(updates: DataFrame, cols: Sequence[str], key: str = "domain", order: Sequence[str] = ("seq",),
-                 hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                 hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
     """Running fold in arrival order: after each update, every column's latest carried value.
 
-    Values come wrapped, `struct<c>`: NULL wrapper = never carried so far, wrapper with NULL = was
+    Values come wrapped in a struct: NULL wrapper = never carried so far, wrapper with NULL = was
     set to NULL. A key with very many updates is folded block by block in parallel.
     """
-    kept = [c for c in updates.columns if c not in cols]
-    lean = updates.select(*kept, *[_cell(c).alias(f"_cell_{c}") for c in cols])
-    folded = skew.running_last(lean, [key], order, {f"_f_{c}": F.col(f"_cell_{c}") for c in cols}, hot_rows=hot_rows)
-    return folded.select(*kept, *[F.col(f"_f_{c}").alias(c) for c in cols])
+    folded = _fold(updates, [[c] for c in cols], key, order, hot_rows)
+    wrapped = [F.when(F.col(f"_g{i}").isNotNull(), F.struct(F.col(f"_g{i}")[c].alias("c"))).alias(c)
+               for i, c in enumerate(cols)]
+    return folded.select(*[c for c in updates.columns if c not in cols], *wrapped)
 
 
 def merge_updates(current: DataFrame, updates: DataFrame, cols: Sequence[str] | None = None,
-                  hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                  together: Sequence[Sequence[str]] | None = None, hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
     """Every version that arises: one full row per update, oldest first per domain (`seq`).
 
     The stored row of each touched domain enters the fold as its first, all-carrying update, so
     rows, updates and defaults meet in one pass over one shuffle. Only touched stored rows take
-    part: the big side is filtered by a semi join, not shuffled whole.
+    part: the big side is filtered by a semi join, not shuffled whole. `together` names columns
+    that no update carries in part; they are folded as one.
     """
     cols = [c for c in (cols or schema.TABLE_COLS) if c != "domain"]
+    groups = [list(g) for g in together] if together else [[c] for c in cols]
     touched = updates.select("domain").distinct()
     as_update = (current.join(touched, "domain", "left_semi")
                  .select(F.lit(CURRENT_SEQ).cast("bigint").alias("seq"), "domain",
-                         F.array(*[F.lit(c) for c in cols]).alias("fields"), *cols))
+                         F.array(*[F.lit(g[0]) for g in groups]).alias("fields"), *cols))
     extra = [c for c in updates.columns if c.startswith("_")]
     both = updates.select("seq", "domain", "fields", *cols, *extra).unionByName(as_update, allowMissingColumns=True)
-    folded = fold_updates(both, cols, hot_rows=hot_rows).where(F.col("seq") != CURRENT_SEQ)
-    return folded.select("seq", "domain", *[
-        F.when(F.col(c).isNull(), schema.default_value(c)).otherwise(F.col(c)["c"]).alias(c) for c in cols], *extra)
+    folded = _fold(both, groups, "domain", ["seq"], hot_rows).where(F.col("seq") != CURRENT_SEQ)
+    out = {c: F.when(F.col(f"_g{i}").isNull(), schema.default_value(c)).otherwise(F.col(f"_g{i}")[c]).alias(c)
+           for i, g in enumerate(groups) for c in g}
+    return folded.select("seq", "domain", *[out[c] for c in cols], *extra)
 
 
 def apply_updates(current: DataFrame, updates: DataFrame, suffixes: Suffixes,
-                  enrich=None, hot_rows: int = skew.HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+                  enrich=None, whole_types: bool = True, hot_rows: int | None = skew.HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """The whole step: rules, enrichment, fold, suffix fill. Returns (new versions, rejected).
 
-    `enrich` is an optional frame-to-frame step (such as address lookups) run on the updates.
+    `enrich` is an optional frame-to-frame step (such as address lookups) run on the updates. Say
+    `whole_types=False` for updates that carry only part of their type's columns.
     """
     ruled = registered_by_resolution(updates)
     if enrich is not None:
         ruled = enrich(ruled)
     usable, rejected = split_unknown_suffix(ruled, current, suffixes)
-    versions = merge_updates(current, usable, hot_rows=hot_rows)
+    together = schema.carried_together([c for c in schema.TABLE_COLS if c != "domain"]) if whole_types else None
+    versions = merge_updates(current, usable, together=together, hot_rows=hot_rows)
     filled = versions.withColumn("tld", F.coalesce(F.when(F.col("tld") != "", F.col("tld")), F.col("_suffix")))
     return filled.drop("_suffix"), rejected

@@ -81,7 +81,7 @@ def _carry(blocked: DataFrame, key: list[str], order: list[Column], values: dict
 
 
 def running_last(df: DataFrame, key: Sequence[str], order: Sequence[str], values: dict[str, Column],
-                 include_current: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 include_current: bool = True, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """For every row, the latest non-NULL of each expression over the key's rows up to this one.
 
     With `include_current=False` only earlier rows count. Wrap a value in a struct to let it be

@@ -151,6 +151,18 @@ UPDATE_TYPES: dict[str, UpdateType] = {
     ]),
 }
 
+def carried_together(columns: list[str]) -> list[list[str]]:
+    """Columns grouped so that whole-type updates carry all of a group or none of it.
+
+    `registered` stays alone: a rule adds it to updates that would not carry it.
+    """
+    groups: dict[tuple, list[str]] = {}
+    for c in columns:
+        carriers = tuple(n for n, t in UPDATE_TYPES.items() if c in t.columns)
+        groups.setdefault((c,) if c == "registered" else carriers, []).append(c)
+    return list(groups.values())
+
+
 ERROR_SCHEMA = ("uuid string, domain string, error string, error_type string, file string, line int, "
                 "traceback string, scraper string, topic string, timestamp timestamp")
 SEARCH_SCHEMA = ("id bigint, criteria array<struct<col:string,match:string,value:string>>, "

@@ -12,6 +12,7 @@ from zonewright.operators.merge import apply_updates, decode_updates
 from zonewright.operators.names import Suffixes
 from zonewright.operators.reports import rate_parts
 from zonewright.operators.selection import follow_ups
+from zonewright.operators.skew import HOT_ROWS
 from zonewright.sources import messages as msg
 from zonewright.streaming.store import VersionStore
 
@@ -27,10 +28,12 @@ def upsert_batch(store: VersionStore, results: DataFrame, batch_id: int, suffixe
     """
     updates, bad = decode_updates(results, type_names)
     updates = updates.persist()
-    updates.count()  # fills the cache, so that its real size is known when the joins below are planned
     try:
+        # fills the cache: the joins below are planned with its real size, and a batch of fewer rows
+        # than make one key hot needs no splitting of hot keys
+        few = updates.count() <= HOT_ROWS
         current = store.current(before=batch_id, touched=updates)
-        versions, rejected = apply_updates(current, updates, suffixes, enrich)
+        versions, rejected = apply_updates(current, updates, suffixes, enrich, hot_rows=None if few else HOT_ROWS)
         store.append(versions, batch_id)
         store.side_output(bad.unionByName(rejected), "quarantine", batch_id)
         requests = follow_ups(updates, suffixes)
