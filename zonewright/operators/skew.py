@@ -87,13 +87,18 @@ def running_last(df: DataFrame, key: Sequence[str], order: Sequence[str], values
     With `include_current=False` only earlier rows count. Wrap a value in a struct to let it be
     NULL itself. Rows of a key are ordered by all of `order`; the first of them cuts the blocks.
     The scan of a hot key runs block by block in parallel: inside a block a window, between blocks
-    the last values carried over (a handful of rows per hot key).
+    the last values carried over (a handful of rows per hot key). Without hot keys the second part of
+    the plan is empty and is dropped at run time. Pass `hot_rows=None` only where the rows as a whole
+    are known to be few: then no key can be hot and the blocks are left out.
     """
     key, order = list(key), list(order)
     base = df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()])
-    blocked = with_block(base, key, order[0], hot_rows)
-    frame = (Window.partitionBy(*key, "_block").orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    parts = key if hot_rows is None else [*key, "_block"]
+    frame = (Window.partitionBy(*parts).orderBy(*[F.col(o).asc_nulls_first() for o in order])
              .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1))
+    if hot_rows is None:
+        return base.select(*df.columns, *[F.last(f"_v_{n}", ignorenulls=True).over(frame).alias(n) for n in values])
+    blocked = with_block(base, key, order[0], hot_rows)
     inner = _placed(blocked, key).select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(frame).alias(f"_l_{n}") for n in values])
     carry = _carry(blocked, key, [F.col(o) for o in order], {n: F.col(f"_v_{n}") for n in values})
     joined = inner.join(carry, [*key, "_block"], "left")
