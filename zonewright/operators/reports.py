@@ -44,12 +44,19 @@ def scraped_last_day(current: DataFrame, as_of, col: str = "dns_scraped") -> Dat
 def ns_domain_report(current: DataFrame) -> DataFrame:
     """Available names that serve as nameserver domain for more than one name: `(ns, count)`.
 
-    Counted before the join, so what is shuffled is one row per nameserver domain.
+    One pass and no join: a row gives one count to each of its nameserver domains and, if it is
+    available itself, a mark to its own name. Counts and marks of a name meet in one aggregate that
+    is combined before the shuffle.
     """
-    used = (current.select(F.explode("ns_domains").alias("ns")).groupBy("ns")
-            .agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1))
-    free = current.where(~F.col("registered")).select(F.col("domain").alias("ns"))
-    return used.join(free, "ns", "left_semi").orderBy(F.desc("count"), "ns")
+    def line(name: Column, n: int, free: bool) -> Column:
+        return F.struct(name.alias("ns"), F.lit(n).cast("bigint").alias("n"), F.lit(free).alias("free"))
+
+    none = F.array().cast("array<struct<ns:string,n:bigint,free:boolean>>")
+    uses = F.coalesce(F.transform("ns_domains", lambda x: line(x, 1, False)), none)
+    own = F.when(~F.col("registered"), F.array(line(F.col("domain"), 0, True))).otherwise(none)
+    lines = current.select(F.inline(F.concat(uses, own))).where(F.col("ns").isNotNull())
+    totals = lines.groupBy("ns").agg(F.sum("n").alias("count"), F.bool_or("free").alias("_free"))
+    return totals.where(F.col("_free") & (F.col("count") > 1)).drop("_free").orderBy(F.desc("count"), "ns")
 
 
 # --- error log -------------------------------------------------------------------------------

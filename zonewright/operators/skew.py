@@ -120,20 +120,25 @@ def arrival_number(df: DataFrame, key: Sequence[str], order: Sequence[str], name
 
 
 def sorted_lists(df: DataFrame, key: Sequence[str], value: str, kinds: dict[str, Column] | None = None,
-                 name: str | None = None) -> DataFrame:
+                 with_value: Sequence[str] = (), greatest: dict[str, Column] | None = None,
+                 more: Sequence[Column] = ()) -> DataFrame:
     """Sorted lists of `value` per key with repeats kept: one list, or one per condition in `kinds`.
 
     Repeats are counted before the shuffle on the key, so a key whose rows repeat a few values
-    arrives as those few values with their counts.
+    arrives as those few values with their counts. In the same pass `greatest` gives the maximum
+    of other expressions, and `more` further aggregates over the distinct values; these may use
+    `with_value` (columns that follow from the value) and the conditions, as `_is_<name>`.
     """
-    key = list(key)
-    flags = kinds or {name or value: F.lit(True)}
-    tagged = df.select(*key, F.col(value).alias("_value"), *[c.alias(f"_is_{n}") for n, c in flags.items()])
+    key, greatest = list(key), greatest or {}
+    flags = kinds or {value: F.lit(True)}
+    tagged = df.select(*key, *with_value, F.col(value).alias("_value"), *[c.alias(f"_is_{n}") for n, c in flags.items()],
+                       *[c.alias(f"_max_{n}") for n, c in greatest.items()])
     marks = [f"_is_{n}" for n in flags]
-    counted = tagged.groupBy(*key, "_value", *marks).agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    counted = tagged.groupBy(*key, "_value", *with_value, *marks).agg(
+        F.count(F.lit(1)).cast("int").alias("_times"), *[F.max(f"_max_{n}").alias(f"_max_{n}") for n in greatest])
 
     def as_list(n: str) -> Column:
         pairs = F.collect_list(F.when(F.col(f"_is_{n}") & F.col("_value").isNotNull(), F.struct("_value", "_times")))
         return F.flatten(F.transform(F.array_sort(pairs), lambda p: F.array_repeat(p["_value"], p["_times"]))).alias(n)
 
-    return counted.groupBy(*key).agg(*[as_list(n) for n in flags])
+    return counted.groupBy(*key).agg(*[as_list(n) for n in flags], *[F.max(f"_max_{n}").alias(n) for n in greatest], *more)
