@@ -18,9 +18,8 @@ from zonewright.sources.messages import write_messages
 
 def zone_updates(changes: DataFrame, suffixes: Suffixes) -> DataFrame:
     """Zone changes `(tld, date, domain, ns)` to typed updates, stamped with midnight of the day."""
-    key = ["tld", "date", "domain"]
-    hosts = normalize_list(changes, "ns", suffixes, key, "ns_domains")
-    rows = unicode_tlds(changes.join(hosts, key))
+    # the list itself is part of the key, so nothing has to be joined back
+    rows = unicode_tlds(normalize_list(changes, "ns", suffixes, ["tld", "date", "domain", "ns"], "ns_domains"))
     cols = ["ns", "ns_domains", "tld", "zonefile_date", "modified_by", "last_modified"]
     return rows.select("domain", F.lit("ZonefileResult").alias("type"), F.array(*[F.lit(c) for c in cols]).alias("fields"),
                        "ns", "ns_domains", "tld", F.col("date").alias("zonefile_date"),
