@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from zonewright import schema
 from zonewright.operators import history, merge, skew, snapshots
 from zonewright.plans import jobs, shaped
-from zonewright.plans.shaped import (EVENT_LOG_SQL, LOG_SQL, UPDATES_SQL, current, event_errors, event_log,
+from zonewright.plans.shaped import (EVENT_LOG_SQL, LOG_SQL, UPDATES_SQL, event_errors, event_log,
                                      event_updates, spread_table, table)
 from zonewright.session import shared_dir
 from zonewright.sources import messages, zone
@@ -295,7 +295,7 @@ def _(spark, sf):
 
 
 def _ledger(spark, sf):
-    """Imports done so far: up to the account's nation-wide first customer day, none for some suffixes."""
+    """Imports done so far, two per nation; none for the nations of one region."""
     n = table(spark, sf, "nation")
     return n.where(F.col("n_regionkey") != 2).select(
         F.concat(F.lit("n"), F.col("n_nationkey")).alias("tld"),
