@@ -6,14 +6,15 @@ So that a tree fits one task, sets are first put into blocks. Of n shingles, the
 that all sets share) must hold one of any set linked with it, so sets that share none of those and are linked by no
 chain of such sets are in different blocks. Rarity comes from hashed counts over the whole table in 2^18 counters.
 
-Blocks too large for a task are cut into pieces. Each piece is joined in itself, then the pieces' largest components
+A first pass over the blocks uses the bitmaps alone and leaves the texts of documents that may have a partner; only
+those are moved for the exact pass. Blocks too large for a task are cut into pieces. Each piece is joined in itself, then the pieces' largest components
 with each other, then whatever is not in the block's largest component with all pieces. A pair of one component
 needs no test, so copies cost no pairs, and each pair across components is still tested by the trees.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +25,18 @@ from zonewright.llm import graph, storage, words
 COUNTERS = 1 << 18
 SLICE = 1 << 14
 UNIT_TOKENS = 1 << 21
+MAP_BYTES = 1 << 24
+SCREEN = 1 << 26
+SCREEN_SLICE = 1 << 16
 BUCKET_ENTRIES = 1 << 18
 LEAF = 8
 FAN = 8
 PAIRS = 1 << 15
 
-_PROFILE = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
+_PROFILE = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("map", pa.binary()),
                       ("slice", pa.int32()), ("counts", pa.binary())])
 _ENTRY = pa.schema([("bucket", pa.int32()), ("token", pa.binary()), ("doc", pa.binary()), ("low", pa.binary()),
-                    ("high", pa.binary()), ("a", pa.int64()), ("b", pa.int64())])
-_SET = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
+                    ("high", pa.binary()), ("edge", pa.binary())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -53,6 +56,14 @@ def needed(n: np.ndarray | int, percent: int):
     return -(-percent * n // 100)
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Bits of the members' hashes, at least two for each member up to 16,384 bits; a power of two, so that maps can be tiled."""
+    bits = 1 << int(np.clip(np.ceil(np.log2(2 * max(1, len(tokens)))), 7, 14))
+    flags = np.zeros(bits, bool)
+    flags[(tokens >> np.uint64(20)) % np.uint64(bits)] = True
+    return np.packbits(flags).tobytes()
+
+
 def profile(docs: DataFrame, k: int) -> DataFrame:
     """One row per document (size and fingerprint of its set) and, for each task, its counters of shingle hashes."""
 
@@ -62,7 +73,7 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
             ids, text = words.rows_of(batch, ["doc_id", "text"])
             out, gathered, held = [], [], 0
             for tokens in words.shingle_sets(text, k):
-                out.append((len(tokens), *fingerprint(tokens)))
+                out.append((len(tokens), *fingerprint(tokens), bitmap(tokens)))
                 gathered.append((tokens % np.uint64(COUNTERS)).astype(np.int32))
                 held += len(tokens)
                 if held > words.CHUNK:
@@ -70,10 +81,9 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                     gathered, held = [], 0
             if gathered:
                 counts += np.bincount(np.concatenate(gathered), minlength=COUNTERS)
-            n, a, b = (pa.array([r[i] for r in out], pa.int64()) for i in range(3))
+            cols = [pa.array([r[i] for r in out], _PROFILE.field(i + 1).type) for i in range(4)]
             empty = pa.nulls(len(out))
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), n, a, b, empty.cast(pa.int32()), empty.cast(pa.binary())],
-                                             schema=_PROFILE)
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), *cols, empty.cast(pa.int32()), empty.cast(pa.binary())], schema=_PROFILE)
         if counts.any():
             rows = [{"slice": s, "counts": counts[s * SLICE : (s + 1) * SLICE].tobytes()} for s in range(COUNTERS // SLICE)]
             yield pa.RecordBatch.from_pylist(rows, schema=_PROFILE)
@@ -102,7 +112,10 @@ def rarity(profiled: DataFrame) -> np.ndarray:
 
 
 def _sweep(token: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
-    """Chains of entries with one token whose sizes could be linked; number of its chain for each entry, in sorted order."""
+    """Entries sorted by token and size, where each chain starts, and its root: the least document in it.
+
+    A chain holds entries of one token whose size ranges are near enough for a link, directly or through others.
+    """
     order = np.lexsort((low, token))
     token, doc, low, high = token[order], doc[order], low[order], high[order]
     fresh = np.ones(len(token), bool)
@@ -111,14 +124,24 @@ def _sweep(token: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray
     most = np.maximum.accumulate(lift + high) - lift
     start = fresh.copy()
     start[1:] |= most[:-1] * 100 < percent * low[1:]
-    return token, doc, low, high, np.flatnonzero(start)
+    at = np.flatnonzero(start)
+    return token, doc, low, high, at, np.minimum.reduceat(doc, at) if len(at) else doc
 
 
-def entries(docs: DataFrame, k: int, percent: int, rare: np.ndarray, buckets: int) -> DataFrame:
-    """Packed (token, document, size range) entries by bucket of the token, and links between entries met in one task."""
+def _pairs(doc: np.ndarray, at: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Distinct (document, root of its chain) where the two differ."""
+    of = np.repeat(root, np.diff(np.append(at, len(doc))))
+    return np.unique(np.stack([doc, of], 1)[doc != of], axis=0)
+
+
+def chains(docs: DataFrame, k: int, percent: int, rare: np.ndarray, buckets: int) -> DataFrame:
+    """(local, a, b): document a is in the chain with root b. Chains are made in each task first (local), then for all.
+
+    Any two documents that may be linked share a rare token in the first ones of each, so they are in one chain.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(rare)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, seen = shared.value, set()
         token, doc, size = [], [], []
         held = 0
@@ -126,27 +149,21 @@ def entries(docs: DataFrame, k: int, percent: int, rare: np.ndarray, buckets: in
         def flush() -> Iterator[pa.RecordBatch]:
             if not token:
                 return
-            ids = np.repeat(np.array(doc, np.int64), [len(t) for t in token])
-            n = np.repeat(np.array(size, np.int64), [len(t) for t in token])
-            t, d, low, high, at = _sweep(np.concatenate(token), ids, n, n.copy(), percent)
-            run_of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(t))))
-            root = d[at][run_of]
-            edge = np.unique(np.stack([d, root], 1)[d != root], axis=0) if (d != root).any() else np.zeros((0, 2), np.int64)
-            t, d, low, high = t[at], d[at], low[at], np.maximum.reduceat(high, at)
-            bucket = (t % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            count = [len(t) for t in token]
+            n = np.repeat(np.array(size, np.int64), count)
+            t, d, low, high, at, root = _sweep(np.concatenate(token), np.repeat(np.array(doc, np.int64), count), n, n, percent)
+            edge = _pairs(d, at, root)
+            t, d, low, high = t[at], root, low[at], np.maximum.reduceat(high, at)
+            bucket, home = (t % np.uint64(buckets)).astype(np.int64), edge[:, 0] % buckets
+            order, order_e = np.argsort(bucket, kind="stable"), np.argsort(home, kind="stable")
+            cut, cut_e = (np.searchsorted(x[o], np.arange(buckets + 1)) for x, o in ((bucket, order), (home, order_e)))
             rows = []
-            for b in range(buckets):
-                pick = order[cut[b] : cut[b + 1]]
-                if len(pick):
-                    rows.append({"bucket": b, "token": t[pick].tobytes(), "doc": d[pick].tobytes(),
-                                 "low": low[pick].astype(np.int32).tobytes(), "high": high[pick].astype(np.int32).tobytes()})
+            for i in range(buckets):
+                pick, links = order[cut[i] : cut[i + 1]], edge[order_e[cut_e[i] : cut_e[i + 1]]]
+                if len(pick) or len(links):
+                    rows.append({"bucket": i, "token": t[pick].tobytes(), "doc": d[pick].tobytes(), "low": low[pick].astype(np.int32).tobytes(),
+                                 "high": high[pick].astype(np.int32).tobytes(), "edge": links.tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY)
-            if len(edge):
-                none = pa.nulls(len(edge))
-                yield pa.RecordBatch.from_arrays([none.cast(f.type) for f in list(_ENTRY)[:5]] + [pa.array(edge[:, 0]), pa.array(edge[:, 1])],
-                                                 schema=_ENTRY)
 
         for batch in batches:
             ids, text = words.rows_of(batch, ["doc_id", "text"])
@@ -164,29 +181,32 @@ def entries(docs: DataFrame, k: int, percent: int, rare: np.ndarray, buckets: in
                 doc.append(ids[i].as_py())
                 size.append(n)
                 held += p
-                if held > 2 * words.CHUNK:
+                if held > words.CHUNK // 2:
                     yield from flush()
                     token, doc, size, held = [], [], [], 0
         yield from flush()
 
-    return docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(run, _ddl(_ENTRY))
-
-
-def block_links(packed: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that put documents into one block."""
-
-    def run(t: pa.Table) -> pa.Table:
+    def chain(t: pa.Table) -> pa.Table:
         def whole(name: str, kind: type) -> np.ndarray:
             return np.concatenate([np.frombuffer(x.as_py(), kind) for x in t.column(name)])
 
-        _, doc, _, _, at = _sweep(whole("token", np.uint64), whole("doc", np.int64), whole("low", np.int32).astype(np.int64),
-                                  whole("high", np.int32).astype(np.int64), percent)
-        root = np.repeat(doc[at], np.diff(np.append(at, len(doc))))
-        pairs = np.unique(np.stack([doc, root], 1)[doc != root], axis=0)
-        return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_LINK)
+        _, doc, _, _, at, root = _sweep(whole("token", np.uint64), whole("doc", np.int64), whole("low", np.int32).astype(np.int64),
+                                        whole("high", np.int32).astype(np.int64), percent)
+        met, local = _pairs(doc, at, root), np.unique(whole("edge", np.int64).reshape(-1, 2), axis=0)
+        both = np.concatenate([met, local])
+        return pa.table({"local": pa.array(np.arange(len(both)) >= len(met)), "a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
+
+    packed = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(pack, _ddl(_ENTRY))
+    return packed.groupBy("bucket").applyInArrow(chain, "local boolean, a bigint, b bigint").distinct()
+
 
-    met = packed.where("bucket is not null").groupBy("bucket").applyInArrow(run, _ddl(_LINK))
-    return met.unionByName(packed.where("a is not null").select("a", "b")).distinct()
+def blocks_of(chained: DataFrame) -> DataFrame:
+    """(doc_id, block): a block for each chain; what was chained in a task is in all blocks of its root there."""
+    met = chained.where("not local").select("a", "b")
+    local = chained.where("local").select("a", "b")
+    through = local.withColumnRenamed("b", "r").join(met.select(F.col("a").alias("r"), "b"), "r").select("a", "b")
+    pairs = met.unionByName(local).unionByName(through)
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), "b")).select(F.col("a").alias("doc_id"), F.col("b").alias("block")).distinct()
 
 
 class _Tree:
@@ -222,6 +242,56 @@ def _fits(tree: _Tree, level: int, i: np.ndarray, j: np.ndarray, percent: int) -
     return ok
 
 
+def _plant(maps: list[bytes], size: np.ndarray, block: np.ndarray) -> _Tree:
+    """Tree of sets in the given order. Narrow maps are tiled to the widest: common members still share a bit."""
+    width = max(len(m) for m in maps)
+    bits = np.stack([np.tile(np.frombuffer(m, np.uint8), width // len(m)) for m in maps]).view(np.uint64)
+    own = np.array([int.from_bytes(m, "big").bit_count() for m in maps], np.int64)
+    return _Tree(bits, size, size - own, block)
+
+
+def _walk(tree: _Tree, block: np.ndarray, percent: int, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of documents of one block that the bitmaps leave, some at a time; `wanted` says which are still asked for."""
+    stack = [(len(tree.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while stack:
+        level, i, j = stack.pop()
+        if len(i) > PAIRS // 8 and level:
+            half = len(i) // 2
+            stack += [(level, i[half:], j[half:]), (level, i[:half], j[:half])]
+            continue
+        if not level:
+            ok = wanted(i, j)
+            i, j = i[ok], j[ok]
+        ok = _fits(tree, level, i, j, percent)
+        i, j = i[ok], j[ok]
+        if not len(i):
+            continue
+        if not level:
+            yield i, j
+            continue
+        fi, ni = tree.children(level, i)
+        fj, nj = tree.children(level, j)
+        pair = np.repeat(np.arange(len(i)), ni * nj)
+        inner = np.arange(len(pair)) - np.repeat(np.cumsum(ni * nj) - ni * nj, ni * nj)
+        ci, cj = fi[pair] + inner // nj[pair], fj[pair] + inner % nj[pair]
+        once = ci <= cj if level > 1 else (ci < cj) & (block[ci] == block[cj])
+        if once.any():
+            stack.append((level - 1, ci[once], cj[once]))
+
+
+def paired(maps: list[bytes], size: np.ndarray, block: np.ndarray, percent: int) -> np.ndarray:
+    """Flags of the sets that may be linked with another of their block, as far as bitmaps and sizes tell."""
+    order = np.lexsort((size, block))
+    found = np.zeros(len(order), bool)
+    tree = _plant([maps[i] for i in order], size[order], block[order])
+    for i, j in _walk(tree, block[order], percent, lambda x, y: ~(found[x] & found[y])):
+        found[i] = True
+        found[j] = True
+    flags = np.zeros(len(order), bool)
+    flags[order] = found
+    return flags
+
+
 def tree_join(docs: np.ndarray, sets: list[np.ndarray], block: np.ndarray, label: np.ndarray, side: np.ndarray | None,
               percent: int) -> list[tuple[int, int]]:
     """Links that join the labels of linked documents; pairs already joined are left out.
@@ -229,24 +299,14 @@ def tree_join(docs: np.ndarray, sets: list[np.ndarray], block: np.ndarray, label
     `side` (0 or 1) asks only for pairs with a document of side 1.
     """
     size = np.array([len(s) for s in sets], np.int64)
-    keep = size > 0
     least = np.array([s[0] if len(s) else 0 for s in sets], np.uint64)
     order = np.lexsort((least, size, block))
-    order = order[keep[order]]
+    order = order[size[order] > 0]
     if len(order) < 2:
         return []
     docs, block, label, size = docs[order], block[order], label[order], size[order]
     sets = [sets[i] for i in order]
     side = None if side is None else side[order]
-    bits = 1 << int(np.clip(np.ceil(np.log2(4 * size.max())), 9, 16))
-    maps = np.zeros((len(sets), bits // 8), np.uint8)
-    for r, s in enumerate(sets):
-        flags = np.zeros(bits, bool)
-        flags[(s >> np.uint64(20)) % np.uint64(bits)] = True
-        maps[r] = np.packbits(flags)
-    maps = maps.view(np.uint64)
-    spare = size - np.bitwise_count(maps).sum(1, dtype=np.int64)
-    tree = _Tree(maps, size, spare, block)
     _, root = np.unique(label, return_inverse=True)
     parent = np.arange(root.max() + 1)
 
@@ -256,35 +316,15 @@ def tree_join(docs: np.ndarray, sets: list[np.ndarray], block: np.ndarray, label
             x = parent[x]
         return x
 
+    def wanted(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        up = parent
+        while (up[up] != up).any():
+            up = up[up]
+        apart = up[root[i]] != up[root[j]]
+        return apart if side is None else apart & ((side[i] | side[j]) > 0)
+
     links = []
-    stack = [(len(tree.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    while stack:
-        level, i, j = stack.pop()
-        if len(i) > PAIRS // 8 and level:
-            half = len(i) // 2
-            stack += [(level, i[half:], j[half:]), (level, i[:half], j[:half])]
-            continue
-        ok = _fits(tree, level, i, j, percent)
-        i, j = i[ok], j[ok]
-        if not len(i):
-            continue
-        if level:
-            fi, ni = tree.children(level, i)
-            fj, nj = tree.children(level, j)
-            pair = np.repeat(np.arange(len(i)), ni * nj)
-            inner = np.arange(len(pair)) - np.repeat(np.cumsum(ni * nj) - ni * nj, ni * nj)
-            ci, cj = fi[pair] + inner // nj[pair], fj[pair] + inner % nj[pair]
-            once = ci <= cj if level > 1 else ci < cj
-            if level == 1:
-                once &= block[ci] == block[cj]
-                if side is not None:
-                    once &= (side[ci] | side[cj]) > 0
-                while (parent[parent] != parent).any():
-                    parent = parent[parent]
-                once &= parent[root[ci]] != parent[root[cj]]
-            if once.any():
-                stack.append((level - 1, ci[once], cj[once]))
-            continue
+    for i, j in _walk(_plant([bitmap(s) for s in sets], size, block), block, percent, wanted):
         for x, y in zip(i.tolist(), j.tolist()):
             a, b = find(root[x]), find(root[y])
             if a == b:
@@ -296,14 +336,38 @@ def tree_join(docs: np.ndarray, sets: list[np.ndarray], block: np.ndarray, label
     return links
 
 
-def _join_units(rows: DataFrame, percent: int) -> DataFrame:
-    """Links within each unit. rows: unit, doc_id, block, label, side (NULL or 0, 1), tokens."""
+def _screened(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """docs without most of the rows whose doc_id is not in members: a bitmap of 2^26 hashed ids, 8 MB, says which may be."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SCREEN))
+
+    def bits(t: pa.Table) -> pa.Table:
+        flags = np.zeros(SCREEN_SLICE, bool)
+        flags[t.column("slot").to_numpy() % SCREEN_SLICE] = True
+        return pa.table({"slice": t.column("slice")[:1], "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+    slots = members.select(slot.alias("slot")).distinct().withColumn("slice", F.col("slot").bitwiseAND(-SCREEN_SLICE))
+    screen = np.zeros(SCREEN // 8, np.uint8)
+    for r in slots.groupBy("slice").applyInArrow(bits, "slice bigint, bits binary").collect():
+        screen[r["slice"] // 8 : (r["slice"] + SCREEN_SLICE) // 8] = np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(screen)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            kept = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            yield batch.select([0, 1]).filter(pa.array(kept.astype(bool)))
+
+    return (docs.where("doc_id is not null").select("doc_id", "text", slot.alias("slot"))
+            .mapInArrow(keep, "doc_id bigint, text string"))
+
+
+def _join_units(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links within each unit. rows: unit, doc_id, block, label, side (NULL or 0, 1), text."""
 
     def run(t: pa.Table) -> pa.Table:
         docs, block, label = (t.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "block", "label"))
         side = None if t.column("side").null_count else t.column("side").to_numpy()
-        sets = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("tokens")]
-        links = tree_join(docs, sets, block, label, side, percent)
+        links = tree_join(docs, list(words.shingle_sets(t.column("text"), k)), block, label, side, percent)
         return pa.Table.from_pylist([{"a": a, "b": b} for a, b in links], schema=_LINK)
 
     return rows.groupBy("unit").applyInArrow(run, _ddl(_LINK))
@@ -311,8 +375,9 @@ def _join_units(rows: DataFrame, percent: int) -> DataFrame:
 
 def _relabel(members: DataFrame, links: DataFrame, path: str) -> DataFrame:
     """members with `label` replaced by the least label its links reach."""
-    ends = (links.join(members.select(F.col("doc_id").alias("a"), F.col("label").alias("la")), "a")
-            .join(members.select(F.col("doc_id").alias("b"), F.col("label").alias("lb")), "b").where("la != lb"))
+    labels = members.select("doc_id", "label").distinct()
+    ends = (links.join(labels.select(F.col("doc_id").alias("a"), F.col("label").alias("la")), "a")
+            .join(labels.select(F.col("doc_id").alias("b"), F.col("label").alias("lb")), "b").where("la != lb"))
     found = graph.components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")), path)
     return (members.join(found.withColumnRenamed("node", "label"), "label", "left")
             .withColumn("label", F.coalesce("component", "label")).drop("component"))
@@ -328,25 +393,25 @@ def links_of(docs: DataFrame, k: int, percent: int, profiled: DataFrame, path: s
     spark = docs.sparkSession
     if not total:
         return spark.createDataFrame([], _ddl(_LINK))
-    packed = storage.kept(entries(docs, k, percent, rarity(profiled), max(8, int(total // BUCKET_ENTRIES))), f"{path}/entries")
-    blocks = storage.kept(graph.components(block_links(packed, percent), f"{path}/blocks"), f"{path}/block")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, text = words.rows_of(batch, ["doc_id", "text"])
-            rows, held = [], 0
-            for i, tokens in enumerate(words.shingle_sets(text, k)):
-                rows.append({"doc_id": ids[i].as_py(), "n": len(tokens), "tokens": tokens.tobytes()})
-                held += len(tokens)
-                if held > words.CHUNK:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_SET)
-                    rows, held = [], 0
-            yield pa.RecordBatch.from_pylist(rows, schema=_SET)
-
-    chosen = docs.select("doc_id", "text").join(blocks.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    packed_sets = storage.kept(chosen.mapInArrow(sets, _ddl(_SET)), f"{path}/sets")
-    held = packed_sets.groupBy("doc_id").agg(F.sum("n").alias("n"))
-    sized = held.join(blocks.select(F.col("node").alias("doc_id"), F.col("component").alias("block")), "doc_id")
+    chained = storage.kept(chains(docs, k, percent, rarity(profiled), max(64, int(total // BUCKET_ENTRIES))), f"{path}/chains")
+    held = (profiled.where("n_shingles > 0").groupBy("doc_id")
+            .agg(F.sum("n_shingles").alias("n"), F.max(F.length("map")).alias("bytes"), F.count(F.lit(1)).alias("rows"),
+                 F.max("map").alias("map")))
+    sized = storage.kept(blocks_of(chained).join(held.drop("map"), "doc_id"), f"{path}/sized")
+    spread = (sized.groupBy("block").agg(F.sum("bytes").alias("map_bytes"), F.max("n").alias("most"), F.max("rows").alias("rows"))
+              .withColumn("whole", F.expr(f"rows > 1 or map_bytes > {MAP_BYTES}")))
+    some = int(sized.agg(F.sum("bytes")).first()[0] or 0) // (MAP_BYTES // 4)
+    bin_of = F.concat_ws("-", F.floor(F.log2("most")), F.pmod(F.xxhash64("block"), F.lit(max(4, some))))
+
+    def filtered(t: pa.Table) -> pa.Table:
+        block, size = (t.column(c).to_numpy().astype(np.int64) for c in ("block", "n"))
+        return t.select(["doc_id", "block", "n"]).filter(pa.array(paired([m.as_py() for m in t.column("map")], size, block, percent)))
+
+    judged = sized.join(spread, "block")
+    left = (judged.where("not whole").join(held.select("doc_id", "map"), "doc_id")
+            .select(bin_of.alias("unit"), "doc_id", "block", "n", "map").groupBy("unit")
+            .applyInArrow(filtered, "doc_id bigint, block bigint, n bigint"))
+    sized = storage.kept(left.unionByName(judged.where("whole").select("doc_id", "block", "n")), f"{path}/paired")
     weights = sized.groupBy("block").agg(F.sum("n").alias("weight"))
     members = storage.kept(sized.join(weights, "block").withColumn("label", F.col("doc_id")), f"{path}/members")
     bins = max(8, int((members.where(f"weight <= {UNIT_TOKENS}").agg(F.sum("n")).first()[0] or 0) // (UNIT_TOKENS // 4)))
@@ -355,9 +420,11 @@ def links_of(docs: DataFrame, k: int, percent: int, profiled: DataFrame, path: s
     unit = F.when(F.col("weight") <= UNIT_TOKENS, small).otherwise(F.concat_ws("-", F.lit("p"), F.col("block"), piece))
     none = F.lit(None).cast("int")
 
+    texts = _screened(docs, members)
+
     def joined(rows: DataFrame, name: str) -> DataFrame:
-        return storage.kept(_join_units(rows.join(packed_sets.select("doc_id", "tokens"), "doc_id")
-                                        .select("unit", "doc_id", "block", "label", "side", "tokens"), percent), f"{path}/links-{name}")
+        return storage.kept(_join_units(rows.join(texts, "doc_id")
+                                        .select("unit", "doc_id", "block", "label", "side", "text"), k, percent), f"{path}/links-{name}")
 
     first = joined(members.withColumn("unit", unit).withColumn("side", none), "1")
     large = members.where(f"weight > {UNIT_TOKENS}").withColumn("piece", piece)
