@@ -6,20 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonewright.llm import signature_tree
+from zonewright.llm import decontaminate, langid, shards, signature_tree, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    return langid.identify(table(spark, sf, "documents"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold a benchmark item, as it stands or with other names, numbers and units."""
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents linked by sets of four-word shingles with a Jaccard similarity of 0.85 or more."""
     return signature_tree.jaccard_components(table(spark, sf, "documents"), k=4, percent=85)
 
 
+def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard and slot of every document by jump consistent hashing of doc_id into 40 shards."""
+    return shards.assign(table(spark, sf, "documents"), 40)
+
+
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document by a lexicon learned from three quarters of the labels."""
+    return toxicity.detect(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

@@ -78,6 +78,31 @@ ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 
 
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+DIGIT = np.zeros(256, bool)
+DIGIT[48:58] = True
+
+
+def letter_gaps(data: np.ndarray) -> np.ndarray:
+    """Flags of the bytes between words of letters and digits: other ASCII, U+0080 to U+00BF and U+2000 to U+203F."""
+    gap = ~ALNUM[data]
+    lead = np.flatnonzero((data[:-1] == 0xC2) & (data[1:] >= 0x80))
+    gap[lead] = gap[lead + 1] = True
+    lead = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80))
+    gap[lead] = gap[lead + 1] = gap[lead + 2] = True
+    return gap
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z and the capitals of Latin-1 in lower case."""
+    out = ASCII_LOWER[data]
+    if len(out) > 1:
+        up = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+        out[up] += 0x20
+    return out
+
+
 @dataclass
 class Words:
     """Start, end and row of each word, and the number of its first word for each row (one more at the end)."""
