@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonewright.llm import decontaminate, langid, shards, signature_tree, toxicity
+from zonewright.llm import decontaminate, langid, segment, shards, signature_tree, surrogates, toxicity
+
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +21,31 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(table(spark, sf, "documents"))
 
 
+def op4_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with personal data and secrets replaced by keyed surrogates."""
+    return surrogates.replace(table(spark, sf, "documents")).select("doc_id", "text", "n_entities")
+
+
+def segmented(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Digest of the three best segmentations: size and hash of the best one's ids, scores of all, changes of the others."""
+    found = segment.segment(docs, vocabulary, 3)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.col("score").alias("best_score"),
+                        F.expr("try_element_at(others, 1).score").alias("second_score"), F.expr("try_element_at(others, 2).score").alias("third_score"),
+                        F.size("others").alias("n_others"), F.xxhash64(F.to_json("others")).alias("others_hash"), "decoded")
+
+
+def op6_sentencepiece_nbest(spark: SparkSession, sf: str) -> DataFrame:
+    """The three best segmentations of every document, decoded again."""
+    return segmented(table(spark, sf, "documents"))
+
+
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """All stages of corpus_pipeline.py."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold a benchmark item, as it stands or with other names, numbers and units."""
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -40,10 +68,13 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op4_pii_surrogates": op4_pii_surrogates,
+    "op6_sentencepiece_nbest": op6_sentencepiece_nbest,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}

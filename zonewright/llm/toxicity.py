@@ -53,26 +53,33 @@ def reach(entry: str) -> int:
     return 0 if len(entry) <= 4 else 1
 
 
-def nearest(trie: Trie, word: str, most: int = 1) -> tuple[str, int] | None:
+def nearest(trie: Trie, word: str) -> tuple[str, int] | None:
     """The entry with the fewest edits from `word`, within its reach; ties to the first by name.
 
-    A stem takes words that begin with it, without edits. The automaton's state after a path of the trie is the row of edit distances between that path and each prefix of
-    the word, cut to values up to `most`; a path is left when no state can accept.
+    A stem takes words that begin with it, without edits. The automaton's state after a path of the trie is two sets of
+    positions in the word, held as bits: those reached with no edit and with one. A path is left when both are empty.
     """
+    n = len(word)
+    at: dict[str, int] = {}
+    for j, c in enumerate(word):
+        at[c] = at.get(c, 0) | 1 << j
+    end, full = 1 << n, (2 << n) - 1
     best: tuple[int, str] | None = None
-    stack = [(trie, list(range(len(word) + 1)))]
+    stack = [(trie, 1, 3 & full)]
     while stack:
-        node, row = stack.pop()
-        if node.entry is not None and row[-1] <= min(most, reach(node.entry)) and (best is None or (row[-1], node.entry) < best):
-            best = (row[-1], node.entry)
-        if node.stem is not None and word.startswith(node.stem[:-1]) and (best is None or (0, node.stem) < best):
+        node, exact, near = stack.pop()
+        if node.entry is not None:
+            edits = 0 if exact & end else 1 if near & end else 2
+            if edits <= reach(node.entry) and (best is None or (edits, node.entry) < best):
+                best = (edits, node.entry)
+        if node.stem is not None and exact and (best is None or (0, node.stem) < best):
             best = (0, node.stem)
         for c, child in node.next.items():
-            new = [row[0] + 1]
-            for j, w in enumerate(word):
-                new.append(min(new[j] + 1, row[j + 1] + 1, row[j] + (w != c)))
-            if min(new) <= most:
-                stack.append((child, new))
+            here = at.get(c, 0)
+            moved = (exact & here) << 1
+            one = ((near & here) << 1 | exact | exact << 1 | moved << 1) & full
+            if moved or one:
+                stack.append((child, moved, one))
     return None if best is None else (best[1], best[0])
 
 
