@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonewright.llm import decontaminate, langid, segment, shards, signature_tree, surrogates, toxicity
+from zonewright.llm import archives, decontaminate, langid, quality, segment, shards, signature_tree, surrogates, toxicity, vafile
 
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -21,6 +21,16 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(table(spark, sf, "documents"))
 
 
+def op2_warc_archives(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as a WARC record in ZIP packages, read back by ranges."""
+    return archives.round_trip(table(spark, sf, "pages"))
+
+
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document from weak labels."""
+    return quality.score(table(spark, sf, "documents"))
+
+
 def op4_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with personal data and secrets replaced by keyed surrogates."""
     return surrogates.replace(table(spark, sf, "documents")).select("doc_id", "text", "n_entities")
@@ -34,6 +44,11 @@ def segmented(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                         F.size("others").alias("n_others"), F.xxhash64(F.to_json("others")).alias("others_hash"), "decoded")
 
 
+def op5_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Five nearest vectors by integer inner product for every fiftieth vector."""
+    return vafile.search(table(spark, sf, "embeddings"), k=5, every=50)
+
+
 def op6_sentencepiece_nbest(spark: SparkSession, sf: str) -> DataFrame:
     """The three best segmentations of every document, decoded again."""
     return segmented(table(spark, sf, "documents"))
@@ -68,7 +83,10 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_warc_archives": op2_warc_archives,
+    "op3_quality": op3_quality,
     "op4_pii_surrogates": op4_pii_surrogates,
+    "op5_exact_topk": op5_exact_topk,
     "op6_sentencepiece_nbest": op6_sentencepiece_nbest,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
@@ -77,4 +95,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_exact_topk": """
+        WITH x AS (SELECT vec_id, unnest(embedding) AS c, generate_subscripts(embedding, 1) AS i, len(embedding) AS n FROM embeddings),
+        v AS (SELECT vec_id, i, n, CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT) AS c FROM x
+              WHERE vec_id NOT IN (SELECT vec_id FROM x WHERE c IS NULL OR NOT isfinite(c))),
+        s AS (SELECT q.vec_id AS query_id, o.vec_id, CAST(sum(q.c * o.c) AS BIGINT) AS score
+              FROM v q JOIN v o ON q.i = o.i AND q.n = o.n AND q.vec_id <> o.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+        SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5""",
+}
