@@ -167,9 +167,9 @@ class Model:
                 quoted = max(quoted, QUOTED * w)
             else:
                 plain[entry] = max(plain.get(entry, 0.0), w)
-        plain_sum = sum(plain.values())
-        total = (plain_sum if plain_sum >= MIN_ODDS else 0.0) + quoted
-        return float(1 / (1 + np.exp(-(max(self.bare, self.base + total) if total else self.bare))))
+        found = sum(plain.values())
+        logit = max(self.bare, self.base + found) if found >= MIN_ODDS else self.bare
+        return float(1 / (1 + np.exp(-(logit + quoted))))
 
 
 def _stands_out(pos: int, neg: int, share: float, tried: int) -> bool:
