@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonewright.llm import archives, decontaminate, langid, quality, segment, shards, signature_tree, surrogates, toxicity, vafile
+from zonewright.llm import archives, decontaminate, langid, quality, segment, shards, signature_tree, storage, surrogates, toxicity, vafile
 
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    storage.small_batches(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

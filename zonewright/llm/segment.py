@@ -16,8 +16,8 @@ from zonewright.llm import words
 
 NEVER = -1e300
 LONG = 40
-STORE = 1_200_000
-CHUNK = 1 << 22
+STORE = 800_000
+CHUNK = 1 << 21
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 SCHEMA = ("doc_id bigint, ids array<int>, score double, decoded boolean, "

@@ -14,8 +14,16 @@ def _own_dir() -> str:
     return tempfile.mkdtemp(prefix="zonewright-llm-")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """At most 1,000 rows in an Arrow batch, so that whole texts in flight take a few MB, unless the session asks for fewer."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= 1000:
+        spark.conf.set(name, "1000")
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run below spark.checkpoint.dir; a temporary one only where that is unset in local mode."""
+    small_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.sparkContext.master

@@ -20,7 +20,7 @@ STEM = 4
 WINDOW = 8
 QUOTED = 0.1
 THRESHOLD = 0.3
-CACHE = 500_000
+CACHE = 100_000
 
 _WORD = re.compile(r"[^\W_]+")
 # fixed values: quotation marks, and words by which a text reports what others said

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _U = np.uint64
 
 
