@@ -23,8 +23,9 @@ def diff_snapshots(prev: DataFrame, cur: DataFrame, by: Sequence[str] = (), valu
     """
     key = [*by, "domain"]
     joined = cur.select(*key, value, F.lit(True).alias("_in")).join(
-        prev.select(*key, F.col(value).alias("_old")), key, "full_outer")
-    changed = joined.where(~F.col(value).eqNullSafe(F.col("_old")))
+        prev.select(*key, F.col(value).alias("_old"), F.lit(True).alias("_was")), key, "full_outer")
+    # presence decides, not the list: a removed row may have had none
+    changed = joined.where(F.col("_in").isNull() | F.col("_was").isNull() | ~F.col(value).eqNullSafe(F.col("_old")))
     return changed.select(*key, F.when(F.col("_in"), F.col(value)).otherwise(F.array().cast("array<string>")).alias(value))
 
 
