@@ -14,9 +14,9 @@ from zonewright.sources import tables
 W_US = """Domain Name: orchard.us\r
 Registrar: Example Registrar LLC\r
 Registrar IANA ID: 4711\r
-Updated Date: 2024-07-25T07:29:26Z\r
-Creation Date: 2020-07-15T12:34:23Z\r
-Registry Expiry Date: 2025-07-15T12:34:23Z\r
+Updated Date: 2023-03-04T05:06:07Z\r
+Creation Date: 2019-02-11T08:09:10Z\r
+Registry Expiry Date: 2026-02-11T08:09:10Z\r
 Domain Status: clientTransferProhibited https://icann.example/epp#clientTransferProhibited\r
 Registrant Name: Robin Maple\r
 Registrant Organization:\r
@@ -30,7 +30,7 @@ W_AU = """Domain Name: hillside.com.au
 Last Modified: 2024-01-09T01:02:03Z
 Registrar Name: Southern Names Pty
 Status: serverRenewProhibited
-Status Reason: Not Currently Eligible
+Status Reason: Renewal on hold
 Registrant Contact Name: Alex Fern
 Registrant: FERN, ALEX
 Registrant ID: ABN 00000000000
@@ -51,7 +51,7 @@ not at start Status: c
 
 def _whois(spark, **texts):
     raw = spark.createDataFrame([(k.replace("_", "."), v) for k, v in texts.items()], "domain string, whois_text string")
-    ids = spark.createDataFrame([("Southern Names Pty", 1609)], "registrar_name string, registrar_id bigint")
+    ids = spark.createDataFrame([("Southern Names Pty", 8123)], "registrar_name string, registrar_id bigint")
     rec, nx, bad = extract_whois.extract_whois(raw, ids)
     return ({r["domain"]: r for r in rec.collect()}, [r["domain"] for r in nx.collect()], {r["domain"]: r["reason"] for r in bad.collect()})
 
@@ -64,12 +64,12 @@ def test_whois(spark):
                           ident=base.format("Southern Names Pty") + "Registrar IANA ID: n/a\n")
     us = rec["us"]
     assert us["registered"] and us["registrar_id"] == 4711 and us["status"] == ["clientTransferProhibited"]
-    assert us["registration_date"] == datetime(2020, 7, 15, 12, 34, 23) and us["expiration_date"] == datetime(2025, 7, 15, 12, 34, 23)
-    assert us["last_changed_date"] == datetime(2024, 7, 25, 7, 29, 26)
+    assert us["registration_date"] == datetime(2019, 2, 11, 8, 9, 10) and us["expiration_date"] == datetime(2026, 2, 11, 8, 9, 10)
+    assert us["last_changed_date"] == datetime(2023, 3, 4, 5, 6, 7)
     assert (us["registrant_name"], us["registrant_organization"], us["registrant_country"]) == ("Robin Maple", None, "US")
     assert (us["admin_name"], us["admin_email"], us["tech_phone"]) == ("Kim Birch", "kim@orchard.example", "+1.5550100")
     au = rec["au"]
-    assert au["registrar_id"] == 1609 and au["status"] == ["serverRenewProhibited"] and au["registrant_name"] == "Alex Fern"
+    assert au["registrar_id"] == 8123 and au["status"] == ["serverRenewProhibited"] and au["registrant_name"] == "Alex Fern"
     assert (au["registrant"], au["registrant_id"], au["eligibility_type"], au["eligibility_name"], au["eligibility_id"]) == (
         "FERN, ALEX", "ABN 00000000000", "Company", "Hillside Trust", "ABN 11111111111")
     assert rec["rep"]["last_changed_date"] == datetime(2021, 2, 3, 4, 5, 6) and rec["rep"]["status"] == ["b", "a", "b"]

@@ -112,6 +112,21 @@ def test_encode_then_decode(spark):
     assert sorted(map(str, again.select(*first.columns).collect())) == sorted(map(str, first.collect()))
 
 
+def test_encode_then_decode_wire_names_and_odd_domains(spark):
+    roles = ("registrant", "tech", "admin")
+    contacts = {f"{r}_{p}": f"{r} {p}" for r in roles for p in ("name", "organization", "state", "country", "phone", "email")}
+    domain = 'q"b\\c.com'
+    doc = dict(type="RDAPResult", domain=domain, rdap_json='{"a":"\\\\"}', registered=True, registration_date="2024-01-01T00:00:00",
+               expiration_date=None, transfer_date=None, last_changed_date=None, **contacts, **{f"{r}_adr": ["x"] for r in roles},
+               registrar_id=7, status=["ok"])
+    first = merge.decode_updates(spark.createDataFrame([_message(1, domain, **doc)], MSG))[0]
+    wire = merge.encode_updates(first).select(F.lit(1).cast("bigint").alias("seq"), "key", "value", F.lit(T0).cast("timestamp").alias("arrived"))
+    again, bad = merge.decode_updates(wire)
+    assert bad.count() == 0
+    assert list(map(str, again.select(*first.columns).collect())) == list(map(str, first.collect()))
+    assert again.first()["registrant_stateprovince"] == "registrant state" and again.first()["domain"] == domain
+
+
 def _table_rows(spark, rows):
     return spark.createDataFrame(rows, "domain string, tld string").select(
         "domain", "tld", *[schema.default_value(c).alias(c) for c in schema.TABLE_COLS if c not in ("domain", "tld")])

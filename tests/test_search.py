@@ -132,6 +132,13 @@ def test_first_by_key_is_exact(spark, n, descending):
     assert got == sorted(order, key=str.encode)
 
 
+@pytest.mark.parametrize("n,named,nameless", [(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 2, 1), (5, 2, 2), (None, 2, 2)])
+def test_rows_without_a_key_come_last(spark, n, named, nameless):
+    df = spark.createDataFrame([("a",), (None,), ("b",), (None,)], "domain string")
+    got = [r[0] for r in search.first_by_key(df, n).collect()]
+    assert (len([g for g in got if g]), got.count(None)) == (named, nameless)
+
+
 def test_exports(rows, tmp_path, spark):
     search.export_csv(rows, str(tmp_path / "csv"))
     back = spark.read.csv(str(tmp_path / "csv"), header=True)

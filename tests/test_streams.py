@@ -81,10 +81,12 @@ def test_repeated_batch_counts_once_and_compaction_keeps_the_view(spark, tmp_pat
 
 def test_stream_errors(spark, tmp_path):
     doc = {"error": "e", "error_type": "T", "file": "f", "line": 3, "traceback": "", "scraper": "dns", "topic": "t", "timestamp": "2024-01-02T03:04:05"}
-    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    src, out, ck, bad = (str(tmp_path / n) for n in ("in", "out", "ck", "bad"))
     for i in range(2):
-        _msgs(spark, [doc, doc], i * 10, "errors").write.mode("append").parquet(src)
-        streams.stream_errors(messages.read_stream(spark, "parquet", {}, src), out, ck, NOW).awaitTermination()
+        _msgs(spark, [doc, {**doc, "timestamp": "soon"}, doc], i * 10, "errors").write.mode("append").parquet(src)
+        for running in streams.stream_errors(messages.read_stream(spark, "parquet", {}, src), out, ck, bad, NOW):
+            running.awaitTermination()
+    assert [r["reason"] for r in spark.read.parquet(bad).collect()] == ["not an error message"] * 2
     rows = spark.read.parquet(out)
     assert rows.count() == 4 and rows.select("uuid").distinct().count() == 4
     assert [str(r["day"]) for r in rows.select("day").distinct().collect()] == ["2024-01-02"]

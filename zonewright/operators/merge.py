@@ -141,15 +141,23 @@ def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = N
 def encode_updates(updates: DataFrame) -> DataFrame:
     """Typed updates as messages `(key, value)`: lower-case domain, JSON of the carried columns only."""
     cols = [c for c in updates.columns if c in schema.TABLE_TYPES and c != "domain"]
+
+    def wire_name(c: str) -> Column:
+        name = F.lit(c)
+        for kind, spec in schema.UPDATE_TYPES.items():
+            for f in spec.fields:
+                if f.name == c and f.wire:
+                    name = F.when(F.col("type") == kind, F.lit(f.wire)).otherwise(name)
+        return name
+
     as_text = [F.when(F.array_contains("fields", c), F.struct(
-        F.lit(c).alias("k"), F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}).alias("v")))
+        wire_name(c).alias("k"), F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}).alias("v")))
         for c in cols]
     # each carried column is encoded alone and joined, so an explicit NULL stays visible as null
     pairs = F.transform(F.array_compact(F.array(*as_text)), lambda p: F.concat(
         F.lit('"'), p["k"], F.lit('":'), F.substring(p["v"], 6, F.length(p["v"]) - 6)))
-    head = F.concat(F.lit('"type":"'), F.col("type"), F.lit('"'))
-    domain = F.concat(F.lit('"domain":"'), F.lower("domain"), F.lit('"'))
-    body = F.concat(F.lit("{"), F.concat_ws(",", head, domain, pairs), F.lit("}"))
+    head = F.to_json(F.struct("type", F.lower("domain").alias("domain")), {"ignoreNullFields": "false"})
+    body = F.concat(F.lit("{"), F.concat_ws(",", F.substring(head, 2, F.length(head) - 2), pairs), F.lit("}"))
     return updates.select(F.lower("domain").alias("key"), body.alias("value"))
 
 

@@ -63,14 +63,14 @@ def ns_domain_report(current: DataFrame) -> DataFrame:
 _GROUP = ["error_type", "file", "line", "scraper", "topic"]
 
 
-def recent_errors(errors: DataFrame, as_of, days: int = 3, sample: int = SAMPLE) -> DataFrame:
-    """Errors of the last days by kind: up to ten ids with their names (earliest first), count, latest.
+def recent_errors(errors: DataFrame, as_of=None, days: int | None = 3, sample: int = SAMPLE) -> DataFrame:
+    """Errors of the last days (None: all) by kind: up to ten ids with their names (earliest first), count, latest.
 
     The ten are picked by a ranked window, which keeps ten per kind in every task before the
     shuffle; a kind that makes up most of the log is never gathered. Count and latest are carried
     to it from a plain aggregate.
     """
-    recent = errors.where(F.col("timestamp") > ago(errors, "timestamp", as_of, days=days))
+    recent = errors if days is None else errors.where(F.col("timestamp") > ago(errors, "timestamp", as_of, days=days))
     totals = recent.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("count"), F.max("timestamp").alias("latest"))
     rank = Window.partitionBy(*_GROUP).orderBy("timestamp", "uuid")
     picked = (recent.select(*_GROUP, "timestamp", "uuid", "domain", F.row_number().over(rank).alias("_rn"))
@@ -79,7 +79,7 @@ def recent_errors(errors: DataFrame, as_of, days: int = 3, sample: int = SAMPLE)
     same = [totals[c].eqNullSafe(picked[c]) for c in _GROUP]
     joined = totals.join(picked, same, "inner")
     return joined.select(F.col("_s.uuid").alias("uuids"), *[totals[c] for c in _GROUP],
-                         F.col("_s.domain").alias("domains"), "count", "latest").orderBy(F.desc("count"))
+                         F.col("_s.domain").alias("domains"), "count", "latest").orderBy(F.desc("count"), *_GROUP)
 
 
 def latest_errors(errors: DataFrame, n: int = 100) -> DataFrame:

@@ -12,7 +12,6 @@ from zonewright import schema
 from zonewright.functions import text
 from zonewright.functions.criteria import Criterion, search_predicate
 
-EXPORT_CAP = 5_000_000
 FACET_SIZE = 100
 MONTHS = 12
 
@@ -114,18 +113,26 @@ def page_keyset(df: DataFrame, after: str | None, n: int, key: str = "domain") -
 
 
 # --- exports -----------------------------------------------------------------------------------
-def first_by_key(df: DataFrame, n: int, key: str = "domain", descending: bool = False,
+def first_by_key(df: DataFrame, n: int | None, key: str = "domain", descending: bool = False,
                  small: int = 100_000) -> DataFrame:
-    """The first `n` rows in the order of a unique text key, exactly, without one task seeing them all.
+    """The first `n` rows (None: all) in the order of a unique text key, exactly, without one task seeing them all.
 
     Where there are more rows than `n`, the last key to keep is found by counting names by their
     next character, level by level, until the rest is `small`; only counts reach the driver. The
-    answer is a filter on the key.
+    answer is a filter on the key. Rows without a key come last.
     """
+    if n is None:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    have = df.agg(F.count(key).alias("named"), F.count(F.lit(1)).alias("total")).first()
+    if have["total"] <= n:
+        return df
+    if have["named"] < n:
+        nameless = df.where(F.col(key).isNull()).limit(n - have["named"])
+        return df.where(F.col(key).isNotNull()).unionByName(nameless)
     keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
     prefix, left = "", n
-    if df.count() <= n:
-        return df
     while True:
         at = len(prefix) + 1
         inside = keys.where(F.col("k").startswith(prefix)) if prefix else keys
@@ -142,8 +149,8 @@ def first_by_key(df: DataFrame, n: int, key: str = "domain", descending: bool =
         prefix += char
 
 
-def export_rows(found: DataFrame, cap: int = EXPORT_CAP) -> DataFrame:
-    """All searchable columns, names last to first, lists comma-joined, at most `cap` rows."""
+def export_rows(found: DataFrame, cap: int | None = None) -> DataFrame:
+    """All searchable columns, names last to first, lists comma-joined; at most `cap` rows where one is given."""
     kinds = dict(found.dtypes)
     cols = [c for c in schema.ALL_COLS if c in kinds]
     flat = [(F.array_join(F.col(c).cast("array<string>"), ",") if kinds[c].startswith("array") else F.col(c)).alias(c)
@@ -151,16 +158,16 @@ def export_rows(found: DataFrame, cap: int = EXPORT_CAP) -> DataFrame:
     return first_by_key(found, cap, descending=True).select(*flat).orderBy(F.desc("domain"))
 
 
-def export_csv(found: DataFrame, path: str, cap: int = EXPORT_CAP) -> None:
+def export_csv(found: DataFrame, path: str, cap: int | None = None) -> None:
     """Part files in order, each with a header."""
     export_rows(found, cap).write.mode("errorifexists").csv(path, header=True)
 
 
-def domain_list(found: DataFrame, cap: int = EXPORT_CAP) -> DataFrame:
-    return first_by_key(found.select("domain"), cap).orderBy("domain")
+def domain_list(found: DataFrame, cap: int | None = None) -> DataFrame:
+    return first_by_key(found.select("domain"), cap).orderBy(F.asc_nulls_last("domain"))
 
 
-def export_domains(found: DataFrame, path: str, cap: int = EXPORT_CAP) -> None:
+def export_domains(found: DataFrame, path: str, cap: int | None = None) -> None:
     domain_list(found, cap).write.mode("errorifexists").text(path)
 
 

@@ -68,7 +68,7 @@ def _(spark, sf):
   array_to_string(list(domain ORDER BY timestamp, uuid)[1:10], ',') AS domains, count(*) AS count, max(timestamp) AS latest
   FROM errors GROUP BY error_type, file, line, scraper, topic""")
 def _(spark, sf):
-    found = reports.recent_errors(event_errors(spark, sf), AS_OF_EVENTS, days=3650)
+    found = reports.recent_errors(event_errors(spark, sf), days=None)
     return found.withColumn("uuids", F.array_join("uuids", ",")).withColumn("domains", F.array_join("domains", ","))
 
 

@@ -226,14 +226,14 @@ def _(spark, sf):
 
 
 @query("export_rows", f"""WITH {LOG_SQL} SELECT domain, registrar_id, visits_12m,
-  array_to_string(status, ',') AS status, registered FROM cur WHERE registered ORDER BY domain DESC LIMIT 5000000""")
+  array_to_string(status, ',') AS status, registered FROM cur WHERE registered ORDER BY domain DESC""")
 def _(spark, sf):
     found = search.search(current(spark, sf, "registrar_id", "visits_12m", "status", "registered"),
                           [("registered", "exact", "true")])
     return search.export_rows(found)
 
 
-@query("export_domain_list", f"WITH {LOG_SQL} SELECT domain FROM cur WHERE registered = false ORDER BY domain LIMIT 5000000")
+@query("export_domain_list", f"WITH {LOG_SQL} SELECT domain FROM cur WHERE registered = false ORDER BY domain")
 def _(spark, sf):
     return search.domain_list(search.search(current(spark, sf, "registered"), cr.available()))
 

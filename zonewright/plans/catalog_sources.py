@@ -436,13 +436,19 @@ def dns_answers(spark, sf):
                     F.when(flag == "N", "AUTHORITY").otherwise("ANSWER").alias("section"), rdata.alias("rdata"), F.lit("NOERROR").alias("rcode"))
 
 
+def _octets(key: str):
+    """A part key as the first three octets of an address, from 20.0.0 on; there is room for 15 million parts."""
+    k = F.col(key)
+    return (F.floor(k / 65536) + 20).cast("int"), F.pmod(F.floor(k / 256), F.lit(256)).cast("int"), F.pmod(k, F.lit(256)).cast("int")
+
+
 def address():
-    return F.format_string("20.%d.%d.%d", F.floor(F.col("l_partkey") / 256).cast("int"), F.pmod("l_partkey", F.lit(256)), F.col("l_linenumber"))
+    return F.format_string("%d.%d.%d.%d", *_octets("l_partkey"), F.col("l_linenumber"))
 
 
 _DNS_SQL = """ans AS (SELECT 'c' || o_custkey || '.com' AS domain, l_returnflag AS f, l_linestatus AS s,
   printf('ns%d.supplier-%09d.net', l_linenumber, l_suppkey) AS host, printf('supplier-%09d.net', l_suppkey) AS hd,
-  printf('20.%d.%d.%d', l_partkey // 256, l_partkey % 256, l_linenumber) AS ip, 'v=spf' || l_partkey AS txt
+  printf('%d.%d.%d.%d', 20 + l_partkey // 65536, (l_partkey // 256) % 256, l_partkey % 256, l_linenumber) AS ip, 'v=spf' || l_partkey AS txt
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
@@ -460,13 +466,11 @@ def networks(spark, sf):
     """Networks from parts and suppliers, nested in each other: /24, some /28 and /16."""
     p = table(spark, sf, "part")
     cc = F.concat(F.lit("C"), F.col("p_size").cast("string"))
-    third = F.pmod("p_partkey", F.lit(256))
-    second = F.floor(F.col("p_partkey") / 256).cast("int")
-    wide = p.where(F.col("p_type") != "PROMO").select(F.format_string("20.%d.%d.0", second, third).alias("network"), F.lit(24).alias("prefix_len"), cc.alias("country_code"))
-    narrow = p.where(F.col("p_type") == "SMALL").select(F.format_string("20.%d.%d.0", second, third).alias("network"), F.lit(30).alias("prefix_len"),
-                                                        F.concat(F.lit("N"), cc).alias("country_code"))
-    s = table(spark, sf, "supplier").where(F.col("s_suppkey") < 256)
-    big = s.where(F.col("s_acctbal") > 3000).select(F.format_string("20.%d.0.0", F.col("s_suppkey")).alias("network"), F.lit(16).alias("prefix_len"),
+    network = F.format_string("%d.%d.%d.0", *_octets("p_partkey")).alias("network")
+    wide = p.where(F.col("p_type") != "PROMO").select(network, F.lit(24).alias("prefix_len"), cc.alias("country_code"))
+    narrow = p.where(F.col("p_type") == "SMALL").select(network, F.lit(30).alias("prefix_len"), F.concat(F.lit("N"), cc).alias("country_code"))
+    s = table(spark, sf, "supplier").withColumn("_first", F.col("s_suppkey") * 256)
+    big = s.where(F.col("s_acctbal") > 3000).select(F.format_string("%d.%d.%d.0", *_octets("_first")).alias("network"), F.lit(16).alias("prefix_len"),
                                                    F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("country_code"))
     return wide.unionByName(narrow).unionByName(big)
 
@@ -475,7 +479,7 @@ _GEO_SQL = f"""{_DNS_SQL}, li AS (SELECT DISTINCT 'c' || o_custkey || '.com' AS
     JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'A'),
   hit AS (SELECT domain, CASE WHEN p_type = 'SMALL' AND l_linenumber < 4 THEN 'NC' || p_size WHEN p_type <> 'PROMO' THEN 'C' || p_size
     WHEN s_acctbal > 3000 THEN 'S' || s_suppkey END AS geo FROM li JOIN part ON p_partkey = l_partkey
-    LEFT JOIN supplier ON s_suppkey = l_partkey // 256 AND s_suppkey < 256)"""
+    LEFT JOIN supplier ON s_suppkey = l_partkey // 256)"""
 
 
 @query("geo_lookup", f"""WITH {_GEO_SQL} SELECT domain, array_to_string(list_sort(coalesce(list(DISTINCT geo) FILTER (geo IS NOT NULL), [])), ',') AS geo

@@ -379,7 +379,8 @@ def _(spark, sf):
     sent = e.select(F.col("domain").alias("key"), body.alias("value"), F.lit(0).cast("bigint").alias("seq"),
                     F.col("timestamp").cast("timestamp").alias("arrived"))
     source = _staged(sent, spark, f"{root}/in", "errors")
-    stream_errors(source, f"{root}/errors", f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    for running in stream_errors(source, f"{root}/errors", f"{root}/checkpoint", f"{root}/unread", {"availableNow": True}):
+        running.awaitTermination()
     out = spark.read.schema(schema.ERROR_SCHEMA + ", day date").parquet(f"{root}/errors")
     return out.groupBy("day", "error_type").agg(F.count(F.lit(1)).alias("count"), F.countDistinct("uuid").alias("uuids"))
 

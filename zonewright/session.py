@@ -34,10 +34,13 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: what the cluster names in spark.checkpoint.dir.
 
-    Only where that is unset (tests, one machine) a temporary folder is made and used.
+    Only where that is unset in local mode (tests, one machine) a temporary folder is made and used.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = tempfile.mkdtemp(prefix="zonewright-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")

@@ -52,7 +52,9 @@ class VersionStore:
     def _read(self, name: str, ddl: str) -> DataFrame | None:
         try:
             return self.spark.read.schema(ddl).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None  # nothing written yet
 
     @staticmethod

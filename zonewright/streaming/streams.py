@@ -60,13 +60,19 @@ def stream_updates(messages: DataFrame, store: VersionStore, checkpoint: str, su
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def stream_errors(messages: DataFrame, path: str, checkpoint: str,
-                  trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    """Error topic appended to the error log, by day; the file sink commits each batch once."""
-    rows = msg.error_rows(messages)[0].withColumn("day", F.to_date("timestamp"))
-    writer = (rows.writeStream.format("parquet").partitionBy("day").outputMode("append")
-              .option("path", path).option("checkpointLocation", checkpoint))
-    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
+def stream_errors(messages: DataFrame, path: str, checkpoint: str, quarantine: str,
+                  trigger: Mapping[str, object] | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """Error topic appended to the error log, by day, and its unreadable messages to `quarantine`.
+
+    Two queries, each with its own checkpoint below `checkpoint`; the file sinks commit each batch once.
+    """
+    rows, bad = msg.error_rows(messages)
+    trigger = trigger or {"processingTime": "1 second"}
+    log = (rows.withColumn("day", F.to_date("timestamp")).writeStream.format("parquet").partitionBy("day").outputMode("append")
+           .option("path", path).option("checkpointLocation", f"{checkpoint}/errors"))
+    unread = (bad.writeStream.format("parquet").outputMode("append")
+              .option("path", quarantine).option("checkpointLocation", f"{checkpoint}/quarantine"))
+    return log.trigger(**trigger).start(), unread.trigger(**trigger).start()
 
 
 def stream_request_rate(requests: DataFrame, target: str, ts: str, capacity: float, *, unit: str = "1 second",
