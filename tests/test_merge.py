@@ -55,7 +55,7 @@ def test_fold_in_one_or_two_batches_and_in_blocks(spark):
     rows = _random_updates(120, 1)
     empty = _current(spark, [])
     whole = _versions(merge.merge_updates(empty, _updates(spark, rows), COLS))
-    assert _versions(merge.merge_updates(empty, _updates(spark, rows), COLS, hot_rows=10)) == whole
+    assert _versions(merge.merge_updates(empty, _updates(spark, rows), COLS, blocks=10)) == whole
     first = merge.merge_updates(empty, _updates(spark, rows[:60]), COLS)
     latest = {}
     for (d, s), v in sorted(_versions(first).items(), key=lambda kv: kv[0][1]):

@@ -19,8 +19,8 @@ def test_running_last_in_blocks_equals_one_window(spark):
     df = _rows(spark)
     w = Window.partitionBy("key").orderBy("at", "seq").rowsBetween(Window.unboundedPreceding, 0)
     plain = {r["seq"]: r["x"] for r in df.select("seq", F.last("v", True).over(w).alias("x")).collect()}
-    for hot_rows in (5, 20, 10_000, None):
-        got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("v")}, hot_rows=hot_rows)
+    for blocks in (1, 7, 40, None):
+        got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("v")}, blocks=blocks)
         assert {r["seq"]: r["x"] for r in got.collect()} == plain
 
 
@@ -28,7 +28,7 @@ def test_previous_row_in_blocks_equals_lag(spark):
     df = _rows(spark)
     w = Window.partitionBy("key").orderBy("at", "seq")
     plain = {r["seq"]: r["x"] for r in df.select("seq", F.lag("seq").over(w).alias("x")).collect()}
-    got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("seq")}, include_current=False, hot_rows=7)
+    got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("seq")}, include_current=False, blocks=30)
     assert {r["seq"]: r["x"] for r in got.collect()} == plain
 
 
@@ -36,7 +36,7 @@ def test_arrival_number_in_blocks(spark):
     df = _rows(spark)
     w = Window.partitionBy("key").orderBy("at", "seq")
     plain = {r["seq"]: r["x"] for r in df.select("seq", F.row_number().over(w).alias("x")).collect()}
-    got = skew.arrival_number(df, ["key"], ["at", "seq"], "x", hot_rows=7)
+    got = skew.arrival_number(df, ["key"], ["at", "seq"], "x", blocks=30)
     assert {r["seq"]: r["x"] for r in got.collect()} == plain
 
 
@@ -45,15 +45,30 @@ def test_null_order_values_come_first(spark):
                                "seq bigint, key string, at bigint, v string")
     w = Window.partitionBy("key").orderBy(F.col("at").asc_nulls_first(), "seq").rowsBetween(Window.unboundedPreceding, 0)
     plain = {r["seq"]: r["x"] for r in df.select("seq", F.last("v", True).over(w).alias("x")).collect()}
-    got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("v")}, hot_rows=6)
+    got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("v")}, blocks=12)
     assert {r["seq"]: r["x"] for r in got.collect()} == plain
 
 
-def test_hot_key_is_cut_into_blocks(spark):
-    blocks = skew.with_block(_rows(spark), ["key"], "at", hot_rows=20).groupBy("key").agg(
-        F.countDistinct("_block").alias("n")).collect()
-    sizes = {r["key"]: r["n"] for r in blocks}
-    assert sizes["hot"] > 10 and sizes["k1"] == 1
+def test_no_block_is_large_whatever_the_order_values(spark):
+    # a far outlier, all order values equal, all NULL, a NULL key, a text order column
+    n, blocks = 6000, 12
+    for at in ("if(id = 0, -1000000000000, id)", "7", "cast(null as bigint)", "cast(id as string)"):
+        for key in ("'hot'", "cast(null as string)", "if(id % 3 = 0, 'hot', cast(id as string))"):
+            df = spark.range(n).selectExpr(f"{key} key", f"{at} at", "id seq")
+            sizes = [r["count"] for r in skew.in_blocks(df, ["key"], ["at", "seq"], blocks).groupBy("_block").count().collect()]
+            assert sum(sizes) == n and max(sizes) < 2 * n / blocks
+
+
+def test_ties_nulls_and_text_order_equal_one_window(spark):
+    base = spark.range(600)
+    for at in ("if(id = 0, -1000000000000, id)", "7", "cast(null as bigint)", "cast(id as string)"):
+        df = base.selectExpr("if(id % 4 = 0, null, 'h') key", f"{at} at", "id seq", "if(id % 5 = 0, cast(id as string), null) v")
+        w = Window.partitionBy("key").orderBy(F.col("at").asc_nulls_first(), "seq").rowsBetween(Window.unboundedPreceding, 0)
+        plain = {r["seq"]: (r["x"], r["n"]) for r in df.select("seq", F.last("v", True).over(w).alias("x"), F.count("*").over(w).alias("n")).collect()}
+        got = skew.running_last(df, ["key"], ["at", "seq"], {"x": F.col("v")}, blocks=9)
+        assert {r["seq"]: r["x"] for r in got.collect()} == {k: x for k, (x, _) in plain.items()}
+        numbered = skew.arrival_number(df, ["key"], ["at", "seq"], "n", blocks=9)
+        assert {r["seq"]: r["n"] for r in numbered.collect()} == {k: n for k, (_, n) in plain.items()}
 
 
 def test_salted_join_keeps_every_row(spark):

@@ -18,15 +18,15 @@ def _as_text(name: str, df: DataFrame) -> Column:
 
 
 def with_previous(log: DataFrame, cols: Sequence[str], key: str = "domain",
-                  order: Sequence[str] = ("last_modified", "seq"), hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
+                  order: Sequence[str] = ("last_modified", "seq"), blocks: int | None = None) -> DataFrame:
     """Add `_prev`: struct of `cols` in the key's version before this one, NULL for the first."""
     whole = F.struct(*[F.col(c) for c in cols])
-    return skew.running_last(log, [key], order, {"_prev": whole}, include_current=False, hot_rows=hot_rows)
+    return skew.running_last(log, [key], order, {"_prev": whole}, include_current=False, blocks=blocks)
 
 
-def _history(log: DataFrame, cols: Sequence[str], key: str, order: Sequence[str], hot_rows: int | None) -> DataFrame:
+def _history(log: DataFrame, cols: Sequence[str], key: str, order: Sequence[str], blocks: int | None) -> DataFrame:
     texts = log.select(key, *order, *[_as_text(c, log).alias(f"_t_{c}") for c in cols])
-    prev = with_previous(texts, [f"_t_{c}" for c in cols], key, order, hot_rows)
+    prev = with_previous(texts, [f"_t_{c}" for c in cols], key, order, blocks)
     first = F.col("_prev").isNull()
     changes = F.array_compact(F.array(*[
         F.when(first | ~F.col(f"_t_{c}").eqNullSafe(F.col("_prev")[f"_t_{c}"]),
@@ -36,24 +36,24 @@ def _history(log: DataFrame, cols: Sequence[str], key: str, order: Sequence[str]
 
 
 def change_history(log: DataFrame, cols: Sequence[str], key: str = "domain",
-                   order: Sequence[str] = ("last_modified", "seq"), hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
+                   order: Sequence[str] = ("last_modified", "seq"), blocks: int | None = None) -> DataFrame:
     """Per version the changed fields with values before and after, as text; unchanged versions dropped.
 
     The first version of a key lists every field. Output: key, order columns, `is_first`,
     `changes array<struct<field,before,after>>`.
     """
-    return _history(log, cols, key, order, hot_rows).select(key, *order, "is_first", "changes")
+    return _history(log, cols, key, order, blocks).select(key, *order, "is_first", "changes")
 
 
 def change_table(log: DataFrame, cols: Sequence[str], key: str = "domain",
                  order: Sequence[str] = ("last_modified", "seq"), source: str = "modified_by",
-                 hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
+                 blocks: int | None = None) -> DataFrame:
     """One row per changed field: key, order columns, source, field, before, after.
 
     Before the first version stands N/A. Bookkeeping fields are shown for first versions only.
     """
     watched = [source, *[c for c in cols if c != source]]
-    listed = (_history(log, watched, key, order, hot_rows)
+    listed = (_history(log, watched, key, order, blocks)
               .select(key, *order, F.col(f"_t_{source}").alias(source), "is_first", F.explode("changes").alias("_c")))
     shown = listed.where(F.col("is_first") | ~F.col("_c.field").isin(*BOOKKEEPING))
     before = F.when(F.col("is_first"), F.lit("N/A")).otherwise(F.col("_c.before"))

@@ -191,31 +191,31 @@ def split_unknown_suffix(updates: DataFrame, current: DataFrame, suffixes: Suffi
 
 # --- fold ------------------------------------------------------------------------------------
 def _fold(updates: DataFrame, groups: Sequence[Sequence[str]], key: str, order: Sequence[str],
-          hot_rows: int | None) -> DataFrame:
+          blocks: int | None) -> DataFrame:
     """Running fold of column groups: after each update `_g<i>` is the group's latest carried struct."""
     inside = {c for g in groups for c in g}
     kept = [c for c in updates.columns if c not in inside]
     cells = {f"_g{i}": F.when(F.array_contains("fields", g[0]), F.struct(*g)) for i, g in enumerate(groups)}
     lean = updates.select(*kept, *[v.alias(f"_cell{n}") for n, v in cells.items()])
-    folded = skew.running_last(lean, [key], order, {n: F.col(f"_cell{n}") for n in cells}, hot_rows=hot_rows)
+    folded = skew.running_last(lean, [key], order, {n: F.col(f"_cell{n}") for n in cells}, blocks=blocks)
     return folded.select(*kept, *cells)
 
 
 def fold_updates(updates: DataFrame, cols: Sequence[str], key: str = "domain", order: Sequence[str] = ("seq",),
-                 hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
+                 blocks: int | None = None) -> DataFrame:
     """Running fold in arrival order: after each update, every column's latest carried value.
 
     Values come wrapped in a struct: NULL wrapper = never carried so far, wrapper with NULL = was
-    set to NULL. A key with very many updates is folded block by block in parallel.
+    set to NULL. The fold runs in ordered blocks, so a key with very many updates is folded in parallel.
     """
-    folded = _fold(updates, [[c] for c in cols], key, order, hot_rows)
+    folded = _fold(updates, [[c] for c in cols], key, order, blocks)
     wrapped = [F.when(F.col(f"_g{i}").isNotNull(), F.struct(F.col(f"_g{i}")[c].alias("c"))).alias(c)
                for i, c in enumerate(cols)]
     return folded.select(*[c for c in updates.columns if c not in cols], *wrapped)
 
 
 def merge_updates(current: DataFrame, updates: DataFrame, cols: Sequence[str] | None = None,
-                  together: Sequence[Sequence[str]] | None = None, hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
+                  together: Sequence[Sequence[str]] | None = None, blocks: int | None = None) -> DataFrame:
     """Every version that arises: one full row per update, oldest first per domain (`seq`).
 
     The stored row of each touched domain enters the fold as its first, all-carrying update, so
@@ -231,14 +231,14 @@ def merge_updates(current: DataFrame, updates: DataFrame, cols: Sequence[str] |
                          F.array(*[F.lit(g[0]) for g in groups]).alias("fields"), *cols))
     extra = [c for c in updates.columns if c.startswith("_")]
     both = updates.select("seq", "domain", "fields", *cols, *extra).unionByName(as_update, allowMissingColumns=True)
-    folded = _fold(both, groups, "domain", ["seq"], hot_rows).where(F.col("seq") != CURRENT_SEQ)
+    folded = _fold(both, groups, "domain", ["seq"], blocks).where(F.col("seq") != CURRENT_SEQ)
     out = {c: F.when(F.col(f"_g{i}").isNull(), schema.default_value(c)).otherwise(F.col(f"_g{i}")[c]).alias(c)
            for i, g in enumerate(groups) for c in g}
     return folded.select("seq", "domain", *[out[c] for c in cols], *extra)
 
 
 def apply_updates(current: DataFrame, updates: DataFrame, suffixes: Suffixes,
-                  enrich=None, whole_types: bool = True, hot_rows: int | None = skew.HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+                  enrich=None, whole_types: bool = True, blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The whole step: rules, enrichment, fold, suffix fill. Returns (new versions, rejected).
 
     `enrich` is an optional frame-to-frame step (such as address lookups) run on the updates. Say
@@ -249,6 +249,6 @@ def apply_updates(current: DataFrame, updates: DataFrame, suffixes: Suffixes,
         ruled = enrich(ruled)
     usable, rejected = split_unknown_suffix(ruled, current, suffixes)
     together = schema.carried_together([c for c in schema.TABLE_COLS if c != "domain"]) if whole_types else None
-    versions = merge_updates(current, usable, together=together, hot_rows=hot_rows)
+    versions = merge_updates(current, usable, together=together, blocks=blocks)
     filled = versions.withColumn("tld", F.coalesce(F.when(F.col("tld") != "", F.col("tld")), F.col("_suffix")))
     return filled.drop("_suffix"), rejected

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonewright.session import checkpointed
+
 SALTS = 16
-HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], spread: Column,
@@ -36,87 +36,76 @@ def spread_scan(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def order_number(col: Column, kind: str) -> Column:
-    """Order column as a long, for cutting a long run of rows into blocks."""
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(col.cast("timestamp"))
-    return col.cast("bigint")
+def in_blocks(df: DataFrame, key: Sequence[str], order: Sequence[str], blocks: int | None = None) -> DataFrame:
+    """Rows range-partitioned by key and order, stored once, with `_block`: the number of the row's range.
+
+    The ranges follow the ranks of the rows over all of `key` and `order`, so a key with many rows, many
+    equal or NULL order values or a far outlier covers as many ranges as it has rows for; only rows that
+    agree in the key and in every order column stay together. Order columns may be of any sortable type.
+    The bounds come from a sample, so the rows are checkpointed with their block: whatever is
+    computed again later, or after an executor was lost, sees the same blocks. `blocks` defaults to the
+    session's shuffle partitions, merged by adaptive execution where there is little data.
+    """
+    sort = [F.col(c).asc_nulls_first() for c in [*key, *order]]
+    placed = df.repartitionByRange(*([blocks] if blocks else []), *sort)
+    return checkpointed(placed.withColumn("_block", F.spark_partition_id()))
 
 
-def with_block(df: DataFrame, key: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_hot` and `_block`: 0 for keys with few rows, for a hot key the number of its slice of `order`.
+def _carry(keyed: DataFrame, newest: dict[str, Column], carried: dict[str, Column]) -> DataFrame:
+    """`(_k, _block, carried...)` for the first key of every block, from the earlier blocks that it fills.
 
-    Slices are of equal width between the key's least and greatest order value, so a row's block
-    follows from counts and extremes alone and is the same whenever it is computed again. Rows with
-    equal order values share a block, and blocks follow the order.
+    Only the last key of a block can go on in the next one. `newest` are aggregates over a block that each
+    give a struct `(k, v)`; v counts if k is the last key. So one row per block is left after one aggregate,
+    and the window for `carried` runs over twice as many rows as there are blocks.
     """
-    key = list(key)
-    number = order_number(F.col(order), dict(df.dtypes)[order])
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
-    # The largest HOT_KEYS keys at most, so the broadcast side is bounded whatever the data is. A key
-    # beyond them has less than 1/HOT_KEYS of all rows and can stay in one piece.
-    hot = (counts.where((F.col("_n") > hot_rows) & (F.col("_hi") > F.col("_lo")))
-           .orderBy(F.desc("_n"), *key).limit(HOT_KEYS)
-           .select(*key, "_lo", ((F.col("_hi") - F.col("_lo")) / (F.ceil(F.col("_n") / hot_rows) * 4)).alias("_step")))
-    block = (F.when(F.col("_step").isNull(), F.lit(0)).when(number.isNull(), F.lit(1))
-             .otherwise(F.floor((number - F.col("_lo")) / F.col("_step")).cast("int") + 2))
-    return (df.join(F.broadcast(hot), key, "left").withColumn("_block", block)
-            .withColumn("_hot", F.col("_step").isNotNull()).drop("_lo", "_step"))
-
-
-def _placed(blocked: DataFrame, key: list[str]) -> DataFrame:
-    """Rows by key and block: the slices of a hot key lie in different tasks. Asked for by hand, as
-    a partitioning by the key alone would also satisfy the window."""
-    return blocked.drop("_hot").repartition(*key, "_block")
-
-
-def _carry(blocked: DataFrame, key: list[str], order: list[Column], values: dict[str, Column]) -> DataFrame:
-    """Per hot (key, block): last value of each column in all earlier blocks of the key."""
-    per_block = (blocked.where(F.col("_hot")).groupBy(*key, "_block")
-                 .agg(*[F.max_by(F.struct(v.alias("v")), F.when(v.isNotNull(), F.struct(*order))).alias(name)
-                        for name, v in values.items()]))
-    before = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    return per_block.select(*key, "_block",
-                            *[F.last(n, ignorenulls=True).over(before).alias(f"_c_{n}") for n in values])
+    ends = keyed.groupBy("_block").agg(F.min("_k").alias("_first"), F.max("_k").alias("_last"),
+                                       *[c.alias(n) for n, c in newest.items()])
+    of_last = [F.when(F.col(n)["k"] == F.col("_last"), F.col(n)["v"]).alias(n) for n in newest]
+    none = [F.when(F.lit(False), F.col(n)["v"]).alias(n) for n in newest]
+    both = ends.select("_block", F.explode(F.array(F.struct(F.lit(0).alias("end"), F.col("_first").alias("_k"), *none),
+                                                   F.struct(F.lit(1).alias("end"), F.col("_last").alias("_k"), *of_last))).alias("e"))
+    before = Window.partitionBy("_k").orderBy("_block", "end").rowsBetween(Window.unboundedPreceding, -1)
+    return (both.select("_block", "e.*").select("_k", "_block", "end", *[c.over(before).alias(n) for n, c in carried.items()])
+            .where("end = 0").drop("end"))
 
 
 def running_last(df: DataFrame, key: Sequence[str], order: Sequence[str], values: dict[str, Column],
-                 include_current: bool = True, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                 include_current: bool = True, blocks: int | None = None) -> DataFrame:
     """For every row, the latest non-NULL of each expression over the key's rows up to this one.
 
     With `include_current=False` only earlier rows count. Wrap a value in a struct to let it be
-    NULL itself. Rows of a key are ordered by all of `order`; the first of them cuts the blocks.
-    The scan of a hot key runs block by block in parallel: inside a block a window, between blocks
-    the last values carried over (a handful of rows per hot key). Without hot keys the second part of
-    the plan is empty and is dropped at run time. Pass `hot_rows=None` only where the rows as a whole
-    are known to be few: then no key can be hot and the blocks are left out.
+    NULL itself. Rows of a key are ordered by all of `order`. The rows are stored once in ordered
+    blocks (`in_blocks`); inside a block a window gives the value, and into the next block the last values
+    of the one key that goes on are carried over (one row per block, so that side is broadcast).
     """
-    key, order = list(key), list(order)
-    base = df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()])
-    parts = key if hot_rows is None else [*key, "_block"]
-    frame = (Window.partitionBy(*parts).orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    key, order, names = list(key), list(order), list(values)
+    blocked = in_blocks(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]), key, order, blocks)
+    keyed = blocked.withColumn("_k", F.struct(*key))
+    frame = (Window.partitionBy(*key, "_block").orderBy(*[F.col(o).asc_nulls_first() for o in order])
              .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1))
-    if hot_rows is None:
-        return base.select(*df.columns, *[F.last(f"_v_{n}", ignorenulls=True).over(frame).alias(n) for n in values])
-    blocked = with_block(base, key, order[0], hot_rows)
-    inner = _placed(blocked, key).select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(frame).alias(f"_l_{n}") for n in values])
-    carry = _carry(blocked, key, [F.col(o) for o in order], {n: F.col(f"_v_{n}") for n in values})
-    joined = inner.join(carry, [*key, "_block"], "left")
-    return joined.select(*df.columns, *[
-        F.coalesce(F.col(f"_l_{n}"), F.col(f"_c_{n}")["v"]).alias(n) for n in values])
+    inner = keyed.select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(frame).alias(f"_l_{n}") for n in names])
+
+    def newest(n: str) -> Column:
+        held = F.struct(F.col(f"_v_{n}").alias("v"))  # NULL only where no value was found, not where the value is NULL
+        return F.max_by(F.struct(F.col("_k").alias("k"), held.alias("v")),
+                        F.when(F.col(f"_v_{n}").isNotNull(), F.struct("_k", *order)))
+
+    carry = _carry(keyed, {f"_p_{n}": newest(n) for n in names},
+                   {f"_c_{n}": F.last(f"_p_{n}", ignorenulls=True) for n in names})
+    joined = inner.join(F.broadcast(carry), ["_k", "_block"], "left")
+    return joined.select(*df.columns, *[F.coalesce(F.col(f"_l_{n}"), F.col(f"_c_{n}")["v"]).alias(n) for n in names])
 
 
 def arrival_number(df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "seq",
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Number the rows of each key 1, 2, ... in `order`; a hot key is numbered block by block."""
+                   blocks: int | None = None) -> DataFrame:
+    """Number the rows of each key 1, 2, ... in `order`, block by block as in `running_last`."""
     key, order = list(key), list(order)
-    blocked = with_block(df, key, order[0], hot_rows)
+    keyed = in_blocks(df, key, order, blocks).withColumn("_k", F.struct(*key))
     within = Window.partitionBy(*key, "_block").orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    sizes = blocked.where(F.col("_hot")).groupBy(*key, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offset = sizes.select(*key, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (_placed(blocked, key).withColumn("_rn", F.row_number().over(within)).join(offset, [*key, "_block"], "left")
-            .select(*df.columns, (F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint").alias(name)))
+    numbered = keyed.withColumn("_rn", F.row_number().over(within).cast("bigint"))
+    carry = _carry(numbered, {"_n": F.max(F.struct(F.col("_k").alias("k"), F.col("_rn").alias("v")))}, {"_before": F.sum("_n")})
+    return (numbered.join(F.broadcast(carry), ["_k", "_block"], "left")
+            .select(*df.columns, (F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).alias(name)))
 
 
 def sorted_lists(df: DataFrame, key: Sequence[str], value: str, kinds: dict[str, Column] | None = None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the sizing: initial partitions are coalesced, skewed join partitions are
 # split, and a join side is broadcast only after its real size was seen to be under the threshold.
@@ -15,6 +15,8 @@ CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpoints go once no frame refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -44,3 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
         where = tempfile.mkdtemp(prefix="zonewright-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df worked out once and kept in the shared folder: later jobs and lost executors start from there."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint(eager=True)
