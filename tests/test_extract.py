@@ -183,6 +183,39 @@ def test_extractor_registry(spark):
     assert extractor("rdap")(raw).first()["type"] == "RDAPNXResult"
 
 
+def test_extracted_rows_end_in_merged_rows(spark):
+    from datetime import datetime
+    from zonewright import schema
+    from zonewright.operators import merge
+    s, at = Suffixes.of(spark, ["us", "com.au", "com"]), datetime(2024, 5, 6, 7, 8, 9)
+    ids = spark.createDataFrame([("Southern Names Pty", 77)], "registrar_name string, registrar_id bigint")
+    texts = spark.createDataFrame([("Orchard.US", W_US), ("hillside.com.au", W_AU), ("free.us", "No Data Found")],
+                                  "domain string, whois_text string")
+    dns = spark.createDataFrame([("orchard.us", "A", "ANSWER", "10.0.0.1", "NOERROR"), ("orchard.us", "NS", "AUTHORITY", "NS1.Host.com.", "NOERROR")],
+                                "domain string, rrtype string, section string, rdata string, rcode string")
+    rdap = spark.createDataFrame([("gone.com", 404, None)], "domain string, status_code int, rdap_json string")
+    arrived = F.lit(at)
+    parts = [merge.as_updates(extractor("whois")(texts, ids), F.lit(1), arrived),
+             merge.as_updates(extractor("dns")(dns, s), F.lit(2), arrived),
+             merge.as_updates(extractor("rdap")(rdap), F.lit(3), arrived)]
+    updates = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    back, bad = merge.decode_updates(merge.encode_updates(updates).select(F.lit(1).cast("bigint").alias("seq"), "key", "value", arrived.alias("arrived")))
+    assert bad.count() == 0 and back.count() == updates.count()
+    empty = spark.createDataFrame([], schema.table_schema())
+    rows, rejected = merge.apply_updates(empty, updates, s)
+    got = {(r["domain"], r["seq"]): r for r in rows.collect()}
+    assert rejected.count() == 0 and got[("gone.com", 3)]["registered"] is False and got[("gone.com", 3)]["rdap_scraped"] == at
+    last = got[("orchard.us", 2)]
+    assert (last["registrar_id"], last["registered"], last["tld"], last["addr"], last["ns"]) == (4711, True, "us", ["10.0.0.1"], ["ns1.host.com"])
+    assert last["whois_scraped"] == at and last["dns_scraped"] == at and last["rdap_scraped"] is None and last["modified_by"] == "dns"
+    for odd in ("Nothing", None):
+        try:
+            merge.as_updates(dns.select("domain", F.lit(odd).cast("string").alias("type")), F.lit(1), arrived).collect()
+            raise AssertionError("no error")
+        except Exception as e:
+            assert "unknown update type" in str(e)
+
+
 def test_text_functions(spark):
     def one(col, value=None):
         return spark.createDataFrame([(value,)], "v string").select(col.alias("x")).first()["x"]

@@ -83,6 +83,55 @@ def _problems(raw: Column, domain: Column) -> Column:
             .when(rules.isNull(), F.array(F.lit("unknown type"))).otherwise(F.concat(found, nameless)))
 
 
+_LOWERED = {f.name for t in schema.UPDATE_TYPES.values() for f in t.fields if f.lower}
+
+
+def _lowered(name: str, value: Column) -> Column:
+    if name not in _LOWERED:
+        return value
+    return text.lower_all(value) if schema.TABLE_TYPES[name].startswith("array") else F.lower(value)
+
+
+def _carried(kind: Column) -> Column:
+    """Names of the columns that an update of a type overwrites, NULL for an unknown type."""
+    pairs = [x for n, t in schema.UPDATE_TYPES.items() for x in (F.lit(n), F.array(*[F.lit(c) for c in t.columns]))]
+    return F.try_element_at(F.create_map(*pairs), kind)
+
+
+def _arrival_defaults(arrived: Column, kind: Column) -> dict[str, Column]:
+    """Values of absent bookkeeping columns: the arrival time, and who makes updates of the type."""
+    makers = [F.lit(x) for n, t in schema.UPDATE_TYPES.items() if t.modified_by for x in (n, t.modified_by)]
+    return {"last_modified": arrived, "zonefile_date": F.to_date(arrived), "pi_import_date": F.to_date(arrived),
+            "pm_added": arrived, **{s: arrived for t in schema.UPDATE_TYPES.values() for s in t.stamps},
+            "modified_by": F.try_element_at(F.create_map(*makers), kind)}
+
+
+def as_updates(extracted: DataFrame, seq: Column, arrived: Column, kind: str | None = None) -> DataFrame:
+    """Rows of any extractor as whole-type updates for `encode_updates`, `merge_updates` and `apply_updates`.
+
+    The type is `kind` or the rows' own `type`; an unknown one raises. `seq` orders the rows by arrival and must
+    follow from the row alone; `arrived` fills the bookkeeping columns the rows lack or leave NULL. Other columns of
+    the type that the rows lack become NULL, columns that are not in the table are left out.
+    """
+    tag = F.col("type") if kind is None else F.lit(kind)
+    fields = F.coalesce(_carried(tag), F.raise_error(F.concat(F.lit("unknown update type "), F.coalesce(tag, F.lit("NULL")))))
+    defaults = _arrival_defaults(arrived, tag)
+    if "pm_blacklisted" not in extracted.columns:
+        defaults["pm_blacklisted"] = arrived
+
+    def value_of(c: str) -> Column:
+        ddl = schema.TABLE_TYPES[c]
+        value = _lowered(c, F.col(c).cast(ddl)) if c in extracted.columns else F.lit(None).cast(ddl)
+        if c == "domain":
+            return F.lower(value)
+        if c in defaults:
+            value = F.coalesce(value, F.when(F.array_contains(_carried(tag), c), defaults[c]).cast(ddl))
+        return value
+
+    return extracted.select(seq.cast("bigint").alias("seq"), tag.alias("type"), fields.alias("fields"),
+                            *[value_of(c).alias(c) for c in schema.TABLE_COLS])
+
+
 def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = None,
                    parsed_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """JSON messages `(seq, key, value, arrived)` to (valid updates, quarantine).
@@ -104,27 +153,15 @@ def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = N
     quarantine = (checked.where(F.size("_problems") > 0)
                   .select("seq", "key", "value", F.array_join("_problems", "; ").alias("reason")))
 
-    lowered = {f.name for t in schema.UPDATE_TYPES.values() for f in t.fields if f.lower}
-
     def value_of(name: str) -> Column:
         if name == "domain":
             return domain
         ddl = schema.TABLE_TYPES[name]
-        value = _typed(F.coalesce(*[raw[w] for w in _wire_names(name)]), ddl)
-        if name not in lowered:
-            return value
-        return text.lower_all(value) if ddl.startswith("array") else F.lower(value)
-
-    # defaults of absent bookkeeping columns: the arrival time
-    defaults = {"last_modified": F.col("arrived"), "zonefile_date": F.to_date("arrived"),
-                "pi_import_date": F.to_date("arrived"), "pm_added": F.col("arrived"),
-                "pm_blacklisted": F.when(~F.map_contains_key(raw, "pm_blacklisted"), F.col("arrived")),
-                **{s: F.col("arrived") for t in schema.UPDATE_TYPES.values() for s in t.stamps}}
-    carried = F.create_map(*[x for n, t in schema.UPDATE_TYPES.items()
-                             for x in (F.lit(n), F.array(*[F.lit(c) for c in t.columns]))])[raw["type"]]
-    made_by = F.create_map(*[F.lit(x) for n, t in schema.UPDATE_TYPES.items() if t.modified_by
-                             for x in (n, t.modified_by)])
-    defaults["modified_by"] = F.try_element_at(made_by, raw["type"])
+        return _lowered(name, _typed(F.coalesce(*[raw[w] for w in _wire_names(name)]), ddl))
+
+    defaults = _arrival_defaults(F.col("arrived"), raw["type"])
+    defaults["pm_blacklisted"] = F.when(~F.map_contains_key(raw, "pm_blacklisted"), F.col("arrived"))
+    carried = _carried(raw["type"])
     if parsed_only:
         wires = F.create_map(*[x for c in schema.TABLE_COLS
                                for x in (F.lit(c), F.array(*[F.lit(w) for w in _wire_names(c)]))])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from zonewright import schema
 from zonewright.functions import text
-from zonewright.operators import dims, enrich, extract_dns, extract_rdap, extract_whois, names
+from zonewright.operators import dims, enrich, extract_dns, extract_rdap, extract_whois, merge, names
 from zonewright.plans import jobs, shaped
 from zonewright.plans.shaped import HOSTS_SQL, LOG_SQL, NORMALIZED_SQL, SERVERS_SQL, current, page_hosts, spread_table, suffix_sql, table
 from zonewright.sources import tables
@@ -241,13 +242,28 @@ def _(spark, sf):
   CAST(ts AS DATE) AS last_visit_date, event_type AS hits_geo, event_id AS pi_rank, user_id || ',' || event_id AS visits_arr_12m
   FROM events WHERE event_type <> 'error'""")
 def _(spark, sf):
+    up = tables.traffic_updates(_traffic(spark, sf), shaped.suffixes(spark))
+    return up.select("domain", "visits_12m", "hits_12m", "last_visit_date", "hits_geo", "pi_rank",
+                     F.array_join(F.col("visits_arr_12m").cast("array<string>"), ",").alias("visits_arr_12m"))
+
+
+def _traffic(spark, sf):
+    """Events as traffic rows; those of errors are of no registrable name."""
     e = table(spark, sf, "events")
     rows = e.select(F.concat(F.when(F.col("event_type") == "error", "a.b.").otherwise(""), F.format_string("t%d.net", F.col("event_id"))).alias("domain"),
                     F.round(F.col("value") * 100).alias("visits"), F.to_date("ts").alias("lastdate"), F.col("user_id").alias("hits"),
                     F.col("event_type").alias("geo"), F.array("user_id", "event_id").alias("visits_arr"), F.col("event_id").alias("rank"))
-    up = tables.traffic_updates(rows.select(*tables.TRAFFIC_COLS), shaped.suffixes(spark))
-    return up.select("domain", "visits_12m", "hits_12m", "last_visit_date", "hits_geo", "pi_rank",
-                     F.array_join(F.col("visits_arr_12m").cast("array<string>"), ",").alias("visits_arr_12m"))
+    return rows.select(*tables.TRAFFIC_COLS)
+
+
+@query("traffic_into_rows", """SELECT event_id AS seq, 't' || event_id || '.net' AS domain, 'net' AS tld, 'pi' AS modified_by,
+  CAST(round(value * 100) AS BIGINT) AS visits_12m, event_type AS hits_geo, CAST(ts AS DATE) AS pi_import_date,
+  CAST(NULL AS BOOLEAN) AS registered, '' AS rcode FROM events WHERE event_type <> 'error'""")
+def _(spark, sf):
+    up = tables.traffic_updates(_traffic(spark, sf), shaped.suffixes(spark))
+    updates = merge.as_updates(up, F.col("pi_rank"), F.col("last_visit_date").cast("timestamp"))
+    rows, _rejected = merge.apply_updates(updates.select(*schema.TABLE_COLS).limit(0), updates, shaped.suffixes(spark))
+    return rows.select("seq", "domain", "tld", "modified_by", "visits_12m", "hits_geo", "pi_import_date", "registered", "rcode")
 
 
 # --- extraction ----------------------------------------------------------------------------------
