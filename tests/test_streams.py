@@ -53,6 +53,37 @@ def test_stream_updates_restart_and_quarantine(spark, tmp_path):
                    ("b.us", "scrape.dns"), ("b.us", "scrape.whois")]
 
 
+def test_new_checkpoint_keeps_the_log_and_days_can_be_pruned(spark, tmp_path):
+    src, root = str(tmp_path / "in"), str(tmp_path / "store")
+    s, store = Suffixes.of(spark, ["com"]), VersionStore(spark, root, buckets=2)
+    _msgs(spark, [_zone("a.com", ["1"]), _nx("b.com")], 0).write.parquet(src)
+    for n in (1, 2):
+        stream = messages.read_stream(spark, "parquet", {}, src)
+        streams.stream_updates(stream, store, str(tmp_path / f"ck{n}"), s, compact_every=1, trigger=NOW).awaitTermination()
+        assert store.log().count() == 2 * n and store.current().count() == 2
+    assert [r["batch_id"] for r in store.log().select("batch_id").distinct().orderBy("batch_id").collect()] == [0, 1]
+    day = store.history().where("date = '2024-01-01'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert day.count() == 4 and "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_a_batch_reads_only_the_buckets_of_its_names(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "store"), buckets=8)
+    docs = [_nx(f"n{i}.com") for i in range(60)]
+    streams.upsert_batch(store, messages.result_messages(_msgs(spark, docs[:50], 0)), 0, Suffixes.of(spark, ["com"]))
+    store.compact(0)
+    touched = spark.createDataFrame([("n7.com",), (None,)], "domain string")
+    seen = VersionStore(spark, store.root, buckets=3).current(touched=touched)  # the base says how it was split
+    want = [r["domain"] for r in seen.collect()]
+    files = {f.parent.name: f for f in (tmp_path / "store" / "base").glob("upto=0/bucket=*/*.parquet")}
+    mine = touched.where("domain is not null").select(store._bucket(8)).first()[0]
+    for name, file in files.items():
+        if name != f"bucket={mine}":
+            file.write_bytes(b"not to be read")
+    again = VersionStore(spark, store.root, buckets=3).current(touched=touched)
+    assert want == ["n7.com"] == [r["domain"] for r in again.collect()] and len(files) > 1
+
+
 def test_repeated_batch_counts_once_and_compaction_keeps_the_view(spark, tmp_path):
     s = Suffixes.of(spark, ["com"])
     store = VersionStore(spark, str(tmp_path / "store"), buckets=2, order=("batch_id", "seq"))

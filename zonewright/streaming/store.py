@@ -1,9 +1,10 @@
 """Append-only version log with compacted snapshots, for streams that upsert.
 
 Layout under one shared folder:
-  log/batch_id=N/      versions written by micro-batch N (written whole; a repeated batch replaces it)
-  base/upto=N/         latest row per domain as of batch N, split in hash buckets
-  base_done/           which bases are complete
+  log/batch_id=N/date=D/   versions written by batch N (written whole; a repeated batch replaces it), by day
+  base/upto=N/bucket=B/    latest row per domain as of batch N, split in hash buckets
+  base_done/               which bases are complete, and their number of buckets
+  runs/                    number of each streaming query's first batch in this store
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewright import schema
@@ -30,8 +31,24 @@ class VersionStore:
 
     # --- writing ---------------------------------------------------------------------------------
     def append(self, versions: DataFrame, batch_id: int) -> None:
-        out = versions.select("seq", *schema.TABLE_COLS)
-        out.write.mode("overwrite").parquet(f"{self.root}/log/batch_id={batch_id}")
+        out = versions.select("seq", *schema.TABLE_COLS, F.to_date("last_modified").alias("date"))
+        out.write.partitionBy("date").mode("overwrite").parquet(f"{self.root}/log/batch_id={batch_id}")
+
+    def first_batch(self, run: str) -> int:
+        """Number in this store of batch 0 of a streaming query, by the id that its checkpoint keeps.
+
+        A query with a new checkpoint counts from 0 again; here its batches go on after all that is stored, so
+        it replaces nothing. One query at a time may write to a store.
+        """
+        runs = self._read("runs", "run string, first bigint")
+        known = None if runs is None else runs.where(F.col("run") == run).agg(F.min("first")).first()[0]
+        if known is not None:
+            return known
+        last = self.log().agg(F.max("batch_id")).first()[0]
+        earlier = None if runs is None else runs.agg(F.max("first")).first()[0]
+        first = max(-1 if last is None else last, self._base(None)[1], -1 if earlier is None else earlier) + 1
+        self.spark.range(1).select(F.lit(run).alias("run"), F.lit(first).cast("bigint").alias("first")).write.mode("append").parquet(f"{self.root}/runs")
+        return first
 
     def side_output(self, rows: DataFrame, name: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
@@ -42,12 +59,16 @@ class VersionStore:
         Nothing that may be read meanwhile is changed; a repeated call replaces its own folder.
         """
         view = self.current(before=upto + 1, base_before=upto, with_order=True)
-        bucketed = view.withColumn("bucket", F.pmod(F.xxhash64("domain"), F.lit(self.buckets)).cast("int"))
+        bucketed = view.withColumn("bucket", self._bucket(self.buckets))
         (bucketed.repartition(self.buckets, "bucket").write.partitionBy("bucket").mode("overwrite")
          .parquet(f"{self.root}/base/upto={upto}"))
-        done = self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+        done = self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"), F.lit(self.buckets).alias("buckets"))
         done.write.mode("append").parquet(f"{self.root}/base_done")
 
+    @staticmethod
+    def _bucket(buckets: int) -> Column:
+        return F.pmod(F.xxhash64("domain"), F.lit(buckets)).cast("int")
+
     # --- reading ---------------------------------------------------------------------------------
     def _read(self, name: str, ddl: str) -> DataFrame | None:
         try:
@@ -61,36 +82,43 @@ class VersionStore:
     def _ddl(*extra: str) -> str:
         return ", ".join(["seq bigint", *[f"{c} {t}" for c, t in schema.TABLE_TYPES.items()], *extra])
 
-    def log(self) -> DataFrame:
-        found = self._read("log", self._ddl("batch_id bigint"))
-        return found if found is not None else self.spark.createDataFrame([], self._ddl("batch_id bigint"))
-
     def history(self) -> DataFrame:
-        """Every version with its day."""
-        return self.log().withColumn("date", F.to_date("last_modified"))
+        """Every version with its batch and day; a filter on `date` or `batch_id` reads only those folders."""
+        ddl = self._ddl("batch_id bigint", "date date")
+        found = self._read("log", ddl)
+        return found if found is not None else self.spark.createDataFrame([], ddl)
+
+    def log(self) -> DataFrame:
+        return self.history().drop("date")
 
-    def _base(self, before: int | None) -> tuple[DataFrame | None, int]:
-        """Newest complete base (older than a batch), and the last batch it covers."""
-        done = self._read("base_done", "upto bigint")
+    def _base(self, before: int | None) -> tuple[DataFrame | None, int, int | None]:
+        """Newest complete base (older than a batch), the last batch it covers, and its number of buckets."""
+        done = self._read("base_done", "upto bigint, buckets int")
         if done is None:
-            return None, -1
-        upto = done.where(F.lit(True) if before is None else F.col("upto") < before).agg(F.max("upto")).first()[0]
-        if upto is None:
-            return None, -1
-        return self._read(f"base/upto={upto}", self._ddl("batch_id bigint", "bucket int")).drop("bucket"), upto
+            return None, -1, None
+        found = done.where(F.lit(True) if before is None else F.col("upto") < before)
+        newest = found.agg(F.max(F.struct("upto", "buckets")).alias("b")).select("b.*").first()
+        if newest["upto"] is None:
+            return None, -1, None
+        return self._read(f"base/upto={newest['upto']}", self._ddl("batch_id bigint", "bucket int")), newest["upto"], newest["buckets"]
 
     def current(self, before: int | None = None, touched: DataFrame | None = None, with_order: bool = False,
                 base_before: int | None = None) -> DataFrame:
         """Latest row per domain, from the newest base and the batches after it.
 
         `before` leaves out that batch and later ones, so a repeated batch does not see its own
-        output. `touched(domain)` cuts both parts down to those names before any shuffle of them.
+        output. `touched(domain)` cuts both parts down to those names before any shuffle of them, and of the base
+        only the buckets of those names are read.
         """
-        base, upto = self._base(before if base_before is None else base_before)
+        base, upto, buckets = self._base(before if base_before is None else base_before)
         tail = self.log().where(F.col("batch_id") > upto)
         if before is not None:
             tail = tail.where(F.col("batch_id") < before)
-        log = tail if base is None else tail.unionByName(base)
+        if base is not None and touched is not None and buckets:
+            # at most as many numbers as there are buckets
+            numbers = [n for (n,) in touched.where("domain is not null").select(self._bucket(buckets)).distinct().collect()]
+            base = base.where(F.col("bucket").isin(numbers))
+        log = tail if base is None else tail.unionByName(base.drop("bucket"))
         if touched is not None:
             log = log.join(touched.select("domain").distinct(), "domain", "left_semi")
         view = latest_by_key(log, "domain", self.order)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -45,15 +46,23 @@ def stream_updates(messages: DataFrame, store: VersionStore, checkpoint: str, su
                    enrich=None, type_names=None, send=None, compact_every: int | None = None,
                    trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Continuous upsert of the result topic. Size batches with the source's own limits
-    (maxOffsetsPerTrigger, maxFilesPerTrigger); `trigger` defaults to one batch a second."""
+    (maxOffsetsPerTrigger, maxFilesPerTrigger); `trigger` defaults to one batch a second. With a new
+    checkpoint the source is read again, and its batches follow those in the store."""
+
+    started, running = threading.Event(), []
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(store, batch, batch_id, suffixes, enrich, type_names, send)
+        if not started.wait(600):
+            raise RuntimeError("the query did not start")
+        number = store.first_batch(str(running[0].id)) + batch_id
+        upsert_batch(store, batch, number, suffixes, enrich, type_names, send)
         if compact_every and (batch_id + 1) % compact_every == 0:
-            store.compact(batch_id)
+            store.compact(number)
 
     writer = msg.result_messages(messages).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
+    running.append(writer.trigger(**(trigger or {"processingTime": "1 second"})).start())
+    started.set()
+    return running[0]
 
 
 def stream_errors(messages: DataFrame, path: str, checkpoint: str, quarantine: str,
