@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonewright.llm import archives, decontaminate, langid, quality, segment, shards, signature_tree, storage, surrogates, toxicity, vafile
+from zonewright.llm import (archives, decontaminate, divergence, langid, middle, quality, repeats, segment, shards, signature_tree, storage,
+                            surrogates, toxicity, vafile)
 
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -82,6 +83,23 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.detect(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without the passages of 13 words or more that an earlier document holds."""
+    kept = repeats.remove(table(spark, sf, "documents"), 13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """Divergence of the sources of each language from each other, and the terms that tell each from its language."""
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document cut between lines and put in fill-in-middle form, and what its output restores to."""
+    made = middle.transform(table(spark, sf, "documents"), seed=7, percent=100, spm_percent=50)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), "restored_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_warc_archives": op2_warc_archives,
@@ -93,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
 
@@ -105,4 +126,46 @@ ORACLES: dict[str, str] = {
               FROM v q JOIN v o ON q.i = o.i AND q.n = o.n AND q.vec_id <> o.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
         SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5""",
+    "op11_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS i, w FROM d WHERE len(w) >= 13),
+        g AS (SELECT doc_id, i, hash(array_to_string(w[i : i + 12], ' ')) AS h, array_to_string(w[i : i + 12], ' ') AS x FROM s),
+        f AS (SELECT x, min(doc_id) AS least FROM g GROUP BY x),
+        gone AS (SELECT DISTINCT doc_id, i + j AS p FROM g JOIN f USING (x), generate_series(0, 12) AS t(j) WHERE doc_id > least),
+        left_ AS (SELECT e.doc_id, string_agg(v, ' ' ORDER BY e.p) AS kept, count(*) AS n
+                  FROM (SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) AS p FROM d) e ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN left_ USING (doc_id)""",
+    "op12_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+        l AS (SELECT lang, CAST(count(*) + sum(total) AS HUGEINT) AS all_ FROM k GROUP BY 1),
+        c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+        g AS (SELECT lang, source, (SELECT count(*) FROM k WHERE k.lang = x.lang) + coalesce((SELECT sum(n) FROM c WHERE c.lang = x.lang AND c.source = x.source), 0) AS all_
+              FROM (SELECT DISTINCT lang, source FROM d) x),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 1) // CAST(g.all_ AS HUGEINT) AS p,
+                     1 + CAST(1000000000 AS HUGEINT) * (total + 1) // l.all_ AS q
+              FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+        pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+              FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+        SELECT * FROM r WHERE part = 'pair' OR rank <= 200""",
+    "op13_fill_in_middle": r"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        u AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                     CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+        c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+                     CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                          WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+        p AS (SELECT *, array_to_string(units[1:a], '') AS x, array_to_string(units[a + 1 : b], '') AS y, array_to_string(units[b + 1 : n], '') AS z FROM c)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(x) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(y) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+               sha256(text) AS restored_sha256 FROM p""",
 }

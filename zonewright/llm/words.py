@@ -140,6 +140,11 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
 
 
+def order(j: int) -> np.uint64:
+    """Odd factor of the word at place j of a gram."""
+    return _ORDER[j]
+
+
 def shingles(words: Words, word_hash: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each k-word shingle and its row; a row with fewer words, but some, has its whole sequence as one."""
     n = len(word_hash)
