@@ -95,7 +95,7 @@ def firsts(places: DataFrame, path: str) -> DataFrame:
     """(doc, at, e_doc, e_at) of each distinct place (key, doc, at, own) marked as own but the first of its key: that one's document and place.
 
     The rows are dealt out in ranges of (key, doc, at), so a key may cover many tasks. A task knows the first row of every key but that
-    of its first key, which may have begun in an earlier one; those rows wait until the marks of all tasks, two of each, say where it began.
+    of its first key, which may have begun in an earlier one; those rows wait until the marks of all tasks, two of each, say where it began; the marks are broadcast.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,10 +128,22 @@ def firsts(places: DataFrame, path: str) -> DataFrame:
     order = ["key", "doc", "at"]
     sorted_ = places.repartitionByRange(*order).sortWithinPartitions(*order, F.desc("own"))
     found = storage.kept(sorted_.select(*order, "own").mapInArrow(run, _ddl(_FIRST)), path)
-    begun = found.where("mark").groupBy("key").agg(F.min(F.struct("e_doc", "e_at")).alias("e")).select("key", "e.*")
     # at most two rows a task
-    waiting = found.where("not mark and key is not null").select("key", "doc", "at").distinct().join(F.broadcast(begun), "key").where("doc != e_doc or at != e_at")
-    return found.where("not mark and key is null").select("doc", "at", "e_doc", "e_at").unionByName(waiting.drop("key"))
+    begun = found.where("mark").groupBy("key").agg(F.min(F.struct("e_doc", "e_at")).alias("e")).select("key", "e.*").orderBy("key").collect()
+    shared = places.sparkSession.sparkContext.broadcast(np.array([tuple(r) for r in begun], np.int64).reshape(len(begun), 3).T.copy())
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, docs, ats = shared.value
+        for batch in batches:
+            doc, at, e_doc, e_at = (batch.column(i).to_numpy() for i in range(1, 5))
+            wait = np.flatnonzero(~batch.column(0).is_null().to_numpy(zero_copy_only=False))
+            of = np.searchsorted(keys, batch.column(0).fill_null(0).to_numpy()[wait])
+            e_doc, e_at = e_doc.copy(), e_at.copy()
+            e_doc[wait], e_at[wait] = docs[of], ats[of]
+            later = (doc != e_doc) | (at != e_at)
+            yield pa.RecordBatch.from_arrays([pa.array(c[later]) for c in (doc, at, e_doc, e_at)], names=["doc", "at", "e_doc", "e_at"])
+
+    return found.where("not mark").select("key", "doc", "at", "e_doc", "e_at").mapInArrow(settle, "doc bigint, at bigint, e_doc bigint, e_at bigint")
 
 
 def _marked(mark: bool, key: list[int], doc: list[int], at: list[int]) -> pa.RecordBatch:
