@@ -23,6 +23,7 @@ from zonewright.operators.skew import salted_join
 SCALE = 1_000_000_000
 GROUPS = 32
 TERMS = 4096
+HELD = 1 << 19
 _COUNT = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 _PARTIAL = pa.schema([("lang", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("value", pa.int64())])
 
@@ -31,43 +32,80 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+class _Tally:
+    """Counts of some chunks of texts by group and term, added up before they leave the task."""
+
+    def __init__(self) -> None:
+        self.groups: dict[tuple[str, str], int] = {}
+        self.entries: list[tuple[np.ndarray, ...]] = []
+        self.terms: list[np.ndarray] = []
+        self.names: list[pa.StringArray] = []
+        self.bare: set[int] = set()
+        self.size = 0
+
+    def add(self, group: np.ndarray, chunk: words.Chunk) -> None:
+        """Count the terms of a chunk; group: number of the group of each row."""
+        self.bare.update(np.unique(group).tolist())
+        data = words.ASCII_LOWER[chunk.data]
+        w = words.split(chunk, ~_LETTER[data])
+        if not len(w.start):
+            return
+        of, at, term = np.unique(words.hashes(data, w.start, w.end), return_index=True, return_inverse=True)
+        pair, n = np.unique(group[w.row] * len(of) + term, return_counts=True)
+        once = np.unique(w.row * len(of) + term)
+        docs = np.bincount(np.searchsorted(pair, group[once // len(of)] * len(of) + once % len(of)), minlength=len(pair))
+        self.entries.append((pair // len(of), of[pair % len(of)], n, docs))
+        order = np.argsort(at)
+        start, end = w.start[at[order]], w.end[at[order]]
+        step = np.zeros(len(data) + 1, np.int64)
+        step[start] += 1
+        step[end] -= 1
+        offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
+        self.terms.append(of[order])
+        self.names.append(pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data[np.cumsum(step[:-1]) > 0].tobytes())))
+        self.size += len(pair)
+
+    def take(self) -> pa.RecordBatch:
+        """The sums, and a row without a term for each group seen; the tally is empty afterwards."""
+        keys = list(self.groups)
+        bare = sorted(self.bare)
+        number, n, docs, names = np.array(bare, np.int64), np.zeros(len(bare), np.int64), np.zeros(len(bare), np.int64), pa.nulls(len(bare), pa.string())
+        if self.entries:
+            terms, first = np.unique(np.concatenate(self.terms), return_index=True)
+            group, of, count, held = (np.concatenate([e[i] for e in self.entries]) for i in range(4))
+            pair, back = np.unique(group * len(terms) + np.searchsorted(terms, of), return_inverse=True)
+            total, both = np.zeros(len(pair), np.int64), np.zeros(len(pair), np.int64)
+            np.add.at(total, back, count)
+            np.add.at(both, back, held)
+            number, n, docs = np.concatenate([number, pair // len(terms)]), np.concatenate([n, total]), np.concatenate([docs, both])
+            names = pa.concat_arrays([names, pa.concat_arrays(self.names).take(pa.array(first[pair % len(terms)]))])
+        lang, source = (pa.array([k[i] for k in keys], pa.string()).take(pa.array(number)) for i in range(2))
+        self.entries, self.terms, self.names, self.bare, self.size = [], [], [], set(), 0
+        return pa.RecordBatch.from_arrays([lang, source, names, pa.array(n), pa.array(docs)], schema=_COUNT)
+
+
 def counted(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences of a term and documents that hold it, summed per chunk of texts only.
+    """(lang, source, term, n, docs): occurrences of a term and documents that hold it, added up over up to HELD terms of a task.
 
-    Equal rows may stand more than once, for one per chunk; the sums of n and of docs over them are right. A group whose texts have no
-    term stands with a NULL term.
+    The sums of n and of docs over equal rows are right. Each group also stands with a NULL term.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = _Tally()
         for batch in batches:
-            lang, source = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            group = np.array([tally.groups.setdefault(p, len(tally.groups)) for p in pairs], np.int64)
             for chunk in words.chunks(batch.column(2)):
-                names: dict[tuple[str, str], int] = {}
-                group = np.array([names.setdefault((lang[chunk.first + r], source[chunk.first + r]), len(names)) for r in range(len(chunk))], np.int64)
-                data = words.ASCII_LOWER[chunk.data]
-                w = words.split(chunk, ~_LETTER[data])
-                if not len(w.start):
-                    yield _counts(list(names), [None] * len(names), [0] * len(names), [0] * len(names))
-                    continue
-                of, at, term = np.unique(words.hashes(data, w.start, w.end), return_index=True, return_inverse=True)
-                pair, n = np.unique(group[w.row] * len(of) + term, return_counts=True)
-                once = np.unique(w.row * len(of) + term)
-                held = np.bincount(np.searchsorted(pair, group[once // len(of)] * len(of) + once % len(of)), minlength=len(pair))
-                text = [data[w.start[i] : w.end[i]].tobytes().decode() for i in at]
-                key = list(names)
-                bare = sorted(set(range(len(key))) - set((pair // len(of)).tolist()))
-                yield _counts([key[g] for g in [*(pair // len(of)).tolist(), *bare]], [*(text[t] for t in (pair % len(of)).tolist()), *[None] * len(bare)],
-                              [*n.tolist(), *[0] * len(bare)], [*held.tolist(), *[0] * len(bare)])
+                tally.add(group[chunk.first : chunk.first + len(chunk)], chunk)
+                if tally.size >= HELD:
+                    yield tally.take()
+        if tally.bare:
+            yield tally.take()
 
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     return named.mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
 
 
-def _counts(keys: list[tuple[str, str]], terms: list[str | None], n: list[int], docs: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                                       pa.array(terms, pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())], schema=_COUNT)
-
-
 def _scaled(count: Column, all_: Column) -> Column:
     """1 + floor(SCALE * (count + 1) / all_) for count < all_, by long division in three steps of 1000: exact for all_ up to 2^53."""
     left, result = count + F.lit(1), F.lit(0).cast("long")
