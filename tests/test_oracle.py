@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from zonewright.plans import catalog_reports, catalog_search, catalog_sources, catalog_updates
+from zonewright.plans import catalog_layouts, catalog_reports, catalog_search, catalog_sources, catalog_updates
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -30,7 +30,7 @@ def _plain(v):
     return repr(v)
 
 
-OWN = {name for catalog in (catalog_reports, catalog_search, catalog_sources, catalog_updates) for name in catalog.QUERIES}
+OWN = {name for catalog in (catalog_layouts, catalog_reports, catalog_search, catalog_sources, catalog_updates) for name in catalog.QUERIES}
 
 
 def test_every_query_has_sql():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,15 +52,16 @@ def longest_prefix(addresses: DataFrame, networks: dict[str, tuple[DataFrame, st
 
 
 def lookup_lists(rows: DataFrame, key: Sequence[str], networks: dict[str, tuple[DataFrame, str]],
-                 addr: str = "addr") -> DataFrame:
-    """Per key one sorted distinct list for each named network table.
+                 addr: str = "addr", find: Callable[..., DataFrame] = longest_prefix) -> DataFrame:
+    """Per key one sorted distinct list for each named network table; `find` looks up distinct addresses (`longest_prefix`, or
+    `intervals.range_lookup` where there are many addresses).
 
     Addresses are made distinct first, as parking and delivery networks put one address on very
     many names; the answers go back to the rows by a salted join for the same reason.
     """
     key = list(key)
     each = rows.select(*key, F.explode(addr).alias("addr"))
-    answers = longest_prefix(each.select("addr").distinct(), networks)
+    answers = find(each.select("addr").distinct(), networks)
     found = salted_join(each, answers, ["addr"], F.struct(*key))
     return found.groupBy(*key).agg(*[F.array_sort(F.collect_set(out)).alias(out) for out in networks])
 

@@ -61,6 +61,36 @@ def change_table(log: DataFrame, cols: Sequence[str], key: str = "domain",
                         F.col("_c.after").alias("after"))
 
 
+def validity(log: DataFrame, key: str = "domain", order: Sequence[str] = ("last_modified", "seq"), blocks: int | None = None) -> DataFrame:
+    """Every version with `valid_from` and `valid_to`, the time of the key's next version (NULL for the newest).
+
+    The first of `order` is the time, the rest decide between versions of one time, of which only the last is ever valid. Versions without
+    a time come before all others; what such a one supersedes ended in the year 1.
+    """
+    at, *rest = order
+    back = {"_b0": -F.unix_micros(F.col(at).cast("timestamp")), **{f"_b{i + 1}": -F.col(c) for i, c in enumerate(rest)}}
+    # a NULL time is the earliest, so it comes last on the way back
+    turned = log.withColumn("_none", F.col(at).isNull()).withColumns(back)
+    found = skew.running_last(turned, [key], ["_none", *back], {"_next": F.struct(F.col(at).alias("at"))}, include_current=False, blocks=blocks)
+    superseded = F.when(F.col("_next").isNotNull(), F.coalesce(F.col("_next")["at"], F.lit("0001-01-01").cast(dict(log.dtypes)[at])))
+    return found.select(*log.columns, F.col(at).alias("valid_from"), superseded.alias("valid_to"))
+
+
+def write_validity(intervals: DataFrame, path: str) -> None:
+    """Store `validity` rows by the month they ended in, so that a read as of a day leaves out the folders of earlier months."""
+    intervals.withColumn("ended", F.trunc(F.to_date("valid_to"), "month")).write.partitionBy("ended").mode("errorifexists").parquet(path)
+
+
+def as_of_day(intervals: DataFrame, day: str) -> DataFrame:
+    """The table as it was at the end of a day: one row per key that had a version by then."""
+    end = F.date_add(F.lit(day).cast("date"), 1)
+    begun = F.col("valid_from").isNull() | (F.col("valid_from") < end)
+    open_ = F.col("valid_to").isNull() | (F.col("valid_to") >= end)
+    if "ended" in intervals.columns:
+        intervals = intervals.where(F.col("ended").isNull() | (F.col("ended") >= F.trunc(F.lit(day).cast("date"), "month"))).drop("ended")
+    return intervals.where(begun & open_).drop("valid_from", "valid_to")
+
+
 def domain_changes(log: DataFrame, domain: str, cols: Sequence[str]) -> DataFrame:
     """The change table of one name, newest first."""
     table = change_table(log.where(F.col("domain") == domain), cols)

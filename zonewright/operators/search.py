@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from zonewright import schema
 from zonewright.functions import text
 from zonewright.functions.criteria import Criterion, search_predicate
+from zonewright.operators import ranks
 
 FACET_SIZE = 100
 MONTHS = 12
@@ -99,13 +100,22 @@ def _ordered(col: str, order: str) -> Column:
 
 
 def page(df: DataFrame, p: Page = Page(), key: str = "domain") -> DataFrame:
-    """Rows of a page, NULLs last both ways, ties in key order. Plans as a top-k, not a full sort."""
+    """Rows of a page, NULLs last both ways, ties in key order. Plans as a top-k, not a full sort; a task holds offset + limit rows.
+
+    For pages far down see `deep_page`.
+    """
     sort = [_ordered(p.order_by, p.order)]
     if p.order_by != key:
         sort.append(F.col(key).asc())
     return df.orderBy(*sort).offset(p.offset).limit(p.limit)
 
 
+def deep_page(df: DataFrame, p: Page = Page(), key: str = "domain", small: int = ranks.SMALL) -> DataFrame:
+    """The same rows, however far down: the row before the page is found by rank, what precedes it is filtered off. `key` is unique."""
+    order = [(p.order_by, p.order == "asc")] + ([(key, True)] if p.order_by != key else [])
+    return ranks.rows_between(df, order, p.offset, p.limit, small)
+
+
 def page_keyset(df: DataFrame, after: str | None, n: int, key: str = "domain") -> DataFrame:
     """The `n` rows that follow a key in key order; costs the same however deep."""
     rest = df if after is None else df.where(F.col(key) > after)
@@ -114,39 +124,19 @@ def page_keyset(df: DataFrame, after: str | None, n: int, key: str = "domain") -
 
 # --- exports -----------------------------------------------------------------------------------
 def first_by_key(df: DataFrame, n: int | None, key: str = "domain", descending: bool = False,
-                 small: int = 100_000) -> DataFrame:
-    """The first `n` rows (None: all) in the order of a unique text key, exactly, without one task seeing them all.
+                 small: int = ranks.SMALL) -> DataFrame:
+    """The first `n` rows (None: all) in the order of a unique key, exactly, without one task seeing them all.
 
-    Where there are more rows than `n`, the last key to keep is found by counting names by their
-    next character, level by level, until the rest is `small`; only counts reach the driver. The
-    answer is a filter on the key. Rows without a key come last.
+    The last key to keep is found by rank (`ranks.row_at`); the answer is a filter on the key. Rows without a key come
+    last, in no order; of them as many are taken as are still wanted.
     """
     if n is None:
         return df
-    if n <= 0:
-        return df.limit(0)
-    have = df.agg(F.count(key).alias("named"), F.count(F.lit(1)).alias("total")).first()
-    if have["total"] <= n:
-        return df
-    if have["named"] < n:
-        nameless = df.where(F.col(key).isNull()).limit(n - have["named"])
-        return df.where(F.col(key).isNotNull()).unionByName(nameless)
-    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
-    prefix, left = "", n
-    while True:
-        at = len(prefix) + 1
-        inside = keys.where(F.col("k").startswith(prefix)) if prefix else keys
-        counts = inside.groupBy(F.substring("k", at, 1).alias("c")).count().collect()
-        ordered = sorted(((r["c"], r["count"]) for r in counts), key=lambda r: r[0].encode(), reverse=descending)
-        for char, count in ordered:
-            if left <= count:
-                break
-            left -= count
-        if char == "" or count <= small:
-            group = inside.where(F.substring("k", at, 1) == char)
-            row = group.orderBy(F.desc("k") if descending else F.asc("k")).offset(left - 1).limit(1).first()
-            return df.where(F.col(key) >= row["k"] if descending else F.col(key) <= row["k"])
-        prefix += char
+    named = df.where(F.col(key).isNotNull())
+    have = named.count()
+    if n > have:
+        return named.unionByName(df.where(F.col(key).isNull()).limit(n - have))
+    return ranks.first_rows(named, [(key, not descending)], n, small)
 
 
 def export_rows(found: DataFrame, cap: int | None = None) -> DataFrame:
@@ -188,6 +178,16 @@ def load_tags(tags: DataFrame, searches: DataFrame) -> list[Tag]:
             for r in bound.select("id", "name", "colour", "icon", "criteria").collect()]
 
 
+def tag_by_id(tags: DataFrame, tag_id: int) -> DataFrame:
+    """The label with this id, none or one row."""
+    return tags.where(F.col("id") == tag_id)
+
+
+def tag_of_search(tags: DataFrame, search_id: int) -> DataFrame:
+    """The label of a saved search, the first by id where there are several."""
+    return tags.where(F.col("search_id") == search_id).orderBy("id").limit(1)
+
+
 def tag_rows(df: DataFrame, tags: Sequence[Tag], out: str = "tags") -> DataFrame:
     """Add the list of tags whose criteria a row meets, all in one pass over the rows."""
     marks = [F.when(search_predicate(df, t.criteria), F.struct(

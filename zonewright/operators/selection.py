@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonewright.operators import ranks
 from zonewright.operators.names import Suffixes, rdap_unsupported, suffix_of
 from zonewright.operators.reports import ago
 
@@ -68,10 +69,14 @@ def by_source(current: DataFrame, sources: Sequence[str]) -> DataFrame:
 
 
 def shuffled(df: DataFrame, n: int | None = None, key: str = "domain", portable: bool = False) -> DataFrame:
-    """Order that looks random but is always the same: by hash of the key (`portable`: md5), then key."""
-    order = [F.md5(F.col(key)) if portable else F.xxhash64(key), F.col(key)]
-    ordered = df.orderBy(*order)
-    return ordered if n is None else ordered.limit(n)
+    """Order that looks random but is always the same: by hash of the key (`portable`: md5), then key, which must be unique.
+
+    With `n`, the first n rows in that order: they are cut off by rank, so no task holds n rows.
+    """
+    drawn = df.withColumn("_drawn", F.md5(F.col(key)) if portable else F.xxhash64(key))
+    if n is not None:
+        drawn = ranks.first_rows(drawn, [("_drawn", True), (key, True)], n)
+    return drawn.orderBy("_drawn", key).drop("_drawn")
 
 
 def with_scrapers(names: DataFrame, scrapers: Sequence[str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import criteria as cr
@@ -38,9 +41,9 @@ def _(spark, sf):
 
 @query("point_lookup", f"WITH {LOG_SQL} SELECT {_FLAT} FROM cur WHERE domain LIKE 'customer-000000007.%'")
 def _(spark, sf):
-    tlds = list(shaped._TLD.values())
-    log = domain_log(spark, sf).where(F.col("domain").isin(*[f"customer-000000007.{t}" for t in tlds]))
-    return latest.latest_by_key(log, cols=_FLAT_COLS)
+    log = domain_log(spark, sf).select(*_FLAT_COLS, "seq")
+    rows = [latest.point_lookup(log, f"customer-000000007.{t}") for t in shaped._TLD.values()]
+    return reduce(DataFrame.unionByName, rows).select(*_FLAT_COLS)
 
 
 @query("columns_in_schema_order", f"""WITH {LOG_SQL} SELECT domain, tld, registrar_id, visits_12m, last_modified,
@@ -254,6 +257,26 @@ def _(spark, sf):
     return dims.lookup_report(cur.withColumnRenamed("last_modified", "expiration_date"), "supplier-000000001.net")
 
 
+def _age_sql(age: str) -> str:
+    """Label of an age in whole seconds; what is after the moment counts back from it."""
+    day = f"({age} - CAST(floor({age} / 86400.0) AS BIGINT) * 86400)"
+    return (f"CASE WHEN floor({age} / 86400.0) <> 0 THEN CAST(floor({age} / 86400.0) AS BIGINT) || ' days ago' "
+            f"WHEN {day} >= 3600 THEN ({day} // 3600) || ' hours ago' WHEN {day} >= 60 THEN ({day} // 60) || ' minutes ago' ELSE {day} || ' seconds ago' END")
+
+
+@query("age_labels", f"""WITH a AS (SELECT event_id, CASE event_type WHEN 'view' THEN CAST(floor(86400 - epoch(ts) % 86400) AS BIGINT)
+    WHEN 'click' THEN CAST(floor(3600 - epoch(ts) % 3600) AS BIGINT) WHEN 'signup' THEN CAST(floor(60 - epoch(ts) % 60) AS BIGINT)
+    ELSE CAST(floor(1706659200 - epoch(ts)) AS BIGINT) END AS age FROM events) SELECT event_id, {_age_sql('age')} AS label FROM a""")
+def _(spark, sf):
+    """Ages of events at the next midnight, hour or minute, or at the end of January, by their type."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    left = {"view": 86400, "click": 3600, "signup": 60}
+    age = F.lit(1706659200 * 1_000_000) - at
+    for kind, unit in left.items():
+        age = F.when(F.col("event_type") == kind, F.lit(unit * 1_000_000) - F.pmod(at, F.lit(unit * 1_000_000))).otherwise(age)
+    return table(spark, sf, "events").select("event_id", text.age_label(F.floor(age / 1_000_000)).alias("label"))
+
+
 @query("display_labels", f"""WITH {LOG_SQL}, a AS (SELECT *, CAST(epoch(TIMESTAMP '{AS_OF_ORDERS}') -
     epoch(last_modified) AS BIGINT) AS age FROM cur)
   SELECT domain,
@@ -263,12 +286,11 @@ def _(spark, sf):
   strftime(last_modified, '%Y-%m-%d') AS day,
   CASE WHEN registered IS NULL THEN 'Unknown' WHEN registered THEN 'Registered' ELSE 'Available' END AS state,
   CASE WHEN tld = '' THEN '<empty>' ELSE tld END AS tld_label,
-  CASE WHEN age // 86400 <> 0 THEN (age // 86400) || ' days ago' ELSE (age // 3600) || ' hours ago' END AS age_label
-  FROM a WHERE age > 3600""")
+  {_age_sql('age')} AS age_label FROM a""")
 def _(spark, sf):
     cur = current(spark, sf, "visits_12m", "last_modified", "registered", "tld")
     age = F.unix_seconds(F.lit(AS_OF_ORDERS).cast("timestamp")) - F.unix_seconds(F.col("last_modified").cast("timestamp"))
-    return cur.where(age > 3600).select(
+    return cur.select(
         "domain", text.number_label(F.col("visits_12m") * 100).alias("visits"),
         text.date_label(F.col("last_modified")).alias("day"), text.registered_label(F.col("registered")).alias("state"),
         text.empty_label(F.col("tld")).alias("tld_label"), text.age_label(age).alias("age_label"))

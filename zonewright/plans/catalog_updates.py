@@ -139,17 +139,18 @@ def _(spark, sf):
 
 
 @query("encode_round_trip", f"""WITH {UPDATES_SQL} SELECT seq, domain, registrar_id IS NOT NULL AS has_id, registrar_id.v AS registrar_id,
-  registrant_name.v AS registrant_name, ns.v AS ns FROM upd WHERE event_type IN ('signup', 'click')""")
+  registrant_name.v AS registrant_name, ns.v AS ns, tld.v AS tld, registered.v AS registered, rcode.v AS rcode, visits_12m.v AS visits_12m,
+  hits_geo.v AS hits_geo, modified_by FROM upd""")
 def _(spark, sf):
-    sent = event_updates(spark, sf).where(F.col("type").isin("RDAPResult", "ZonefileResult"))
+    sent = event_updates(spark, sf)
     wire = merge.encode_updates(sent.withColumn("last_modified", F.col("last_modified").cast("timestamp"))
-                                .withColumn("hits_12m", F.col("seq")).withColumn(
-                                    "fields", F.array_append("fields", "hits_12m")))
-    back = F.from_json("value", "hits_12m bigint, registrar_id bigint, registrant_name string, ns array<string>")
-    return wire.select("key", "value", back.alias("b")).select(
-        F.col("b.hits_12m").alias("seq"), F.col("key").alias("domain"),
-        F.contains(F.col("value"), F.lit('"registrar_id":')).alias("has_id"), "b.registrar_id", "b.registrant_name",
-        F.array_join("b.ns", ",").alias("ns"))
+                                .withColumn("pi_rank", F.col("seq")).withColumn("fields", F.array_append("fields", "pi_rank")))
+    back = F.from_json("value", "pi_rank bigint, registrar_id bigint, registrant_name string, ns array<string>, tld string, registered boolean, "
+                                "rcode string, visits_12m bigint, hits_geo string, modified_by string")
+    read = wire.select("key", "value", back.alias("b"))
+    return read.select(F.col("b.pi_rank").alias("seq"), F.col("key").alias("domain"), F.contains(F.col("value"), F.lit('"registrar_id":')).alias("has_id"),
+                       F.array_join("b.ns", ",").alias("ns"),
+                       *[f"b.{c}" for c in ("registrar_id", "registrant_name", "tld", "registered", "rcode", "visits_12m", "hits_geo", "modified_by")])
 
 
 # --- history -------------------------------------------------------------------------------------
@@ -193,11 +194,12 @@ def _(spark, sf):
                                ["ts", "event_id"]).drop("ts")
 
 
-@query("history_by_day", f"""WITH {LOG_SQL} SELECT CAST(last_modified AS DATE) AS date, count(*) AS versions,
-  count(DISTINCT domain) AS domains FROM log GROUP BY date""")
+@query("history_by_day", f"""WITH {EVENT_LOG_SQL} SELECT CAST(last_modified AS DATE) AS date, count(*) AS versions,
+  count(DISTINCT domain) AS domains FROM elog GROUP BY date""")
 def _(spark, sf):
-    log = shaped.domain_log(spark, sf).withColumn("date", F.to_date("last_modified"))
-    return log.groupBy("date").agg(F.count(F.lit(1)).alias("versions"), F.countDistinct("domain").alias("domains"))
+    path = f"{_run_dir(spark)}/history"
+    messages.append_history(event_log(spark, sf).select("domain", "last_modified"), path)
+    return spark.read.parquet(path).groupBy("date").agg(F.count(F.lit(1)).alias("versions"), F.countDistinct("domain").alias("domains"))
 
 
 # --- zone text, snapshots and their difference -------------------------------------------------------
@@ -392,8 +394,8 @@ def _(spark, sf):
 def _(spark, sf):
     from zonewright.streaming.streams import stream_request_rate
     root = _run_dir(spark)
-    events = (spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf).withColumn("ts", F.col("ts").cast("timestamp")))
+    events = (spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")  # a file or a folder of files: a stream takes a pattern for either
+              .withColumn("ts", F.col("ts").cast("timestamp")))
     rate = stream_request_rate(events, "event_type", "ts", 4, unit="1 hour", unit_seconds=3600, late="1 hour")
     # an update-mode run gives each window's newest state per batch, the last one being final
     def keep(batch, batch_id):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewright.functions import text
-from zonewright.operators import dims, selection
+from zonewright.operators import dims, ranks, selection
 from zonewright.operators.names import Suffixes, normalize_list, unicode_tlds
 from zonewright.operators.search import search, snapshot
 from zonewright.operators.snapshots import diff_snapshots, zone_snapshot
@@ -60,12 +60,12 @@ def import_zones(spark: SparkSession, folder: str, ledger: DataFrame, suffixes:
 
 def queue_scrapes(names: DataFrame, scrapers: Sequence[str], suffixes: Suffixes, *, limit: int | None = None,
                   shuffle: bool = False) -> DataFrame:
-    """Requests for the selected names: exactly `limit` names if given, by name or in hash order."""
+    """Requests for the selected names, which are unique: exactly `limit` names if given, the first by name or in hash order."""
     picked = names.select("domain")
     if shuffle:
         picked = selection.shuffled(picked, limit)
     elif limit is not None:
-        picked = picked.orderBy("domain").limit(limit)
+        picked = ranks.first_rows(picked, [("domain", True)], limit)
     return selection.route_requests(selection.with_scrapers(picked, scrapers), suffixes)[0]
 
 
