@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from zonewright.llm import storage
 
-ROUNDS = 20
+STALLED = 8
 
 # fixed values: forms of personal data and secrets, and forms of address by gender
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
@@ -31,12 +31,13 @@ LATIN = "Ba Be Bo Da De Do Fa Fe Fi Ga Go Ha He Jo Ka Ke La Le Lo Ma Me Mi Mo Na
 CYRILLIC = "Ба Бе Бо Ва Ве Га Го Да До За Зо Ка Ко Ла Ле Ма Ме Ми На Но Па Пе Ра Ро Са Со Та То Фа Хо".split()
 MIDDLE = {"l": "bel dan fer gar kel lin mar nor ral sen tor vin ber dor lan mer".split(), "c": "бел дан лин мар нор рал сен тор вин дор".split()}
 END = {"lm": "o us er on".split(), "lf": "a ia ina elle".split(), "ln": "ton man berg ley".split(),
-       "cm": "ан ор ий ус".split(), "cf": "а ия ина ара".split(), "cn": "ов ев ин ко".split()}
+       "cm": "ан ор ий ус".split(), "cf": "а ия ина ара".split(), "cn": "ов ев ин".split(), "cw": "ова ева ина".split()}
+NEUTRAL = ["ко"]
 
 
 def _stream(key: Column, value: Column, salt: Column) -> Column:
-    """Hex digits that follow from key, value and salt: two for each character of the value, and some more."""
-    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(value) / 32).cast("int") + 1),
+    """Hex digits that follow from key, value and salt: two for each character of the value, and 128 or more beyond."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(value) / 32).cast("int") + 2),
                          lambda i: F.sha2(F.concat_ws("|", key, salt.cast("string"), i.cast("string"), value), 256))
     return F.array_join(blocks, "")
 
@@ -76,8 +77,14 @@ def surrogate(kind: Column, value: Column, key: Column, salt: Column) -> Column:
     address = F.concat_ws(".", 1 + n[0] % 223, n[1] % 256, n[2] % 256, 1 + n[3] % 254)
 
     def name(script: str, first: list[str]) -> Column:
-        ends = F.when(kind == "name-m", _pick(END[script + "m"], n[2])).when(kind == "name-f", _pick(END[script + "f"], n[2])).otherwise(_pick(END[script + "n"], n[2]))
-        return F.concat(_pick(first, n[0]), _pick(MIDDLE[script], n[1]), _pick(MIDDLE[script], n[3]), ends)
+        family = _pick(END[script + "n"], n[2])
+        if script == "c":
+            # the form of a Slavic family name tells the gender, or that it has one form for both
+            family = (F.when(value.endswith(NEUTRAL[0]), NEUTRAL[0]).when(value.rlike("[ая]$"), _pick(END["cw"], n[2])).otherwise(family))
+        ends = F.when(kind == "name-m", _pick(END[script + "m"], n[2])).when(kind == "name-f", _pick(END[script + "f"], n[2])).otherwise(family)
+        # each draw adds a syllable, so there are always more names than are taken
+        more = F.transform(F.sequence(F.lit(0), F.least(salt, F.lit(40)) + 1), lambda i: _pick(MIDDLE[script], _byte(s, i + 12)))
+        return F.concat(_pick(first, n[0]), F.array_join(more, ""), ends)
 
     return (F.when(kind != "form", F.when(value.rlike(r"\p{IsCyrillic}"), name("c", CYRILLIC)).otherwise(name("l", LATIN)))
             .when(at > 0, email).when(value.rlike(f"^{ADDRESS}$"), address).otherwise(_like(value, s)))
@@ -126,24 +133,31 @@ def entities(docs: DataFrame, key: str, path: str) -> DataFrame:
     """(kind, value, salt, surrogate) of each distinct entity, with no two alike and none that is itself an entity.
 
     A surrogate taken twice stays with the least value; others, and those that equal an entity of the table, are drawn
-    anew with the next salt until none is left.
+    anew with the next salt until none is left. Names get longer with each draw, so any number of them is served; other entities keep
+    their format, and the job fails only when a format has no values left, that is when STALLED rounds in a row settle none.
     """
     hits = F.transform("_hits", lambda h: F.struct(_kind(h).alias("kind"), h.alias("value")))
     found = _found(docs)
     drawn = lambda df: df.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.lit(key), F.col("salt")))
     now = storage.kept(drawn(found.where(F.size("_hits") > 0).select(F.explode(hits).alias("e")).select("e.*").distinct().withColumn("salt", F.lit(0))),
                        f"{path}/entities-0")
-    for i in range(1, ROUNDS + 1):
+    least = stalled = turn = 0
+    while True:
+        turn += 1
         first = now.groupBy("surrogate").agg(F.min(F.struct("value", "kind")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         real = now.select(F.col("value").alias("surrogate"), F.lit(True).alias("real")).distinct()
         clash = (now.join(first, "surrogate", "left").join(real, "surrogate", "left")
                  .withColumn("again", F.coalesce(F.col("real"), F.lit(False)) | F.coalesce(F.struct("value", "kind") != F.col("first"), F.lit(False))))
-        clash = storage.kept(clash.select("kind", "value", "salt", "surrogate", "again"), f"{path}/clash-{i}")
-        if clash.where("again").isEmpty():
+        clash = storage.kept(clash.select("kind", "value", "salt", "surrogate", "again"), f"{path}/clash-{turn}")
+        left = clash.where("again").count()
+        if not left:
             return now
+        stalled = 0 if turn == 1 or left < least else stalled + 1
+        least = left if turn == 1 else min(least, left)
+        if stalled == STALLED:
+            raise RuntimeError("a format of entities has no surrogates left")
         redrawn = drawn(clash.where("again").drop("surrogate", "again").withColumn("salt", F.col("salt") + 1))
-        now = storage.kept(clash.where("not again").drop("again").unionByName(redrawn.select("kind", "value", "salt", "surrogate")), f"{path}/entities-{i}")
-    raise RuntimeError("surrogates still collide; use another key")
+        now = storage.kept(clash.where("not again").drop("again").unionByName(redrawn.select("kind", "value", "salt", "surrogate")), f"{path}/entities-{turn}")
 
 
 def replace(docs: DataFrame, key: str = "zonewright") -> DataFrame:
@@ -153,12 +167,16 @@ def replace(docs: DataFrame, key: str = "zonewright") -> DataFrame:
     once in a text is replaced wherever it stands there. The surrogate follows from the key, the type and the value
     alone, so an entity has the same one in all texts and runs; it has the format, script and gender of the value. No
     two entities share a surrogate and none is an entity of the table (see entities()). Texts without any are
-    unchanged; NULL and empty texts stay, with 0 entities. Columns named _names, _hits, _pattern must not be in docs.
+    unchanged; NULL and empty texts stay, with 0 entities; texts of any length are searched whole. Other columns come back
+    untouched, whatever their names; an own column n_entities is replaced. An empty table gives an empty result.
     """
     path = storage.run_dir(docs.sparkSession, "surrogates")
     moved = storage.kept(entities(docs.select(F.col("text").cast("string").alias("text")), key, path).where("salt > 0").select("kind", "value", "surrogate"),
                          f"{path}/moved")
-    found = _found(docs.withColumn("text", F.col("text").cast("string")))
+    names = [c for c in docs.columns if c != "n_entities"]
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c != "text"]
+    # own columns travel in one struct, so that the working columns beside it clash with none of them
+    found = _found(docs.select(F.col("text").cast("string").alias("text"), F.struct(*(others or [F.lit(0)])).alias("_own")))
     drawn = F.transform("_hits", lambda h: surrogate(_kind(h), h, F.lit(key), F.lit(0)))
     if not moved.isEmpty():
         # texts with an entity whose first surrogate was taken get the ones drawn later
@@ -176,6 +194,6 @@ def replace(docs: DataFrame, key: str = "zonewright") -> DataFrame:
     parts = F.split(F.col("text"), F.col("_pattern"), -1)
     rebuilt = F.array_join(F.zip_with(parts, F.col("_drawn"), lambda p, d: F.concat(p, F.coalesce(d, F.lit("")))), "")
     out = found.withColumn("_drawn", F.when(F.size("_hits") > 0, drawn))
-    return (out.withColumn("text", F.when(F.size("_hits") > 0, rebuilt).otherwise(F.col("text")))
-            .withColumn("n_entities", F.coalesce(F.greatest(F.size("_hits"), F.lit(0)), F.lit(0)).cast("long"))
-            .select(*docs.columns, "n_entities"))
+    text = F.when(F.size("_hits") > 0, rebuilt).otherwise(F.col("text"))
+    back = [text.alias(c) if c == "text" else F.col("_own")[f"c{i}"].alias(c) for i, c in enumerate(names)]
+    return out.select(*back, F.coalesce(F.greatest(F.size("_hits"), F.lit(0)), F.lit(0)).cast("long").alias("n_entities"))
