@@ -156,13 +156,13 @@ def chains(docs: DataFrame, k: int, percent: int, rare: np.ndarray, buckets: int
             t, d, low, high = t[at], root, low[at], np.maximum.reduceat(high, at)
             bucket, home = (t % np.uint64(buckets)).astype(np.int64), edge[:, 0] % buckets
             order, order_e = np.argsort(bucket, kind="stable"), np.argsort(home, kind="stable")
-            cut, cut_e = (np.searchsorted(x[o], np.arange(buckets + 1)) for x, o in ((bucket, order), (home, order_e)))
+            present = np.union1d(bucket, home)  # only these, as there are many more buckets than entries in a large table
+            ends = [(np.searchsorted(x[o], present, "left"), np.searchsorted(x[o], present, "right")) for x, o in ((bucket, order), (home, order_e))]
             rows = []
-            for i in range(buckets):
-                pick, links = order[cut[i] : cut[i + 1]], edge[order_e[cut_e[i] : cut_e[i + 1]]]
-                if len(pick) or len(links):
-                    rows.append({"bucket": i, "token": t[pick].tobytes(), "doc": d[pick].tobytes(), "low": low[pick].astype(np.int32).tobytes(),
-                                 "high": high[pick].astype(np.int32).tobytes(), "edge": links.tobytes()})
+            for i, a, b, a_e, b_e in zip(present.tolist(), *ends[0], *ends[1]):
+                pick, links = order[a:b], edge[order_e[a_e:b_e]]
+                rows.append({"bucket": i, "token": t[pick].tobytes(), "doc": d[pick].tobytes(), "low": low[pick].astype(np.int32).tobytes(),
+                             "high": high[pick].astype(np.int32).tobytes(), "edge": links.tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY)
 
         for batch in batches:
