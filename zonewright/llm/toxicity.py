@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,14 +22,40 @@ WINDOW = 8
 QUOTED = 0.1
 THRESHOLD = 0.3
 CACHE = 100_000
+LONGEST = 64
 
 _WORD = re.compile(r"[^\W_]+")
 # fixed values: quotation marks, and words by which a text reports what others said
-_MARKS = re.compile("[\"“”„«»‹›「」]")
+_MARKS = re.compile("[\"“”„«»‹›「」\n]")
+_OPENING, _CLOSING = "«‹「„", "」"
 _REPORT = frozenset("said says wrote writes quoted quote quotes cited called term word phrase slur insult so-called".split())
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
+def quotations(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, closed) of each quotation, in order; one that is not closed ends with its line.
+
+    A mark that can open and close opens where no word ends right before it; a closing mark without an opening one counts for nothing.
+    """
+    spans: list[tuple[int, int, bool]] = []
+    begun = None
+    for m in _MARKS.finditer(text):
+        mark, at = m.group(), m.start()
+        if mark == "\n":
+            if begun is not None:
+                spans.append((begun, at, False))
+            begun = None
+        elif begun is None:
+            if mark in _OPENING or (mark not in _CLOSING and (at == 0 or text[at - 1].isspace() or text[at - 1] in "([{-–—:,")):
+                begun = m.end()
+        elif mark not in _OPENING or not text[at - 1].isspace():
+            spans.append((begun, at, True))
+            begun = None
+    if begun is not None:
+        spans.append((begun, len(text), False))
+    return spans
+
+
 @dataclass
 class Trie:
     """Lexicon entries by their letters."""
@@ -107,6 +134,8 @@ class Matcher:
         self.known: dict[str, tuple[str, int] | None] = {}
 
     def find(self, word: str) -> tuple[str, int] | None:
+        """The nearest entry; of very long words the beginning decides, as no entry is that long and a stem takes any ending."""
+        word = word[: 2 * LONGEST]
         if word not in self.known:
             if len(self.known) > CACHE:
                 self.known.clear()
@@ -114,8 +143,8 @@ class Matcher:
         return self.known[word]
 
     def may_hold(self, chunk: words.Chunk) -> np.ndarray:
-        """Rows of the chunk with a word near a lexicon entry."""
-        data = words.lowered(chunk.data)
+        """Rows of the chunk with a word near a lexicon entry, or with capitals that change their length when lowered."""
+        data, wide = self._lowered(chunk)
         w = words.split(chunk, words.letter_gaps(data))
         near = np.zeros(len(w.start), bool)
         size = w.end - w.start
@@ -127,23 +156,43 @@ class Matcher:
                 for j in range(h):
                     key = key << 8 | data[first + j]
                 near[fits] |= np.isin(key, keys)
-        pick = np.flatnonzero(near & (size >= 2) & (size <= 64))
+        pick = np.flatnonzero(near & (size >= 2))
+        if not len(pick):
+            return wide
         _, at, back = np.unique(words.hashes(data, w.start[pick], w.end[pick]), return_index=True, return_inverse=True)
         hit = np.array([self.find(data[w.start[i] : w.end[i]].tobytes().decode("utf-8", "replace")) is not None for i in pick[at]], bool)
-        return np.unique(w.row[pick[hit[back]]]) if len(pick) else np.zeros(0, np.int64)
+        return np.union1d(w.row[pick[hit[back]]], wide)
+
+    @staticmethod
+    def _lowered(chunk: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes lowered as `hits` lowers texts, and the rows where that changes the length, which are left to `hits`."""
+        data = words.lowered(chunk.data)
+        wide = []
+        beyond = np.flatnonzero((chunk.data >= 0xC4) & (chunk.data != 0xE2))
+        for r in np.unique(np.searchsorted(chunk.offsets, beyond, "right") - 1).tolist():
+            a, b = int(chunk.offsets[r]), int(chunk.offsets[r + 1])
+            low = data[a:b].tobytes().decode("utf-8", "replace").lower().encode()
+            if len(low) == b - a:
+                data[a:b] = np.frombuffer(low, np.uint8)
+            else:
+                wide.append(r)
+        return data, np.array(wide, np.int64)
 
     def hits(self, text: str) -> list[tuple[str, str, int, bool]]:
-        """(word, entry, edits, quoted) of each lexicon word, judged by the WINDOW words on either side of it."""
+        """(word, entry, edits, quoted) of each lexicon word: quoted inside quotation marks, or where marks were opened and the
+        WINDOW words before tell of somebody else's words."""
         found = []
-        tokens = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(text.lower())]
+        text = text.lower()
+        tokens = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(text)]
+        spans = quotations(text)
         for i, (word, start, end) in enumerate(tokens):
-            if not 2 <= len(word) <= 64 or (near := self.find(word)) is None:
+            if len(word) < 2 or (near := self.find(word)) is None:
                 continue
-            left, right = tokens[max(0, i - WINDOW)], tokens[min(len(tokens) - 1, i + WINDOW)]
-            before, after = text[left[1] : start], text[end : right[2]]
-            inside = len(_MARKS.findall(before.rsplit("\n", 1)[-1])) % 2 == 1 and _MARKS.search(after.split("\n", 1)[0]) is not None
+            at = bisect.bisect_right(spans, start, key=lambda s: s[0]) - 1
+            inside = at >= 0 and end <= spans[at][1]
+            closed = inside and spans[at][2]
             told = any(t[0] in _REPORT for t in tokens[max(0, i - WINDOW) : i])
-            found.append((word, *near, inside or (told and _MARKS.search(before) is not None)))
+            found.append((word, *near, closed or (inside and told)))
         return found
 
 
@@ -216,7 +265,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     top = top.groupBy(stem.alias("word")).agg(F.max("n").alias("top"))
     # a stem counts for what it adds to its most frequent word
     counted = stands.join(top, "word", "left").select("word", (F.col("n") - F.coalesce("top", F.lit(0))).alias("n"))
-    likely = {r["word"]: r["n"] for r in counted.where(f"n >= {MIN_CONTEXTS} and length(word) between 2 and 64").collect()}
+    likely = {r["word"]: r["n"] for r in counted.where(f"n >= {MIN_CONTEXTS} and length(word) between 2 and {LONGEST}").collect()}
     tried = stands.count()
 
     def presence(known: frozenset[str], matcher: Matcher | None):
