@@ -39,9 +39,9 @@ def op4_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def segmented(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Digest of the three best segmentations: size and hash of the best one's ids, scores of all, changes of the others."""
+    """The best segmentation's ids, and of the three best their scores, with a hash of what the others change."""
     found = segment.segment(docs, vocabulary, 3)
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.col("score").alias("best_score"),
+    return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.col("score").alias("best_score"),
                         F.expr("try_element_at(others, 1).score").alias("second_score"), F.expr("try_element_at(others, 2).score").alias("third_score"),
                         F.size("others").alias("n_others"), F.xxhash64(F.to_json("others")).alias("others_hash"), "decoded")
 

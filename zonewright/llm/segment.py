@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
@@ -298,3 +299,21 @@ def segment(docs: DataFrame, model: str, n: int = 3) -> DataFrame:
                                                   pa.array(decoded), pa.array(others, _ARROW.field("others").type)], schema=_ARROW)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+
+
+def decode(pieces: DataFrame, model: str, ids: str = "ids", out: str = "text") -> DataFrame:
+    """`pieces` with the texts of its lists of ids in column `out`: the pieces joined, without the space that was put before the text.
+
+    Byte pieces that make no UTF-8 come out as U+FFFD; control and unknown pieces as nothing; an id the model does not have fails the job.
+    NULL and empty lists give ''. Other columns stay; an own column `out` is replaced.
+    """
+    shared = pieces.sparkSession.sparkContext.broadcast(Vocabulary.load(model).raw)
+
+    @F.pandas_udf("string")
+    def texts(lists: pd.Series) -> pd.Series:
+        raw = shared.value
+        if any(len(x) and (min(x) < 0 or max(x) >= len(raw)) for x in lists):
+            raise ValueError("not an id of the model")
+        return pd.Series([b"".join(raw[i] for i in x).removeprefix(b" ").decode("utf-8", "replace") for x in lists], dtype=object)
+
+    return pieces.withColumn(out, texts(F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>"))))
