@@ -85,11 +85,13 @@ def normalize_list(df: DataFrame, hosts: str, suffixes: Suffixes, key: Sequence[
                    out: str = "ns_domains") -> DataFrame:
     """Per key the sorted distinct registrable names of a host list, [] for none.
 
-    `key` must identify a row; other columns are not carried. Repeats go before the shuffle.
+    `key` must identify a row; other columns are not carried. Suffixes are matched once per distinct host, which are far fewer
+    than their occurrences; a host may be that of a large part of all rows, so the way back is salted.
     """
     each = df.select(*key, F.explode_outer(hosts).alias("_host"))
-    named = normalize(each, "_host", suffixes, "_name")
-    return named.groupBy(*key).agg(F.array_sort(F.collect_set("_name")).alias(out))
+    named = normalize(each.select("_host").where(F.col("_host").isNotNull()).distinct(), "_host", suffixes, "_name").where(F.col("_name").isNotNull())
+    found = salted_join(each, named, ["_host"], F.struct(*key))
+    return found.groupBy(*key).agg(F.array_sort(F.collect_set("_name")).alias(out))
 
 
 def replace_list(new: Column, old: Column) -> Column:
@@ -150,5 +152,6 @@ def unicode_tlds(df: DataFrame, col: str = "tld", out: str = "tld") -> DataFrame
 
     table = (df.select(F.col(col).alias("_from")).where(F.col(col).startswith("xn--") | F.col(col).contains(".xn--"))
              .distinct().withColumn("_to", decode("_from")))
-    joined = df.join(table, F.col(col) == F.col("_from"), "left")
+    # the key is set for such names only: all others, a hot suffix among them, have none and are joined with nothing
+    joined = df.join(table, F.when(F.col(col).contains("xn--"), F.col(col)) == F.col("_from"), "left")
     return joined.withColumn(out, F.coalesce("_to", F.col(col))).drop("_from", "_to")

@@ -198,8 +198,8 @@ def tag_rows(df: DataFrame, tags: Sequence[Tag], out: str = "tags") -> DataFrame
 
 
 # --- facets and summary --------------------------------------------------------------------------
-def facet(df: DataFrame, col: str, criteria: Sequence[tuple[str, str, str]] = (), size: int = FACET_SIZE) -> DataFrame:
-    """Most frequent values `(label, count)`: list elements one by one, scalars unless NULL.
+def facet_values(df: DataFrame, col: str, criteria: Sequence[tuple[str, str, str]] = ()) -> DataFrame:
+    """Values `v` that a facet counts: list elements one by one, scalars unless NULL.
 
     For servers of a search on a nameserver domain only hosts under that domain count.
     """
@@ -210,9 +210,13 @@ def facet(df: DataFrame, col: str, criteria: Sequence[tuple[str, str, str]] = ()
         values = df.select(F.col(col).alias("v"))
     values = values.where(F.col("v").isNotNull())
     under = [c[2] for c in criteria if c[0] == "ns_domains"] if col == "ns" else []
-    if under:
-        values = values.where(F.col("v").endswith("." + under[0]))
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("count"))
+    return values.where(F.col("v").endswith("." + under[0])) if under else values
+
+
+def facet(df: DataFrame, col: str, criteria: Sequence[tuple[str, str, str]] = (), size: int = FACET_SIZE) -> DataFrame:
+    """Most frequent values `(label, count)` of `facet_values`. See `heavy.facet` for columns with very many values."""
+    kind = dict(df.dtypes)[col]
+    counts = facet_values(df, col, criteria).groupBy("v").agg(F.count(F.lit(1)).alias("count"))
     top = counts.orderBy(F.desc("count"), "v").limit(size)
     label = text.empty_label(F.col("v")) if kind in ("string", "array<string>") else F.col("v")
     return top.select(label.alias("label"), "count")

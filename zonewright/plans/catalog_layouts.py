@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from zonewright.functions import text
-from zonewright.operators import enrich, fingerprints, history, intervals, merge, ranks, search, selection
-from zonewright.plans import catalog_sources, catalog_updates, shaped
+from zonewright.operators import enrich, fingerprints, heavy, history, intervals, merge, ranks, search, selection, sketches, trigrams
+from zonewright.plans import catalog_search, catalog_sources, catalog_updates, shaped
 from zonewright.plans.catalog_updates import _FOLDED, _NX_MESSAGES, _REASON, _run_dir, event_messages
-from zonewright.plans.shaped import LOG_SQL, current, domain_log, event_updates, table
+from zonewright.plans.shaped import EVENT_LOG_SQL, LOG_SQL, SERVERS_SQL, current, current_with_servers, domain_log, event_log, event_updates, table
 from zonewright.sources import keyed_tables, messages
 
 QUERIES, ORACLES = {}, {}
@@ -123,3 +123,42 @@ def _(spark, sf):
   lead(last_modified) OVER (PARTITION BY domain ORDER BY last_modified, seq) AS valid_to FROM log""")
 def _(spark, sf):
     return history.validity(domain_log(spark, sf).select("seq", "domain", "last_modified")).drop("last_modified")
+
+
+# --- summaries and indexes -----------------------------------------------------------------------------
+@query("facet_by_summaries", f"""WITH {LOG_SQL}, {SERVERS_SQL} SELECT label, count(*) AS count
+  FROM (SELECT unnest(ns_domains) AS label FROM curns) GROUP BY label ORDER BY count DESC, label LIMIT 100""")
+def _(spark, sf):
+    return heavy.facet(current_with_servers(spark, sf), "ns_domains", capacity=512)
+
+
+@query("facet_by_certified_summaries", f"""WITH {LOG_SQL}
+  SELECT CASE WHEN seq % 3 = 0 THEN modified_by ELSE domain END AS label, count(*) AS count FROM log GROUP BY label ORDER BY count DESC, label LIMIT 5""")
+def _(spark, sf):
+    """A few frequent values among very many rare ones."""
+    log = domain_log(spark, sf)
+    return heavy.facet(log.select(F.when(F.col("seq") % 3 == 0, F.col("modified_by")).otherwise(F.col("domain")).alias("v")), "v", size=5, capacity=400)
+
+
+@query("search_substring_indexed", catalog_search.ORACLES["search_array_substring"])
+def _(spark, sf):
+    cur, path = current_with_servers(spark, sf), f"{_run_dir(spark)}/index"
+    trigrams.write_index(cur, "ns", path)
+    found = trigrams.search_keys(spark, path, "-00000001").withColumnRenamed("key", "domain")
+    return cur.join(found, "domain", "left_semi").select("domain", text.list_text(F.col("ns")).alias("ns"))
+
+
+@query("names_of_spans", f"""WITH {EVENT_LOG_SQL}, s AS (SELECT DATE '2024-01-01' + CAST(a AS INTEGER) AS first, DATE '2024-01-01' + CAST(a + b AS INTEGER) AS last
+    FROM range(0, 40, 6) x(a), range(0, 12, 5) y(b))
+  SELECT first, last, count(DISTINCT domain) AS exact, true AS within FROM s LEFT JOIN elog ON CAST(last_modified AS DATE) BETWEEN first AND last GROUP BY first, last""")
+def _(spark, sf):
+    """Spans of days answered from stored sketches, held against exact counts: within four standard errors."""
+    path, log = f"{_run_dir(spark)}/sketches", event_log(spark, sf).select("domain", "last_modified")
+    sketches.daily_sketches(log).write.parquet(path)
+    spans = spark.range(0, 40, 6).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("first"), F.explode(F.array(*map(F.lit, (0, 5, 10)))).alias("_b"))
+    spans = spans.select("first", F.date_add("first", F.col("_b")).alias("last"))
+    found = sketches.names_in_spans(spark.read.parquet(path), spans)
+    days = log.select("domain", F.to_date("last_modified").alias("day")).distinct()
+    exact = spans.withColumn("day", F.explode(F.sequence("first", "last"))).join(days, "day", "left").groupBy("first", "last").agg(F.countDistinct("domain").alias("exact"))
+    error = 4 / 2 ** (sketches.LG / 2)
+    return found.join(exact, ["first", "last"]).select("first", "last", "exact", (F.abs(F.col("names") - F.col("exact")) <= F.col("exact") * F.lit(error)).alias("within"))
