@@ -133,8 +133,8 @@ def test_zone_source_opens_only_the_files_asked_for(spark, tmp_path):
     (folder / "zone-com-2024-13-40.gz").write_bytes(b"no day")
     (folder / "notes.txt").write_text("no zone")
 
-    def load(session=own, **options):
-        return session.read.format("zonefiles").options(**options).load(str(folder))
+    def load(source="zonefiles", **options):
+        return own.read.format(source).options(**options).load(str(folder))
 
     assert load(tlds="com, co.uk").count() == 3 and load(tlds="com", first="2024-03-02").count() == 1
     assert load(last="2024-03-01").where("value like 'b%'").count() == 1 and load(tlds="none").columns == ["tld", "date", "value"]
@@ -146,7 +146,7 @@ def test_zone_source_opens_only_the_files_asked_for(spark, tmp_path):
     mine = zone.parse_zone_lines(lines, keep=["_zone", "date"])
     paths = [str(folder / f"zone-com-2024-03-0{i}.gz") for i in (1, 2)]
     assert sorted(map(tuple, mine.collect())) == sorted(map(tuple, zone.read_zone(spark, paths).collect()))
-    pushing = zone_source.register(spark, filters=True)
+    pushing = "zonefiles_filtered"
     assert load(pushing).where("tld = 'com' and date >= '2024-03-02'").count() == 1 and load(pushing).where("tld in ('com', 'co.uk')").count() == 3
     assert load(pushing).where("tld = 'com' and date < '2024-03-02' and value like 'b%'").count() == 1
     assert spark.conf.get(zone_source.PUSHDOWN) == "false"

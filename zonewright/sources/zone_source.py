@@ -3,8 +3,8 @@
 One partition per file, that is per (tld, date). The options `tlds` (names with commas between), `first` and `last` (days) say which
 files to list; the others are not opened. Rows are lines (tld, date, value); `zone.parse_zone_lines` makes records of them.
 
-Filters on tld and date can do the same (see register()). In Spark 4.1 the files chosen by a filter stay with the loaded frame, and
-a later query of that frame without any filter gets no others; so this is off unless asked for, and then each query must load anew.
+As `zonefiles_filtered` the source takes filters on tld and date for the same. In Spark 4.1 the files chosen by a filter stay with the
+loaded frame, and a later query of that frame without any filter gets no others; so each query must load it anew.
 """
 
 from __future__ import annotations
@@ -76,7 +76,19 @@ def _chosen(options: Mapping[str, str]) -> list[ZoneFile]:
 
 class ZoneReader(DataSourceReader):
     def __init__(self, options: Mapping[str, str]) -> None:
-        self.options, self.tests = dict(options), []
+        self.options = dict(options)
+
+    def partitions(self) -> list[ZoneFile]:
+        return _chosen(self.options)
+
+    def read(self, partition: ZoneFile) -> Iterator[pa.RecordBatch]:
+        return _lines(partition, self.options["path"])
+
+
+class FilteredZoneReader(ZoneReader):
+    def __init__(self, options: Mapping[str, str]) -> None:
+        super().__init__(options)
+        self.tests: list[tuple] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
@@ -91,10 +103,7 @@ class ZoneReader(DataSourceReader):
         def fits(file: ZoneFile) -> bool:
             return all(_TESTS[kind](file.tld if column == "tld" else file.day, value) for column, kind, value in self.tests)
 
-        return [f for f in _chosen(self.options) if fits(f)]
-
-    def read(self, partition: ZoneFile) -> Iterator[pa.RecordBatch]:
-        return _lines(partition, self.options["path"])
+        return [f for f in super().partitions() if fits(f)]
 
 
 class ZoneStreamReader(DataSourceStreamReader):
@@ -136,11 +145,20 @@ class ZoneSource(DataSource):
         return ZoneStreamReader(self._given())
 
 
-def register(spark: SparkSession, filters: bool = False) -> SparkSession:
-    """A session of the same application that knows the source, and with `filters` hands it those on tld and date; the caller's
-    settings stay as they are."""
+class FilteredZoneSource(ZoneSource):
+    @classmethod
+    def name(cls) -> str:
+        return "zonefiles_filtered"
+
+    def reader(self, schema) -> FilteredZoneReader:
+        return FilteredZoneReader(self._given())
+
+
+def register(spark: SparkSession) -> SparkSession:
+    """A session of the same application that knows `zonefiles` and `zonefiles_filtered`; the caller's settings stay as they are."""
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    own.conf.set(PUSHDOWN, str(filters).lower())
-    own.dataSource.register(ZoneSource)
+    own.conf.set(PUSHDOWN, "true")
+    for source in (ZoneSource, FilteredZoneSource):
+        own.dataSource.register(source)
     return own
