@@ -31,7 +31,7 @@ SCREEN_SLICE = 1 << 16
 BUCKET_ENTRIES = 1 << 18
 LEAF = 8
 FAN = 8
-PAIRS = 1 << 15
+PAIRS = 1 << 13
 
 _PROFILE = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("map", pa.binary()),
                       ("slice", pa.int32()), ("counts", pa.binary())])
