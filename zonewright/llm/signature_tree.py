@@ -412,6 +412,7 @@ def links_of(docs: DataFrame, k: int, percent: int, profiled: DataFrame, path: s
             .select(bin_of.alias("unit"), "doc_id", "block", "n", "map").groupBy("unit")
             .applyInArrow(filtered, "doc_id bigint, block bigint, n bigint"))
     sized = storage.kept(left.unionByName(judged.where("whole").select("doc_id", "block", "n")), f"{path}/paired")
+    storage.drop(spark, f"{path}/profile", f"{path}/chains", f"{path}/sized")  # the bitmaps, mostly; all that follows starts from `paired`
     weights = sized.groupBy("block").agg(F.sum("n").alias("weight"))
     members = storage.kept(sized.join(weights, "block").withColumn("label", F.col("doc_id")), f"{path}/members")
     bins = max(8, int((members.where(f"weight <= {UNIT_TOKENS}").agg(F.sum("n")).first()[0] or 0) // (UNIT_TOKENS // 4)))
@@ -461,7 +462,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     path = storage.run_dir(docs.sparkSession, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profiled = storage.kept(profile(docs, k), f"{path}/profile")
-    per_doc = profiled.where("slice is null").select("doc_id", "n_shingles", "fp1", "fp2")
+    per_doc = storage.kept(profiled.where("slice is null").select("doc_id", "n_shingles", "fp1", "fp2"), f"{path}/documents")
     links = links_of(docs, k, percent, profiled, path)
     shape = ["n_shingles", "fp1", "fp2"]
     named = per_doc.where("doc_id is not null and n_shingles > 0")

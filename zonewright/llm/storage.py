@@ -37,3 +37,11 @@ def kept(df: DataFrame, path: str) -> DataFrame:
     """df as a table written once and read back: later jobs and retries start from it."""
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, *paths: str) -> None:
+    """Remove tables of kept() that nothing reads any more: what was made from them must have been written itself."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
