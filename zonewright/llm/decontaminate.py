@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from zonewright.llm import words
+from zonewright.llm import storage, words
 
 WINDOW = 8
 SHORTEST = 3
@@ -22,8 +22,9 @@ UNITS = ("mm cm m km in ft yd mi mg g kg t lb lbs oz ml cl l gal s sec secs seco
          "kilogram kilograms pound pounds ounce ounces liter liters litre litres dollar dollars euro euros cent cents usd eur gbp mph kmh "
          "hz khz mhz ghz kb mb gb tb w kw v a pa bar degree degrees percent").split()
 
-_SPOT = pa.schema([("id", pa.int64()), ("pos", pa.int64()), ("total", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64()))])
-_SPOT_DDL = "id bigint, pos bigint, total bigint, hash bigint, slots array<bigint>"
+_SPOT = pa.schema([("id", pa.int64()), ("pos", pa.int64()), ("total", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64())),
+                   ("size", pa.int32())])
+_SPOT_DDL = "id bigint, pos bigint, total bigint, hash bigint, slots array<bigint>, size int"
 
 
 def _hash_words(texts: list[str]) -> np.ndarray:
@@ -73,11 +74,11 @@ def templates(chunk: words.Chunk) -> tuple[words.Words, np.ndarray, np.ndarray,
 
 
 def spots(rows: DataFrame, sizes: list[int] | None, screen: np.ndarray | None) -> DataFrame:
-    """(id, pos, total, hash, slots) of the template windows of rows (id, text).
+    """(id, pos, total, hash, slots, size) of the template windows of rows (id, text).
 
-    With sizes None a text's windows have WINDOW words, or all it has if fewer; else each size is tried. Windows of
-    placeholders for the most part are left out; total is the number of windows kept. slots are hashes of what the
-    placeholders stand for. With a screen only windows whose bit is set are returned.
+    With sizes None a text's windows have WINDOW words, or all it has if fewer; else each size is tried. Windows of fewer than
+    SHORTEST words are whole texts only. Windows of placeholders for the most part are left out; total is the number of windows
+    kept. slots are hashes of what the placeholders stand for. With a screen only windows whose bit is set are returned.
     """
     shared = None if screen is None else rows.sparkSession.sparkContext.broadcast(screen)
 
@@ -88,7 +89,7 @@ def spots(rows: DataFrame, sizes: list[int] | None, screen: np.ndarray | None) -
                 w, plain, form, slot = templates(chunk)
                 size_of = np.diff(w.first)
                 filled = np.concatenate([[0], np.cumsum(slot)])
-                for k in sizes or range(SHORTEST, WINDOW + 1):
+                for k in range(1, WINDOW + 1) if sizes is None else sizes:
                     if len(form) < k:
                         continue
                     n = len(form) - k + 1
@@ -98,7 +99,7 @@ def spots(rows: DataFrame, sizes: list[int] | None, screen: np.ndarray | None) -
                     h = words.mix(h)
                     row = w.row[:n]
                     ok = (row == w.row[k - 1 :]) & (2 * (filled[k:] - filled[:n]) <= k)
-                    if sizes is None and k < WINDOW:
+                    if k < SHORTEST or (sizes is None and k < WINDOW):
                         ok &= size_of[row] == k
                     total = np.bincount(row[ok], minlength=len(chunk))
                     if shared is not None:
@@ -109,7 +110,8 @@ def spots(rows: DataFrame, sizes: list[int] | None, screen: np.ndarray | None) -
                         continue
                     own = [plain[i : i + k][slot[i : i + k]].view(np.int64).tolist() for i in at]
                     yield pa.RecordBatch.from_arrays([pa.array(ids[chunk.first + row[at]], pa.int64()), pa.array(at - w.first[row[at]], pa.int64()),
-                                                      pa.array(total[row[at]], pa.int64()), pa.array(h[at].view(np.int64)), pa.array(own, pa.list_(pa.int64()))],
+                                                      pa.array(total[row[at]], pa.int64()), pa.array(h[at].view(np.int64)), pa.array(own, pa.list_(pa.int64())),
+                                                      pa.array(np.full(len(at), k), pa.int32())],
                                                      schema=_SPOT)
 
     return rows.mapInArrow(run, _SPOT_DDL)
@@ -134,24 +136,28 @@ def _screen(hashes: DataFrame) -> np.ndarray:
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, matched, windows, coverage, reworded) for each document that holds a benchmark item.
 
-    Whole texts are canonicalised and cut into windows of 8 words (items with 3 to 7 words are one window). Windows
+    Whole texts are canonicalised and cut into windows of 8 words (items with 3 to 7 words are one window; which of
+    these sizes are looked for follows from the items' own windows). Items of one or two words are found where they are the
+    whole text of a document, so that common words leave other documents alone. Windows
     meet by hash in an ordinary join, after a bitmap of fixed size has sorted out nearly all that meet nothing. Matches
     of one document and item are lined up by the distance of their positions; along one line each slot value of the
     item must stand for one value in the document, else the line does not count. A pair is returned when the lines
     that hold cover `coverage` of the item's windows; reworded says that some slot value differs from the item's.
-    Items with fewer than 3 words, of placeholders for the most part, and NULL or empty texts match nothing. Equal items each
-    match; repeated rows of a document or item count once; rows without an id are left out. Other columns are ignored.
+    Items without words or of placeholders for the most part, and NULL or empty texts match nothing. Equal items each
+    match; repeated rows of a document or item count once; rows without an id are left out. Other columns are ignored. Texts
+    are read once: windows of items, and windows that met, are written below spark.checkpoint.dir.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null and text is not null")
     items = (benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
              .where("id is not null and text is not null"))
-    item = spots(items, None, None).distinct()
+    path = storage.run_dir(docs.sparkSession, "leaks")
+    item = storage.kept(spots(items, None, None).distinct(), f"{path}/items")
     kept = item.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("total").alias("windows"), "hash",
                        F.col("slots").alias("item_slots"))
-    short = items.where(F.length("text") < 4096).select(F.size(F.split("text", r"[\s\p{Punct}]+")).alias("n")).where(f"n < {2 * WINDOW}")
-    sizes = [WINDOW] if short.isEmpty() else list(range(SHORTEST, WINDOW + 1))
+    sizes = sorted(r["size"] for r in item.select("size").distinct().collect())  # at most WINDOW of them
     found = spots(rows, sizes, _screen(item)).select(F.col("id").alias("doc_id"), "pos", "hash", "slots")
     met = found.join(kept, "hash").where(F.size("slots") == F.size("item_slots")).withColumn("line", F.col("pos") - F.col("item_pos"))
+    met = storage.kept(met, f"{path}/met")
     line = ["doc_id", "item_id", "line"]
     slot = met.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).where("s.item_slots is not null")
     torn = (slot.groupBy(*line, "s.item_slots").agg(F.min("s.slots").alias("lo"), F.max("s.slots").alias("hi"))

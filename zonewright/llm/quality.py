@@ -17,23 +17,52 @@ STEPS = 200
 LABELLERS = ("length", "word_length", "letters", "capitals", "sentences", "repeats", "symbols", "bars")
 
 
-def _features(chunk: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """Votes of the labellers (0 bad, 1 no vote, 2 good) and hashed features (length 1 in all) of each row of a chunk."""
-    raw, rows = chunk.data, len(chunk)
+# fixed values: full stop, exclamation and question mark of full width, in UTF-8
+WIDE_STOPS = ("\u3002".encode(), "\uff01".encode(), "\uff1f".encode())
+
+
+def _words(chunk: words.Chunk) -> tuple[words.Words, np.ndarray]:
+    """Words between white space, each kana or Han character a word of its own, and the number of such characters of each row."""
+    raw = chunk.data
     w = words.split(chunk, words.SPACE[raw])
-    count = np.diff(w.first)
-    size = np.diff(chunk.offsets)
+    han = np.flatnonzero((raw >= 0xE3) & (raw <= 0xE9))
+    han = han[(raw[han] > 0xE3) | (raw[np.minimum(han + 1, len(raw) - 1)] >= 0x81)]
+    wide = np.diff(np.searchsorted(han, chunk.offsets))
+    if len(han):
+        cuts = np.setdiff1d(np.concatenate([han, han + 3]), np.concatenate([w.start, w.end]))
+        start, end = np.sort(np.concatenate([w.start, cuts])), np.sort(np.concatenate([w.end, cuts]))
+        first = np.searchsorted(start, chunk.offsets)
+        w = words.Words(start, end, np.repeat(np.arange(len(chunk)), np.diff(first)), first)
+    return w, wide
 
-    def share(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags)])
-        return (total[chunk.offsets[1:]] - total[chunk.offsets[:-1]]) / np.maximum(size, 1)
 
-    key = words.hashes(words.lowered(raw), w.start, w.end)
-    wide = np.bincount(w.row, weights=w.end - w.start, minlength=rows) / np.maximum(count, 1)
-    upper = (raw >= 65) & (raw <= 90)
-    letters, capitals = share(words.ALNUM[raw] & ~words.DIGIT[raw]), share(upper)
-    stops = share(np.isin(raw, np.frombuffer(b".?", np.uint8))) * size / np.maximum(count, 1)
-    symbols, bars = share(np.isin(raw, np.frombuffer(b"!&%#$*@~^<>{}\\", np.uint8))), share(raw == 0x7C)
+def _votes(chunk: words.Chunk, w: words.Words, wide: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Votes of the labellers (0 bad, 1 no vote, 2 good) on each row of a chunk, from counts of characters and words.
+
+    Kana and Han count as half a word each; texts that hold them for a third or more get no vote on the length of words.
+    """
+    raw, rows = chunk.data, len(chunk)
+    begins = (raw & 0xC0) != 0x80  # the first byte of each character
+    chars = np.concatenate([[0], np.cumsum(begins)])
+    size = np.maximum(chars[chunk.offsets[1:]] - chars[chunk.offsets[:-1]], 1)
+    shown = np.diff(w.first)
+    count = shown - wide / 2
+
+    def number(flags: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(flags)])
+        return total[chunk.offsets[1:]] - total[chunk.offsets[:-1]]
+
+    mean = np.bincount(w.row, weights=chars[w.end] - chars[w.start], minlength=rows) / np.maximum(shown, 1)
+    letters = number(begins & words.ALNUM[raw] & ~words.DIGIT[raw]) / size
+    capitals = number((raw >= 65) & (raw <= 90)) / size
+    ends = np.isin(raw, np.frombuffer(b".?", np.uint8))
+    if wide.any():
+        for mark in WIDE_STOPS:
+            at = np.flatnonzero(raw == mark[0])
+            at = at[at + 2 < len(raw)]
+            ends[at[(raw[at + 1] == mark[1]) & (raw[at + 2] == mark[2])]] = True
+    stops = number(ends) / np.maximum(count, 1)
+    symbols, bars = number(np.isin(raw, np.frombuffer(b"!&%#$*@~^<>{}\\", np.uint8))) / size, number(raw == 0x7C) / size
     gram = np.zeros(0, np.uint64)
     if len(key) > 4:
         gram = words.mix(key[:-4] * words._ORDER[0] + key[2:-2] * words._ORDER[2] + key[4:] * words._ORDER[4])
@@ -42,19 +71,33 @@ def _features(chunk: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
     distinct = np.bincount(pair[:, 0].astype(np.int64), minlength=rows)
     fresh = distinct / np.maximum(np.bincount(w.row[:-4][inside], minlength=rows) if inside.any() else np.zeros(rows), 1)
     long_ = count >= 40
-    votes = np.stack([np.where(count < 8, 0, np.where(long_, 2, 1)), np.where((wide < 2) | (wide > 14), 0, np.where((wide > 3) & (wide < 9), 2, 1)),
+    votes = np.stack([np.where(count < 8, 0, np.where(long_, 2, 1)),
+                      np.where(3 * wide >= size, 1, np.where((mean < 2) | (mean > 14), 0, np.where((mean > 3) & (mean < 9), 2, 1))),
                       np.where(letters < 0.6, 0, np.where(letters > 0.75, 2, 1)), np.where(capitals > 0.3, 0, np.where(capitals < 0.1, 2, 1)),
                       np.where(stops < 0.005, 0, np.where((stops > 0.03) & (stops < 0.4), 2, 1)),
                       np.where(long_ & (fresh < 0.6), 0, np.where(long_ & (fresh > 0.9), 2, 1)),
                       np.where(symbols > 0.02, 0, np.where(symbols < 0.002, 2, 1)), np.where(bars > 0.01, 0, np.where(bars == 0, 1, 0))], 1)
-    # what the linear scorer sees: word ends and shapes by hash, not the labellers' values
+    return votes.astype(np.int64)
+
+
+def _vectors(chunk: words.Chunk, w: words.Words, key: np.ndarray) -> np.ndarray:
+    """What the linear scorer sees of each row, of length 1 in all: words, word ends and shapes by hash, not the labellers' values."""
+    raw, rows = chunk.data, len(chunk)
+    upper = (raw >= 65) & (raw <= 90)
     last, first = raw[w.end - 1].astype(np.uint64), raw[w.start].astype(np.uint64)
     shape = words.mix(last * np.uint64(1 << 20) + np.minimum(w.end - w.start, 20).astype(np.uint64) * np.uint64(1 << 10)
                       + words.DIGIT[first.astype(np.int64)] * np.uint64(2) + upper[w.start] * np.uint64(4) + upper[np.maximum(w.end - 2, w.start)] * np.uint64(8))
     dims = np.concatenate([shape % np.uint64(FEATURES), key % np.uint64(FEATURES)]).astype(np.int64)
     x = np.bincount(np.concatenate([w.row, w.row]) * FEATURES + dims, minlength=rows * FEATURES).reshape(rows, FEATURES).astype(np.float32)
     x = np.log1p(x)
-    return votes.astype(np.int64), x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def _read(chunk: words.Chunk, vectors: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Vote patterns and, if asked for, vectors of the rows of a chunk."""
+    w, wide = _words(chunk)
+    key = words.hashes(words.lowered(chunk.data), w.start, w.end)
+    return pattern_of(_votes(chunk, w, wide, key)), _vectors(chunk, w, key) if vectors else None
 
 
 def pattern_of(votes: np.ndarray) -> np.ndarray:
@@ -80,9 +123,10 @@ def accuracies(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray, float]:
 def score(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, weak_label, score, keep) of each whole text; no label of the tables is read.
 
-    Eight heuristics vote good, bad or nothing. Patterns of votes are counted over all texts (3^8 at most), and EM on the
+    Eight heuristics vote good, bad or nothing (`bars` never good) on counts of characters and words, so that scripts of several
+    bytes a character are judged alike; texts without spaces are read by character. Patterns of votes are counted over all texts (3^8 at most), and EM on the
     counts estimates how often each heuristic is right and so the posterior of each pattern, weak_label. A linear
-    scorer on hashed word features is trained on those posteriors, on at most `train_rows` texts (least hash of text),
+    scorer on hashed word features is trained on those posteriors, on at most `train_rows` different texts (those of least hash),
     and gives score; keep is score >= 0.5. NULL and empty texts vote too (as too short). An empty table gives no
     rows. Repeated rows count as often as they occur; other columns are ignored.
     """
@@ -93,7 +137,7 @@ def score(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
         counts: dict[int, int] = {}
         for batch in batches:
             for chunk in _small(batch.column(1)):
-                for p in pattern_of(_features(chunk)[0]).tolist():
+                for p in _read(chunk, False)[0].tolist():
                     counts[p] = counts.get(p, 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
 
@@ -104,14 +148,20 @@ def score(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     label = dict(zip(patterns.tolist(), good.tolist()))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # at most train_rows keys
         for batch in batches:
-            for chunk in _small(batch.column(0)):
-                votes, x = _features(chunk)
-                yield pa.RecordBatch.from_arrays([pa.array(pattern_of(votes), pa.int32()), pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary())], names=["p", "x"])
-
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    edge = docs.select(key.alias("k")).orderBy("k").limit(train_rows).agg(F.max("k")).first()[0]
-    sample = docs.where(key <= edge).limit(2 * train_rows).select("text").mapInArrow(describe, "p int, x binary").limit(train_rows).collect()
+            keys = batch.column(0).to_pylist()
+            fresh = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+            batch = batch.take(pa.array(fresh, pa.int64()))
+            for chunk in _small(batch.column(1)):
+                p, x = _read(chunk, True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, len(chunk)), pa.array(p, pa.int32()),
+                                                  pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary())], names=["k", "p", "x"])
+
+    # each text once, however often it occurs; equal texts have equal vectors
+    keyed = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "text")
+    edge = keyed.select("k").distinct().orderBy("k").limit(train_rows).agg(F.max("k")).first()[0]
+    sample = keyed.where(F.col("k") <= edge).mapInArrow(describe, "k bigint, p int, x binary").dropDuplicates(["k"]).orderBy("k").collect()
     x = np.stack([np.frombuffer(r["x"], np.float16) for r in sample]).astype(np.float32)
     y = np.array([label[r["p"]] for r in sample], np.float32)
     weights, bias, speed = np.zeros(FEATURES, np.float32), 0.0, np.zeros(FEATURES, np.float32)
@@ -125,9 +175,9 @@ def score(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
         w, b = shared.value
         for batch in batches:
             for chunk in _small(batch.column(1)):
-                votes, x = _features(chunk)
+                pattern, x = _read(chunk, True)
                 p = 1 / (1 + np.exp(-(x @ w + b).astype(float)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, len(chunk)), pa.array([label[v] for v in pattern_of(votes).tolist()]),
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, len(chunk)), pa.array([label[v] for v in pattern.tolist()]),
                                                   pa.array(p), pa.array(p >= 0.5)], names=["doc_id", "weak_label", "score", "keep"])
 
     return docs.mapInArrow(apply, "doc_id bigint, weak_label double, score double, keep boolean")
