@@ -21,6 +21,11 @@ LABELLERS = ("length", "word_length", "letters", "capitals", "sentences", "repea
 WIDE_STOPS = ("\u3002".encode(), "\uff01".encode(), "\uff1f".encode())
 
 
+STOP, SYMBOL = np.zeros(256, bool), np.zeros(256, bool)
+STOP[list(b".?")] = True
+SYMBOL[list(b"!&%#$*@~^<>{}\\")] = True
+
+
 def _words(chunk: words.Chunk) -> tuple[words.Words, np.ndarray]:
     """Words between white space, each kana or Han character a word of its own, and the number of such characters of each row."""
     raw = chunk.data
@@ -55,21 +60,22 @@ def _votes(chunk: words.Chunk, w: words.Words, wide: np.ndarray, key: np.ndarray
     mean = np.bincount(w.row, weights=chars[w.end] - chars[w.start], minlength=rows) / np.maximum(shown, 1)
     letters = number(begins & words.ALNUM[raw] & ~words.DIGIT[raw]) / size
     capitals = number((raw >= 65) & (raw <= 90)) / size
-    ends = np.isin(raw, np.frombuffer(b".?", np.uint8))
+    ends = STOP[raw]
     if wide.any():
         for mark in WIDE_STOPS:
             at = np.flatnonzero(raw == mark[0])
             at = at[at + 2 < len(raw)]
             ends[at[(raw[at + 1] == mark[1]) & (raw[at + 2] == mark[2])]] = True
     stops = number(ends) / np.maximum(count, 1)
-    symbols, bars = number(np.isin(raw, np.frombuffer(b"!&%#$*@~^<>{}\\", np.uint8))) / size, number(raw == 0x7C) / size
+    symbols, bars = number(SYMBOL[raw]) / size, number(raw == 0x7C) / size
     gram = np.zeros(0, np.uint64)
     if len(key) > 4:
         gram = words.mix(key[:-4] * words._ORDER[0] + key[2:-2] * words._ORDER[2] + key[4:] * words._ORDER[4])
     inside = w.row[:-4] == w.row[4:] if len(key) > 4 else np.zeros(0, bool)
-    pair = np.unique(np.stack([w.row[:-4][inside].astype(np.uint64), gram[inside]], 1), axis=0) if inside.any() else np.zeros((0, 2), np.uint64)
-    distinct = np.bincount(pair[:, 0].astype(np.int64), minlength=rows)
-    fresh = distinct / np.maximum(np.bincount(w.row[:-4][inside], minlength=rows) if inside.any() else np.zeros(rows), 1)
+    of, gram = w.row[: len(inside)][inside], gram[inside]
+    # equal grams of a row meet in one sort of single keys
+    once = np.unique(gram ^ words.mix(of.astype(np.uint64) + np.uint64(1)), return_index=True)[1]
+    fresh = np.bincount(of[once], minlength=rows) / np.maximum(np.bincount(of, minlength=rows), 1)
     long_ = count >= 40
     votes = np.stack([np.where(count < 8, 0, np.where(long_, 2, 1)),
                       np.where(3 * wide >= size, 1, np.where((mean < 2) | (mean > 14), 0, np.where((mean > 3) & (mean < 9), 2, 1))),
