@@ -118,6 +118,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_warc_archives": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+        f AS (SELECT h, min(page_id) AS least FROM p GROUP BY h)
+        SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+                                for i in range(32)], '') AS payload_digest,
+               CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to
+        FROM p JOIN f USING (h)""",
     "op5_exact_topk": """
         WITH x AS (SELECT vec_id, unnest(embedding) AS c, generate_subscripts(embedding, 1) AS i, len(embedding) AS n FROM embeddings),
         v AS (SELECT vec_id, i, n, CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT) AS c FROM x
@@ -126,6 +134,41 @@ ORACLES: dict[str, str] = {
               FROM v q JOIN v o ON q.i = o.i AND q.n = o.n AND q.vec_id <> o.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
         SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5""",
+    "op8_ngram_jaccard_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                             FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN [w[i : i + 3] for i in range(1, len(w) - 2)] WHEN len(w) > 0 THEN [w] ELSE [] END) AS g FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        l AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT a, b FROM l JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        r AS (SELECT doc_id, doc_id AS o FROM d UNION SELECT r.doc_id, u.b FROM r JOIN u ON r.o = u.a)
+        SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.o) AS component_id
+        FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY 1""",
+    "op9_sharding": r"""
+        WITH RECURSIVE crc AS (SELECT list(list_reduce(list_prepend(CAST(i AS UBIGINT), [CAST(k AS UBIGINT) for k in range(8)]),
+                                                       lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+        x AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        y AS (SELECT r, doc_id, CAST(octet_length(b) + 16 AS BIGINT) AS size, CAST(coalesce(doc_id, 0) AS UBIGINT) AS id,
+                     xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), [CAST('0x' || h AS UBIGINT) for h in regexp_extract_all(hex(b), '..')]),
+                                     lambda c, h: xor(c >> 8, t[CAST(1 + xor(c, h) % 256 AS BIGINT)])), CAST(4294967295 AS UBIGINT)) AS crc FROM x, crc),
+        m1 AS (SELECT r, doc_id, size, crc, xor(id, id >> 30) AS z FROM y),
+        m2 AS (SELECT r, doc_id, size, crc, CAST(CAST(z AS UHUGEINT) * 13787848793156543929 % 18446744073709551616 AS UBIGINT) AS z FROM m1),
+        m3 AS (SELECT r, doc_id, size, crc, CAST(CAST(xor(z, z >> 27) AS UHUGEINT) * 10723151780598845931 % 18446744073709551616 AS UBIGINT) AS z FROM m2),
+        m AS (SELECT r, doc_id, size, crc, xor(z, z >> 31) AS key FROM m3),
+        o AS (SELECT r, CAST((CAST(key AS UHUGEINT) + (CAST(crc AS UHUGEINT) << 32) + CAST(size AS UHUGEINT)) % 18446744073709551616 AS UBIGINT) AS v FROM m),
+        k1 AS (SELECT r, xor(v, v >> 30) AS z FROM o),
+        k2 AS (SELECT r, CAST(CAST(z AS UHUGEINT) * 13787848793156543929 % 18446744073709551616 AS UBIGINT) AS z FROM k1),
+        k3 AS (SELECT r, CAST(CAST(xor(z, z >> 27) AS UHUGEINT) * 10723151780598845931 % 18446744073709551616 AS UBIGINT) AS z FROM k2),
+        k AS (SELECT r, xor(z, z >> 31) AS key FROM k3),
+        j AS (SELECT r, key, CAST(-1 AS BIGINT) AS shard, CAST(0 AS BIGINT) AS ahead FROM m
+              UNION ALL
+              SELECT r, key, shard, CAST(trunc((shard + 1) * (CAST(2147483648 AS DOUBLE) / CAST((key >> 33) + 1 AS DOUBLE))) AS BIGINT)
+              FROM (SELECT r, ahead AS shard, CAST((CAST(key AS UHUGEINT) * 2862933555777941757 + 1) % 18446744073709551616 AS UBIGINT) AS key FROM j WHERE ahead < 41)),
+        g AS (SELECT r, CAST(max(shard) FILTER (shard < 40) AS INTEGER) AS shard, CAST(max(shard) FILTER (shard < 41) AS INTEGER) AS grown_shard FROM j GROUP BY r)
+        SELECT doc_id, size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY k.key % 256, doc_id, crc, size) - 1 AS slot, grown_shard
+        FROM m JOIN k USING (r) JOIN g USING (r)""",
     "op11_substring_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         s AS (SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS i, w FROM d WHERE len(w) >= 13),

@@ -42,13 +42,15 @@ def assign(docs: DataFrame, shards: int = 40) -> DataFrame:
         for batch in batches:
             keys = batch.column(0).fill_null(0).to_numpy()
             now, grown = (pa.array(jump(keys, n).astype(np.int32)) for n in (shards, shards + 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, now, grown], names=[*batch.schema.names, "shard", "grown_shard"])
+            size, crc = (batch.column(i).to_numpy().astype(np.uint64) for i in (1, 2))
+            block = words.mix(words.mix(keys.astype(np.uint64)) + (crc << np.uint64(32)) + size) % np.uint64(SLOT_BLOCKS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, now, grown, pa.array(block.astype(np.int32))],
+                                             names=[*batch.schema.names, "shard", "grown_shard", "block"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
                         F.crc32(text.cast("binary")).alias("text_crc32"))
-    light = (light.mapInArrow(both, "doc_id long, size long, text_crc32 long, shard int, grown_shard int")
-             .withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(SLOT_BLOCKS))))
+    light = light.mapInArrow(both, "doc_id long, size long, text_crc32 long, shard int, grown_shard int, block int")
     light = storage.kept(light, f"{path}/light")
     counts = light.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("shard", "block", F.expr("sum(n) over (partition by shard order by block) - n").alias("before"))
