@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from zonewright import schema
 from zonewright.functions import text
-from zonewright.operators import dims, enrich, extract_dns, extract_rdap, extract_whois, merge, names
+from zonewright.operators import dims, enrich, extract_dns, extract_rdap, extract_whois, extractors, merge, names
 from zonewright.plans import jobs, shaped
 from zonewright.plans.shaped import HOSTS_SQL, LOG_SQL, NORMALIZED_SQL, SERVERS_SQL, current, page_hosts, spread_table, suffix_sql, table
 from zonewright.sources import tables
@@ -431,6 +431,26 @@ def _(spark, sf):
     return extract_rdap.retry_requests(extract_rdap.extract_rdap(rdap_captures(spark, sf))["throttled"])
 
 
+@query("captures_into_rows", f"""WITH {_WHOIS_SQL},
+  u AS (SELECT o_orderkey AS k, 1 AS seq, 'whois' AS by_, CASE WHEN NOT nx THEN rid END AS rid, NOT nx AS reg FROM w
+      WHERE nx OR (o_orderpriority <> '5-LOW' AND rid IS NOT NULL)
+    UNION ALL SELECT o_orderkey, 2, 'rdap', CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '1-URGENT' THEN c_nationkey END,
+      o_orderstatus <> 'P' OR o_orderpriority <> '1-URGENT' FROM orders JOIN customer ON c_custkey = o_custkey
+      WHERE o_orderstatus <> 'P' OR o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED'))
+  SELECT 'd' || k || '.com' AS domain, CAST(seq AS BIGINT) AS seq, 'com' AS tld, by_ AS modified_by, reg AS registered,
+    CAST(last_value(rid IGNORE NULLS) OVER (PARTITION BY k ORDER BY seq) AS BIGINT) AS registrar_id, true AS has_whois, seq = 2 AS has_rdap FROM u""")
+def _(spark, sf):
+    """Text and RDAP captures of the same names through their extractors, the wire and the merge. An RDAP result stamps both times."""
+    at = F.lit("2024-03-05 00:00:00").cast("timestamp")
+    raw = [extractors.extractor("whois")(whois_captures(spark, sf), _segment_ids(spark, sf)), extractors.extractor("rdap")(rdap_captures(spark, sf))]
+    sent = [merge.encode_updates(merge.as_updates(up, F.lit(n + 1), at)).select(F.lit(n + 1).cast("bigint").alias("seq"), "key", "value", at.alias("arrived"))
+            for n, up in enumerate(raw)]
+    updates, _bad = merge.decode_updates(sent[0].unionByName(sent[1]))
+    rows, _rejected = merge.apply_updates(updates.select(*schema.TABLE_COLS).limit(0), updates, shaped.suffixes(spark))
+    return rows.select("domain", "seq", "tld", "modified_by", "registered", "registrar_id", F.col("whois_scraped").isNotNull().alias("has_whois"),
+                       F.col("rdap_scraped").isNotNull().alias("has_rdap"))
+
+
 @query("json_event_field", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def _(spark, sf):
     e = table(spark, sf, "events")
@@ -519,3 +539,17 @@ def _(spark, sf):
     out = enrich.add_geo_asn(up, net, net.withColumnRenamed("country_code", "asn"))
     return out.select("domain", text.list_text(F.col("geo")).alias("geo"), text.list_text(F.col("asn")).alias("asn"),
                       F.array_contains("fields", "geo").alias("carried"))
+
+
+@query("dns_into_rows", f"""WITH {_GEO_SQL}, g AS (SELECT domain, array_to_string(list_sort(coalesce(list(DISTINCT geo) FILTER (geo IS NOT NULL), [])), ',') AS geo
+    FROM hit GROUP BY domain)
+  SELECT a.domain, 'com' AS tld, 'dns' AS modified_by, coalesce(string_agg(ip, ',' ORDER BY ip) FILTER (f = 'A'), '') AS addr,
+    coalesce(string_agg(host, ',' ORDER BY host) FILTER (f = 'N'), '') AS ns, coalesce(any_value(g.geo), '') AS geo, coalesce(any_value(g.geo), '') AS asn,
+    count(*) FILTER (f = 'N') > 0 AS dns_exists FROM ans a LEFT JOIN g ON g.domain = a.domain GROUP BY a.domain""")
+def _(spark, sf):
+    """DNS answers through their extractor, the address lookups and the merge."""
+    s, net = shaped.suffixes(spark), networks(spark, sf)
+    up = merge.as_updates(extractors.extractor("dns")(dns_answers(spark, sf), s), F.lit(1), F.lit("2024-03-05 00:00:00").cast("timestamp"))
+    rows, _rejected = merge.apply_updates(up.select(*schema.TABLE_COLS).limit(0), up, s,
+                                          enrich=lambda u: enrich.add_geo_asn(u, net, net.withColumnRenamed("country_code", "asn")))
+    return rows.select("domain", "tld", "modified_by", *[text.list_text(F.col(c)).alias(c) for c in ("addr", "ns", "geo", "asn")], "dns_exists")
