@@ -75,18 +75,23 @@ def label_lines(body: Column) -> Column:
 
 
 def known_lines(body: Column) -> Column:
-    """Label lines of the fields we keep."""
-    wanted = sorted({label for labels in LABELS.values() for label in labels})
-    return F.filter(label_lines(body), lambda p: p["label"].isin(*wanted))
+    """(field, value) of the label lines of the fields we keep, the last line first."""
+    own = [(label, name) for name, labels in LABELS.items() for label in labels]
+    field_of = F.create_map(*[F.lit(part) for pair in own for part in pair])
+    known = F.filter(label_lines(body), lambda p: p["label"].isin(*[label for label, _ in own]))
+    return F.reverse(F.transform(known, lambda p: F.struct(
+        F.element_at(field_of, p["label"]).alias("field"), p["value"].alias("value"))))
 
 
 def parse_fields(lines: Column) -> dict[str, Column]:
-    """Field texts from known lines: the last value given; for status all of them, first words only."""
-    def values(labels: list[str]) -> Column:
-        return F.transform(F.filter(lines, lambda p: p["label"].isin(*labels)), lambda p: p["value"])
+    """Field texts from known lines: the last value given; for status all of them, first words only.
 
-    fields = {name: F.try_element_at(values(labels), F.lit(-1)) for name, labels in LABELS.items()}
-    fields["status"] = F.transform(values(LABELS["status"]), lambda v: F.element_at(text.words(v), 1))
+    A field's last line is found by its position in the list of fields, so no field looks at the values of others.
+    """
+    names, values = lines["field"], lines["value"]
+    fields = {name: F.get(values, (F.array_position(names, name) - 1).cast("int")) for name in LABELS}
+    given = F.reverse(F.filter(lines, lambda p: p["field"] == "status"))
+    fields["status"] = F.transform(given, lambda p: F.element_at(text.words(p["value"]), 1))
     return fields
 
 
