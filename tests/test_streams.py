@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from zonewright import schema
 from zonewright.operators.names import Suffixes
 from zonewright.sources import messages
 from zonewright.streaming import streams
@@ -110,6 +111,68 @@ def test_repeated_batch_counts_once_and_compaction_keeps_the_view(spark, tmp_pat
     assert {r["domain"]: r["ns"] for r in store.current().collect()} == {"a.com": ["1"], "b.com": ["2"]}
 
 
+def _stored(spark, path, numbers, **options):
+    """A store with a batch per number: nN.com is new in each, all.com is written again."""
+    store = VersionStore(spark, str(path), **{"buckets": 2, "order": ("batch_id", "seq"), **options})
+    for n in numbers:
+        store.append(_versions(spark, [(0, f"n{n}.com", []), (1, "all.com", [str(n)])]), n)
+    return store
+
+
+def _versions(spark, rows):
+    given = spark.createDataFrame(rows, "seq bigint, domain string, ns array<string>").coalesce(1)
+    at = F.lit("2024-01-01").cast(schema.TABLE_TYPES["last_modified"])
+    rest = [F.lit(None).cast(t).alias(c) for c, t in schema.TABLE_TYPES.items() if c not in ("domain", "ns", "last_modified")]
+    return given.select("*", at.alias("last_modified"), *rest)
+
+
+def _view(store, **options):
+    return sorted((r["domain"], str(r["ns"])) for r in store.current(**options).select("domain", "ns").collect())
+
+
+def test_the_newest_batches_are_read_without_listing_old_spans(spark, tmp_path, monkeypatch):
+    from zonewright.streaming import store as module
+    monkeypatch.setattr(module, "SPAN", 2)
+    store = _stored(spark, tmp_path / "s", range(5))
+    assert sorted(p.name for p in (tmp_path / "s" / "log").glob("span=*")) == ["span=0", "span=1", "span=2"]
+    want, as_of_two = _view(store), _view(store, before=2)
+    assert as_of_two == [("all.com", "['1']"), ("n0.com", "[]"), ("n1.com", "[]")] and store.log().count() == 10
+    store.compact(3)
+    (tmp_path / "s" / "log" / "span=0" / "batch_id=none").mkdir()  # a listing of this folder would fail
+    for old in (tmp_path / "s" / "log" / "span=1").glob("batch_id=*/*/*.parquet"):
+        old.write_bytes(b"not to be read")
+    assert _view(store) == want and len(want) == 6
+
+
+def test_old_bases_go_and_older_views_stay(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "s"))
+    assert store.drop_old_bases() == []
+    store = _stored(spark, tmp_path / "s", range(4))
+    views = [_view(store, before=n) for n in range(1, 5)]
+    for n in range(3):
+        store.compact(n)
+    assert store.drop_old_bases(keep=2) == [0] and store.drop_old_bases(keep=2) == []
+    assert sorted(store._numbers("base", "upto")) == [1, 2]
+    assert [_view(store, before=n) for n in range(1, 5)] == views
+    # noted, but not yet removed: read no more, removed by the next call
+    spark.createDataFrame([(1,)], "upto bigint").write.mode("append").parquet(f"{store.root}/base_dropped")
+    assert [_view(store, before=n) for n in range(1, 5)] == views
+    assert store.drop_old_bases(keep=1) == [] and store._numbers("base", "upto") == [2]
+
+
+def test_buckets_follow_the_rows_and_are_sorted(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "s"), buckets=2, bucket_rows=10)
+    store.append(_versions(spark, [(i, f"n{i:02}.com", []) for i in range(55)]), 0)
+    store.compact(0)
+    assert store._base(None)[1:] == (0, 6) and store.current().count() == 55
+    for file in (tmp_path / "s" / "base").glob("upto=0/bucket=*/*.parquet"):
+        names = [r["domain"] for r in spark.read.parquet(str(file)).coalesce(1).collect()]
+        assert names == sorted(names) and names
+    store.bucket_rows = 1  # made again: as many as before
+    store.compact(0)
+    assert store._base(None)[1:] == (0, 6) and store.current().count() == 55
+
+
 def test_stream_errors(spark, tmp_path):
     doc = {"error": "e", "error_type": "T", "file": "f", "line": 3, "traceback": "", "scraper": "dns", "topic": "t", "timestamp": "2024-01-02T03:04:05"}
     src, out, ck, bad = (str(tmp_path / n) for n in ("in", "out", "ck", "bad"))
