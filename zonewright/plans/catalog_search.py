@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zonewright.functions import criteria as cr
 from zonewright.functions import text
 from zonewright.operators import dims, latest, search, selection
+from zonewright.operators.names import Suffixes
 from zonewright.plans import jobs, shaped
 from zonewright.plans.shaped import AS_OF_ORDERS, LOG_SQL, SERVERS_SQL, current, current_with_servers, domain_log, table
 
@@ -386,6 +387,54 @@ def _(spark, sf):
     return jobs.queue_new(current(spark, sf, "modified_by"), shaped.suffixes(spark))
 
 
+# names with internationalised labels at their start or in their middle, below gov and us, or with these as inner labels only
+_MIXED_SQL = """names AS (SELECT CASE o_orderstatus WHEN 'P' THEN 'xn--' WHEN 'F' THEN 'a-xn--b.' ELSE '' END
+    || CASE o_orderkey % 5 WHEN 0 THEN 'city' || o_orderkey || '.gov' WHEN 1 THEN 't' || o_orderkey || '.us'
+       WHEN 2 THEN 'www.gov.n' || o_orderkey || '.com' WHEN 3 THEN 'us.n' || o_orderkey || '.com.au' ELSE 'us' || o_orderkey || '.com' END AS domain,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'zonefile' WHEN '4-NOT SPECIFIED' THEN 'pi' ELSE 'dns' END AS modified_by FROM orders)"""
+
+
+def _mixed_names(spark, sf):
+    key, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 5
+    start = F.when(F.col("o_orderstatus") == "P", "xn--").when(F.col("o_orderstatus") == "F", "a-xn--b.").otherwise("")
+    rest = (F.when(kind == 0, F.concat(F.lit("city"), key, F.lit(".gov"))).when(kind == 1, F.concat(F.lit("t"), key, F.lit(".us")))
+            .when(kind == 2, F.concat(F.lit("www.gov.n"), key, F.lit(".com"))).when(kind == 3, F.concat(F.lit("us.n"), key, F.lit(".com.au")))
+            .otherwise(F.concat(F.lit("us"), key, F.lit(".com"))))
+    source = F.when(F.col("o_orderpriority") == "1-URGENT", "zonefile").when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "pi").otherwise("dns")
+    return table(spark, sf, "orders").select(F.concat(start, rest).alias("domain"), source.alias("modified_by"))
+
+
+def _public_suffixes(spark):
+    return Suffixes.of(spark, [*shaped.SUFFIXES, "gov", "us"])
+
+
+@query("select_without_punycode", f"WITH {_MIXED_SQL} SELECT domain, modified_by FROM names WHERE modified_by = 'pi' AND NOT contains(domain, 'xn--')")
+def _(spark, sf):
+    return selection.select_domains(_mixed_names(spark, sf), modified_by="pi", not_punycode=True)
+
+
+@query("scraper_by_suffix", f"""WITH {_MIXED_SQL} SELECT domain, modified_by,
+  CASE WHEN ends_with(domain, '.gov') OR ends_with(domain, '.us') THEN 'whois' ELSE 'rdap' END AS scraper FROM names""")
+def _(spark, sf):
+    return selection.preferred_scraper(_mixed_names(spark, sf), _public_suffixes(spark))
+
+
+@query("queue_new_by_suffix", f"""WITH {_MIXED_SQL}, new AS (SELECT DISTINCT domain FROM names WHERE modified_by IN ('pi', 'zonefile'))
+  SELECT 'scrape.dns' AS topic, domain AS key, '{{}}' AS value FROM new UNION ALL
+  SELECT CASE WHEN ends_with(domain, '.us') THEN 'scrape.whois' ELSE 'scrape.rdap' END, domain, '{{}}' FROM new""")
+def _(spark, sf):
+    return jobs.queue_new(_mixed_names(spark, sf), _public_suffixes(spark))
+
+
+@query("tag_lookups", """WITH tags AS (SELECT p_partkey AS id, p_name AS name, p_size AS search_id FROM part)
+  SELECT 'id' AS by_, id, name, search_id FROM tags WHERE id = 12
+  UNION ALL (SELECT 'search', id, name, search_id FROM tags WHERE search_id = 7 ORDER BY id LIMIT 1)""")
+def _(spark, sf):
+    tags = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("search_id"))
+    found = [("id", search.tag_by_id(tags, 12)), ("search", search.tag_of_search(tags, 7))]
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(by).alias("by_"), "*") for by, rows in found])
+
+
 def _bootstrap(spark, sf):
     """Server list as it is published, one document per nation: `services: [[suffixes], [url]]`."""
     n = table(spark, sf, "nation")
