@@ -84,3 +84,17 @@ def test_sorted_lists_keep_repeats(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "w"), ("a", "x"), ("b", "z"), ("b", None)], "key string, v string")
     got = {r["key"]: r["v"] for r in skew.sorted_lists(df, ["key"], "v").collect()}
     assert got == {"a": ["w", "x", "x"], "b": ["z"]}
+
+
+def test_salted_join_plans_with_the_size_of_the_repeated_side(spark):
+    facts = spark.range(50).select((F.col("id") % 7).alias("k"), F.col("id").alias("n"))
+
+    def plan(keys):
+        dim = spark.range(keys).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        joined = skew.salted_join(facts, dim, ["k"], F.col("n"))
+        assert {(r["n"], r["v"]) for r in joined.collect()} == {(n, n % 7 * 2) for n in range(50)}
+        return skew.salted_join(facts, dim, ["k"], F.col("n"))._jdf.queryExecution().sparkPlan().toString()
+
+    # 200,000 rows are under the broadcast limit, 16 times as many are not
+    assert "SortMergeJoin" in plan(200_000)
+    assert "SortMergeJoin" not in plan(20)

@@ -19,10 +19,12 @@ def salted_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], spread: Col
     Facts of a key are spread over `salts` partitions by a hash of `spread` (something that differs
     between facts of one key); each dim row is repeated once per salt. `dim` must already be
     reduced to one row per key, so the repetition is salts x distinct keys, whatever the facts are.
+    The rows are repeated by a cross join with the salts: Spark then plans with the size of the repeated side
+    (an explode counts as one row each), and does not broadcast a side that only was small before.
     """
     on = list(on)
     left = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right = dim.crossJoin(dim.sparkSession.range(salts).select(F.col("id").cast("int").alias("_salt")))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
