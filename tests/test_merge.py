@@ -190,3 +190,26 @@ def test_update_types_fit_the_table(name):
 
 def test_schema():
     assert len(schema.ALL_COLS) == 45
+
+
+def test_updates_are_made_once_and_stored_without_repeats(spark, monkeypatch):
+    """Whatever makes the updates runs once per row, however often they are read; the fold stores no column beside its cell."""
+    from zonewright.operators import skew
+    ups = spark.createDataFrame([(i, f"d{i % 5}.{'zz' if i % 2 else 'com'}") for i in range(20)], "seq bigint, domain string")
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def kind(_):
+        made.add(1)
+        return "PIResult"
+
+    raw = ups.withColumn("type", kind.asNondeterministic()("domain")).withColumn("visits", F.col("seq"))
+    updates = merge.as_updates(raw.withColumnRenamed("visits", "visits_12m"), F.col("seq"), F.lit("2024-03-05").cast("timestamp"))
+    stored = []
+    inner = skew.in_blocks
+    monkeypatch.setattr(skew, "in_blocks", lambda df, *a, **k: (stored.append(df.columns), inner(df, *a, **k))[1])
+    rows, rejected = merge.apply_updates(updates.select(*schema.TABLE_COLS).limit(0), updates, Suffixes.of(spark, ["com"]))
+    assert {r["seq"] for r in rows.select("seq").collect()} == {i for i in range(20) if not i % 2}
+    assert made.value == 20
+    assert not [c for c in stored[0] if c.startswith("_cell") or c == "visits_12m"]
+    assert rejected.count() == 10

@@ -233,9 +233,8 @@ def _fold(updates: DataFrame, groups: Sequence[Sequence[str]], key: str, order:
     inside = {c for g in groups for c in g}
     kept = [c for c in updates.columns if c not in inside]
     cells = {f"_g{i}": F.when(F.array_contains("fields", g[0]), F.struct(*g)) for i, g in enumerate(groups)}
-    lean = updates.select(*kept, *[v.alias(f"_cell{n}") for n, v in cells.items()])
-    folded = skew.running_last(lean, [key], order, {n: F.col(f"_cell{n}") for n in cells}, blocks=blocks)
-    return folded.select(*kept, *cells)
+    # the cells hold the columns, so these are not carried beside them
+    return skew.running_last(updates, [key], order, cells, blocks=blocks, keep=kept)
 
 
 def fold_updates(updates: DataFrame, cols: Sequence[str], key: str = "domain", order: Sequence[str] = ("seq",),
@@ -279,13 +278,17 @@ def apply_updates(current: DataFrame, updates: DataFrame, suffixes: Suffixes,
     """The whole step: rules, enrichment, fold, suffix fill. Returns (new versions, rejected).
 
     `enrich` is an optional frame-to-frame step (such as address lookups) run on the updates. Say
-    `whole_types=False` for updates that carry only part of their type's columns.
+    `whole_types=False` for updates that carry only part of their type's columns. The updates are read
+    for the suffix rules, for the ranges of the fold and for the fold itself; they are kept for as long as that takes,
+    so that whatever made them (extractors, decoding, lookups) runs once.
     """
     ruled = registered_by_resolution(updates)
     if enrich is not None:
         ruled = enrich(ruled)
+    ruled = ruled.persist()
     usable, rejected = split_unknown_suffix(ruled, current, suffixes)
     together = schema.carried_together([c for c in schema.TABLE_COLS if c != "domain"]) if whole_types else None
-    versions = merge_updates(current, usable, together=together, blocks=blocks)
+    versions = merge_updates(current, usable, together=together, blocks=blocks)  # folded and stored when this returns
+    ruled.unpersist()
     filled = versions.withColumn("tld", F.coalesce(F.when(F.col("tld") != "", F.col("tld")), F.col("_suffix")))
     return filled.drop("_suffix"), rejected

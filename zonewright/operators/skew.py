@@ -72,16 +72,17 @@ def _carry(keyed: DataFrame, newest: dict[str, Column], carried: dict[str, Colum
 
 
 def running_last(df: DataFrame, key: Sequence[str], order: Sequence[str], values: dict[str, Column],
-                 include_current: bool = True, blocks: int | None = None) -> DataFrame:
+                 include_current: bool = True, blocks: int | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """For every row, the latest non-NULL of each expression over the key's rows up to this one.
 
     With `include_current=False` only earlier rows count. Wrap a value in a struct to let it be
     NULL itself. Rows of a key are ordered by all of `order`. The rows are stored once in ordered
     blocks (`in_blocks`); inside a block a window gives the value, and into the next block the last values
-    of the one key that goes on are carried over (one row per block, so that side is broadcast).
+    of the one key that goes on are carried over (one row per block, so that side is broadcast). `keep` are
+    the columns to carry along (all by default), key and order among them.
     """
-    key, order, names = list(key), list(order), list(values)
-    blocked = in_blocks(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]), key, order, blocks)
+    key, order, names, keep = list(key), list(order), list(values), list(df.columns if keep is None else keep)
+    blocked = in_blocks(df.select(*keep, *[v.alias(f"_v_{n}") for n, v in values.items()]), key, order, blocks)
     keyed = blocked.withColumn("_k", F.struct(*key))
     frame = (Window.partitionBy(*key, "_block").orderBy(*[F.col(o).asc_nulls_first() for o in order])
              .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1))
@@ -95,7 +96,7 @@ def running_last(df: DataFrame, key: Sequence[str], order: Sequence[str], values
     carry = _carry(keyed, {f"_p_{n}": newest(n) for n in names},
                    {f"_c_{n}": F.last(f"_p_{n}", ignorenulls=True) for n in names})
     joined = inner.join(F.broadcast(carry), ["_k", "_block"], "left")
-    return joined.select(*df.columns, *[F.coalesce(F.col(f"_l_{n}"), F.col(f"_c_{n}")["v"]).alias(n) for n in names])
+    return joined.select(*keep, *[F.coalesce(F.col(f"_l_{n}"), F.col(f"_c_{n}")["v"]).alias(n) for n in names])
 
 
 def arrival_number(df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "seq",
