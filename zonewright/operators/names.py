@@ -85,13 +85,11 @@ def normalize_list(df: DataFrame, hosts: str, suffixes: Suffixes, key: Sequence[
                    out: str = "ns_domains") -> DataFrame:
     """Per key the sorted distinct registrable names of a host list, [] for none.
 
-    `key` must identify a row; other columns are not carried. Suffixes are matched once per distinct host, which are far fewer
-    than their occurrences; a host may be that of a large part of all rows, so the way back is salted.
+    `key` must identify a row; other columns are not carried. Suffixes are matched where the hosts stand: the rows of
+    a list are still together, so its names are gathered before the shuffle, which moves one row per list and none per host.
     """
     each = df.select(*key, F.explode_outer(hosts).alias("_host"))
-    named = normalize(each.select("_host").where(F.col("_host").isNotNull()).distinct(), "_host", suffixes, "_name").where(F.col("_name").isNotNull())
-    found = salted_join(each, named, ["_host"], F.struct(*key))
-    return found.groupBy(*key).agg(F.array_sort(F.collect_set("_name")).alias(out))
+    return normalize(each, "_host", suffixes, "_name").groupBy(*key).agg(F.array_sort(F.collect_set("_name")).alias(out))
 
 
 def replace_list(new: Column, old: Column) -> Column:
