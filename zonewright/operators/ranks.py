@@ -51,8 +51,15 @@ def row_at(df: DataFrame, order: Order, n: int, small: int = SMALL, sample: int
     """The keys of the row of rank n (from 1), None if there are fewer rows."""
     names = [f"_k{i}" for i in range(len(order))]
     keys = [F.col(c) for c in names]
-    lean = df.select(*[k.alias(c) for k, c in zip(_keys(df, order), names)])
-    low = high = None
+    lean = df.select(*[k.alias(c) for k, c in zip(_keys(df, order), names)]).persist()  # read twice a round
+    try:
+        return _narrowed(lean, order, keys, n, small, sample)
+    finally:
+        lean.unpersist()
+
+
+def _narrowed(lean: DataFrame, order: Order, keys: list[Column], n: int, small: int, sample: int) -> Row | None:
+    names, low, high = lean.columns, None, None
     left, total, turn = n, lean.count(), 0
     if not 1 <= n <= total:
         return None
