@@ -59,7 +59,8 @@ class ListDictionary:
         Repeats are dropped before the shuffle, so a list that most rows have costs no more than another one.
         """
         version, known, before = self.versions(), self.lists(), self.shared()
-        lists = snap.where(F.col(value).isNotNull()).select(F.col(value).alias("ns")).distinct().withColumn("hash", list_hash(F.col("ns")))
+        # with the hash from the start, so that one shuffle serves both this and the comparison with the known lists
+        lists = snap.where(F.col(value).isNotNull()).select(list_hash(F.col(value)).alias("hash"), F.col(value).alias("ns")).distinct()
         fresh = lists.join(known, ["hash", "ns"], "left_anti")
         taken = known.groupBy("hash").agg((F.max("no") + 1).alias("taken"))
         place = F.row_number().over(Window.partitionBy("hash").orderBy(F.to_json(F.struct("ns")))) - 1

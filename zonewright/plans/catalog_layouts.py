@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from zonewright.functions import text
-from zonewright.operators import enrich, fingerprints, heavy, history, interning, intervals, merge, ranks, search, selection, sketches, trigrams
+from zonewright.operators import enrich, fingerprints, heavy, history, interning, intervals, merge, ranks, search, selection, sketches, snapshots, trigrams
 from zonewright.plans import catalog_search, catalog_sources, catalog_updates, shaped
 from zonewright.plans.catalog_updates import _FOLDED, _NX_MESSAGES, _REASON, _run_dir, event_messages
 from zonewright.plans.shaped import EVENT_LOG_SQL, LOG_SQL, SERVERS_SQL, current, current_with_servers, domain_log, event_log, event_updates, table
@@ -87,12 +87,20 @@ def _(spark, sf):
 
 
 # --- dictionary of lists -----------------------------------------------------------------------------
+def _stored_days(spark, sf, root):
+    """Both days as an import finds them: stored, so that whoever reads a day twice does not build it again."""
+    snap = snapshots.zone_snapshot(catalog_updates.zone_records(spark, sf), ["date"])
+    snap.write.parquet(f"{root}/days")
+    days = spark.read.schema(snap.schema).parquet(f"{root}/days")
+    return [days.where(F.col("date") == F.lit(d).cast("date")).drop("date") for d in ("2024-03-01", "2024-03-03")]
+
+
 @query("diff_interned_snapshots", catalog_updates.ORACLES["diff_snapshots"])
 def _(spark, sf):
     """Two imports into one dictionary; what is compared are the stored ids."""
     root = _run_dir(spark)
     lists = interning.ListDictionary(spark, f"{root}/dictionary")
-    for name, snap in zip(("prev", "cur"), catalog_updates._two_days(spark, sf)):
+    for name, snap in zip(("prev", "cur"), _stored_days(spark, sf, root)):
         lists.add(snap)
         lists.encode(snap).write.parquet(f"{root}/{name}")
     prev, cur = (spark.read.schema("domain string, ns_hash bigint, ns_no int").parquet(f"{root}/{n}") for n in ("prev", "cur"))
@@ -102,9 +110,10 @@ def _(spark, sf):
 @query("interned_lists", f"WITH {catalog_updates.ZONE_SQL} SELECT array_to_string(ns, ',') AS ns, count(*) AS rows, min(date) AS first_day FROM snap GROUP BY 1")
 def _(spark, sf):
     """Lists as the dictionary holds them, once each, with the import that brought them and the rows of both days that have their id."""
-    lists = interning.ListDictionary(spark, f"{_run_dir(spark)}/dictionary")
+    root = _run_dir(spark)
+    lists = interning.ListDictionary(spark, f"{root}/dictionary")
     days, parts = ("2024-03-01", "2024-03-03"), []
-    for day, snap in zip(days, catalog_updates._two_days(spark, sf)):
+    for day, snap in zip(days, _stored_days(spark, sf, root)):
         lists.add(snap)
         parts.append(lists.encode(snap).select("ns_hash", "ns_no", F.lit(day).cast("date").alias("day")))
     uses = parts[0].unionByName(parts[1]).groupBy("ns_hash", "ns_no").agg(F.count(F.lit(1)).alias("rows"), F.min("day").alias("first_day"))
