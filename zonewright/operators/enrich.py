@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from zonewright.operators.once import once
 from zonewright.operators.skew import salted_join
 
+HOT = 10_000  # names with one address, from which on its rows are spread
 _OCTET = r"(25[0-5]|2[0-4]\d|1?\d?\d)"
 _IPV4 = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
 
@@ -52,17 +53,18 @@ def longest_prefix(addresses: DataFrame, networks: dict[str, tuple[DataFrame, st
 
 
 def lookup_lists(rows: DataFrame, key: Sequence[str], networks: dict[str, tuple[DataFrame, str]],
-                 addr: str = "addr", find: Callable[..., DataFrame] = longest_prefix) -> DataFrame:
+                 addr: str = "addr", find: Callable[..., DataFrame] = longest_prefix, hot: int = HOT) -> DataFrame:
     """Per key one sorted distinct list for each named network table; `find` looks up distinct addresses (`longest_prefix`, or
     `intervals.range_lookup` where there are many addresses).
 
     Addresses are made distinct first, as parking and delivery networks put one address on very
-    many names; the answers go back to the rows by a salted join for the same reason.
+    many names; the answers go back to the rows by a join that is salted for the addresses on more than `hot` names,
+    so that the answers for the many others are not repeated.
     """
     key = list(key)
     each = rows.select(*key, F.explode(addr).alias("addr"))
-    answers = find(each.select("addr").distinct(), networks)
-    found = salted_join(each, answers, ["addr"], F.struct(*key))
+    often = each.groupBy("addr").agg(F.count(F.lit(1)).alias("_times")).where(F.col("_times") > hot).select("addr", F.lit(True).alias("_hot"))
+    found = salted_join(each, find(each.select("addr").distinct(), networks), ["addr"], F.struct(*key), hot=often)
     return found.groupBy(*key).agg(*[F.array_sort(F.collect_set(out)).alias(out) for out in networks])
 
 

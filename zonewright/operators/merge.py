@@ -282,13 +282,15 @@ def apply_updates(current: DataFrame, updates: DataFrame, suffixes: Suffixes,
     for the suffix rules, for the ranges of the fold and for the fold itself; they are kept for as long as that takes,
     so that whatever made them (extractors, decoding, lookups) runs once.
     """
-    ruled = registered_by_resolution(updates)
-    if enrich is not None:
-        ruled = enrich(ruled)
-    ruled = ruled.persist()
+    ruled = registered_by_resolution(updates).persist()
+    kept = [ruled]
+    if enrich is not None:  # reads the updates for the look-up and for the way back
+        ruled = enrich(ruled).persist()
+        kept.append(ruled)
     usable, rejected = split_unknown_suffix(ruled, current, suffixes)
     together = schema.carried_together([c for c in schema.TABLE_COLS if c != "domain"]) if whole_types else None
     versions = merge_updates(current, usable, together=together, blocks=blocks)  # folded and stored when this returns
-    ruled.unpersist()
+    for frame in kept:
+        frame.unpersist()
     filled = versions.withColumn("tld", F.coalesce(F.when(F.col("tld") != "", F.col("tld")), F.col("_suffix")))
     return filled.drop("_suffix"), rejected

@@ -13,7 +13,7 @@ SALTS = 16
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], spread: Column,
-                how: str = "left", salts: int = SALTS) -> DataFrame:
+                how: str = "left", salts: int = SALTS, hot: DataFrame | None = None) -> DataFrame:
     """Join many facts to at most one dim row per key when one key may hold most facts.
 
     Facts of a key are spread over `salts` partitions by a hash of `spread` (something that differs
@@ -21,9 +21,17 @@ def salted_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], spread: Col
     reduced to one row per key, so the repetition is salts x distinct keys, whatever the facts are.
     The rows are repeated by a cross join with the salts: Spark then plans with the size of the repeated side
     (an explode counts as one row each), and does not broadcast a side that only was small before.
+    With `hot`, rows `(on..., _hot)` of the few keys that hold many facts (broadcast), only these are spread and repeated.
     """
     on = list(on)
-    left = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    if hot is not None:
+        few = F.broadcast(hot)
+        numbers = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        left = facts.join(few, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+        right = dim.join(few, on, "left").withColumn("_salt", F.explode(numbers)).drop("_hot")
+        return left.join(right, [*on, "_salt"], how).drop("_salt")
+    left = facts.withColumn("_salt", salt)
     right = dim.crossJoin(dim.sparkSession.range(salts).select(F.col("id").cast("int").alias("_salt")))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
