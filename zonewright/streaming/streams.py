@@ -17,6 +17,15 @@ from zonewright.sources import messages as msg
 from zonewright.streaming.store import VersionStore
 
 
+BATCH_ROWS = 50_000  # messages a task decodes: a message becomes a row of all columns, many times as wide
+
+
+def _spread(messages: DataFrame) -> DataFrame:
+    """A batch in as many parts as its rows need. Its files are split by their size, and messages pack far tighter than rows."""
+    parts = -(-messages.count() // BATCH_ROWS)
+    return messages.repartition(parts) if parts > 1 else messages
+
+
 def upsert_batch(store: VersionStore, results: DataFrame, batch_id: int, suffixes: Suffixes,
                  enrich: Callable[[DataFrame], DataFrame] | None = None,
                  type_names: Mapping[str, str] | None = None,
@@ -26,7 +35,7 @@ def upsert_batch(store: VersionStore, results: DataFrame, batch_id: int, suffixe
     Every output is written under the batch id and replaced if the batch runs again, and stored
     rows are read as they were before it, so a batch counts once however often it is run.
     """
-    updates, bad = decode_updates(results, type_names)
+    updates, bad = decode_updates(_spread(results), type_names)
     updates = updates.persist()
     try:
         current = store.current(before=batch_id, touched=updates)
