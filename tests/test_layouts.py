@@ -2,12 +2,13 @@
 
 import random
 import re
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from test_streams import NOW, _msgs, _nx, _zone
+from zonewright import schema
 from zonewright.operators import enrich, fingerprints, history, intervals, merge, ranks, search, selection, snapshots
 from zonewright.operators.names import Suffixes
 from zonewright.sources import keyed_tables, messages
@@ -87,6 +88,30 @@ def test_keyed_state_needs_its_session(spark):
     assert spark.conf.get(keyed.PROVIDER, "") != keyed.ROCKSDB
 
 
+def test_keyed_state_hands_python_few_cells_a_row(spark):
+    own = keyed.state_session(spark)
+    rows = own.readStream.format("rate").load().select(F.col("value").alias("seq"), F.array(F.lit("registered")).alias("fields"),
+                                                       *[F.lit(None).cast(t).alias(c) for c, t in schema.TABLE_TYPES.items()])
+    todo, widths = [keyed.versions_of(rows, Suffixes.of(own, ["com"]))._jdf.queryExecution().analyzed()], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("TransformWithState"):
+            widths += [node.output().size(), *(node.children().apply(i).output().size() for i in range(node.children().size()))]
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert widths and max(widths) <= 6  # not one cell for each column of the table
+
+
+def test_packed_rows_come_back_as_they_were(spark):
+    odd = {"last_modified": datetime(1969, 12, 31, 23, 59, 59, 999999), "dns_scraped": datetime(2024, 3, 31, 2, 30, 0, 1), "zonefile_date": date(1, 1, 1), "pi_rank": 2**63 - 1,
+           "hits_12m": -2**63, "txt": ["a,b", None, "", '"\\\n\u2028\U0001f600'], "visits_arr_12m": [], "registered": False, "whois_text": "\x00\t\u00e9", "tld": ""}
+    kinds = schema.table_schema()
+    frame = spark.createDataFrame([tuple(odd.get(c) for c in schema.TABLE_COLS), (None,) * len(schema.TABLE_COLS)], kinds)
+    cols = [c for c in schema.TABLE_COLS if c != "domain"]
+    back = keyed._unpacked(frame.select("domain", keyed._packed(cols).alias("packed")), cols, ["domain"]).select(frame.columns)
+    assert back.dtypes == frame.dtypes
+    assert back.collect() == frame.collect()
+
+
 # --- tables by key ---------------------------------------------------------------------------------
 def _named(spark, n):
     return spark.range(n).select(F.format_string("n%06d.com", F.pmod(F.xxhash64("id"), F.lit(1_000_000))).alias("domain"), F.col("id").alias("v"),

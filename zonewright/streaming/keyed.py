@@ -6,9 +6,10 @@ where the last finished batch ended, whatever the size of the table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import json
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +18,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from zonewright import schema
 from zonewright.operators.merge import decode_updates, registered_by_resolution
 from zonewright.operators.names import Suffixes, suffix_of
+from zonewright.operators.once import once
 from zonewright.operators.selection import follow_ups
 from zonewright.sources import messages as msg
 from zonewright.streaming.store import VersionStore
@@ -39,9 +41,26 @@ def _value_cols() -> list[str]:
     return [c for c in schema.TABLE_COLS if c != "domain"]
 
 
-def _struct(*extra: T.StructField) -> T.StructType:
-    kinds = {f.name: f.dataType for f in schema.table_schema()}
-    return T.StructType([*extra, *[T.StructField(c, kinds[c]) for c in _value_cols()]])
+# --- packed rows -------------------------------------------------------------------------------
+# Spark hands a Python processor one object per cell, so a row of all columns costs far more than what is done with it. Rows go
+# there, come back and are kept as one JSON text; times are micros and dates days in it, so that nothing is rounded or shifted.
+_WIRE = {"timestamp": ("bigint", F.unix_micros, F.timestamp_micros), "date": ("int", F.unix_date, F.date_from_unix_date)}
+
+
+def _packed(cols: Sequence[str]) -> Column:
+    """The columns that are not NULL as one JSON text."""
+    def wire(c: str) -> Column:
+        kind = schema.TABLE_TYPES[c]
+        return (_WIRE[kind][1](F.col(c)) if kind in _WIRE else F.col(c)).alias(c)
+    return F.to_json(F.struct(*map(wire, cols)))
+
+
+def _unpacked(rows: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Columns `keep` of the rows and `cols` out of their `packed` text, which is read once."""
+    kinds = {c: schema.TABLE_TYPES[c] for c in cols}
+    ddl = ", ".join(f"{c} {_WIRE[t][0] if t in _WIRE else t}" for c, t in kinds.items())
+    read = once(rows, _row=F.from_json("packed", ddl))
+    return read.select(*keep, *[(_WIRE[t][2](F.col(f"_row.{c}")) if t in _WIRE else F.col(f"_row.{c}")).alias(c) for c, t in kinds.items()])
 
 
 def _default(name: str):
@@ -57,41 +76,46 @@ class CurrentRow(StatefulProcessor):
     """
 
     def __init__(self) -> None:
-        self.cols, self.kind = _value_cols(), _struct()  # types can only be parsed where the session is
+        self.defaults = {c: _default(c) for c in _value_cols()}
+        self.text = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState(STATE, self.kind)
+        self.row = handle.getValueState(STATE, T.StructType([T.StructField("packed", T.StringType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.row.get() if self.row.exists() else None
-        now = {c: stored[i] if stored is not None else _default(c) for i, c in enumerate(self.cols)}
-        known, changed = bool(now["tld"]), False
+        stored = self.row.get()
+        now = dict(self.defaults) if stored is None else json.loads(stored[0])
+        known, packed = bool(now["tld"]), None
         for u in sorted(rows, key=lambda r: r["seq"]):
-            carried = set(u["fields"])
-            known = known or ("tld" in carried and bool(u["tld"]))
+            given = json.loads(u["packed"])
+            update = {c: given.get(c) for c in u["fields"].split(",") if c in self.defaults}
+            known = known or bool(update.get("tld"))
             if u["_suffix"] is None and not known:
-                yield Row(domain=key[0], seq=u["seq"], reason=f"unknown suffix: {key[0]}", **dict.fromkeys(self.cols))
+                yield Row(domain=key[0], seq=u["seq"], reason=f"unknown suffix: {key[0]}", packed=None)
                 continue
-            now.update({c: u[c] for c in self.cols if c in carried})
+            now.update(update)
             now["tld"] = now["tld"] or u["_suffix"]
-            changed = True
-            yield Row(domain=key[0], seq=u["seq"], reason=None, **now)
-        if changed:
-            self.row.update(tuple(now[c] for c in self.cols))
+            packed = self.text.encode(now)
+            yield Row(domain=key[0], seq=u["seq"], reason=None, packed=packed)
+        if packed is not None:
+            self.row.update((packed,))
 
     def close(self) -> None:
         pass
 
 
-def versions_of(updates: DataFrame, suffixes: Suffixes) -> DataFrame:
-    """Streaming updates to the versions that arise and the updates refused: (domain, seq, reason, columns)."""
+def _packed_versions(updates: DataFrame, suffixes: Suffixes) -> DataFrame:
     conf = updates.sparkSession.conf
     if conf.get(PROVIDER, "") != ROCKSDB:
         raise ValueError(f"set {PROVIDER} to {ROCKSDB}, as state_session() does")
     ready = suffix_of(registered_by_resolution(updates), "domain", suffixes, "_suffix")
-    string, long = T.StringType(), T.LongType()
-    out = _struct(T.StructField("domain", string), T.StructField("seq", long), T.StructField("reason", string))
-    return ready.groupBy("domain").transformWithState(CurrentRow(), out, "append", "none")
+    slim = ready.select("domain", "seq", F.array_join("fields", ",").alias("fields"), "_suffix", _packed(_value_cols()).alias("packed"))
+    return slim.groupBy("domain").transformWithState(CurrentRow(), "domain string, seq bigint, reason string, packed string", "append", "none")
+
+
+def versions_of(updates: DataFrame, suffixes: Suffixes) -> DataFrame:
+    """Streaming updates to the versions that arise and the updates refused: (domain, seq, reason, columns)."""
+    return _unpacked(_packed_versions(updates, suffixes), _value_cols(), ["domain", "seq", "reason"])
 
 
 def stream_versions(messages: DataFrame, store: VersionStore, checkpoint: str, suffixes: Suffixes, type_names: Mapping[str, str] | None = None,
@@ -108,15 +132,14 @@ def stream_versions(messages: DataFrame, store: VersionStore, checkpoint: str, s
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            versions = batch.where(F.col("reason").isNull()).drop("reason")
-            refused = batch.where(F.col("reason").isNotNull())
-            store.append(versions, batch_id)
+            versions, refused = batch.where(F.col("reason").isNull()), batch.where(F.col("reason").isNotNull())
+            store.append(_unpacked(versions, _value_cols(), ["domain", "seq"]), batch_id)
             store.side_output(refused.select("seq", F.col("domain").alias("key"), F.lit(None).cast("string").alias("value"), "reason"), "refused", batch_id)
-            store.side_output(follow_ups(versions, suffixes), "requests", batch_id)
+            store.side_output(follow_ups(_unpacked(versions, ["modified_by"], ["domain"]), suffixes), "requests", batch_id)
         finally:
             batch.unpersist()
 
-    upsert = (versions_of(good, suffixes).writeStream.foreachBatch(run).outputMode("append").option("checkpointLocation", f"{checkpoint}/versions"))
+    upsert = (_packed_versions(good, suffixes).writeStream.foreachBatch(run).outputMode("append").option("checkpointLocation", f"{checkpoint}/versions"))
     unread = (bad.writeStream.format("parquet").outputMode("append").option("path", f"{store.root}/quarantine")
               .option("checkpointLocation", f"{checkpoint}/quarantine"))
     return upsert.trigger(**trigger).start(), unread.trigger(**trigger).start()
@@ -125,4 +148,4 @@ def stream_versions(messages: DataFrame, store: VersionStore, checkpoint: str, s
 def current_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The current table as the state holds it after the last finished batch; no version is read for it."""
     state = spark.read.format("statestore").option("stateVarName", STATE).load(f"{checkpoint}/versions")
-    return state.select(F.col("key.domain").alias("domain"), *[F.col(f"value.{c}").alias(c) for c in _value_cols()])
+    return _unpacked(state.select(F.col("key.domain").alias("domain"), F.col("value.packed").alias("packed")), _value_cols(), ["domain"])
