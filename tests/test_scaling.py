@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from zonewright.operators import enrich, names, ranks
+from zonewright.operators import enrich, merge, names, ranks
 from zonewright.operators.names import Suffixes
 from zonewright.plans import catalog_layouts, catalog_updates
 from zonewright.streaming import streams
@@ -66,3 +66,14 @@ def test_a_batch_is_split_by_its_rows(spark, monkeypatch):
     assert spread.rdd.getNumPartitions() == 11
     assert sorted(r["id"] for r in spread.collect()) == list(range(1_001))
     assert streams._spread(spark.range(50).coalesce(1)).rdd.getNumPartitions() == 1
+
+
+def test_decoded_rows_do_not_carry_the_rules(spark):
+    sent = spark.range(4).select(F.col("id").alias("seq"), F.format_string("a%d.com", "id").alias("key"), F.format_string('{"type":"Bad%d"}', "id").alias("value"),
+                                 F.timestamp_seconds("id").alias("arrived"))
+    for frame in merge.decode_updates(sent):
+        todo = [frame._jdf.queryExecution().optimizedPlan()]
+        while todo:
+            node = todo.pop()
+            assert "required:" not in node.schema().simpleString()
+            todo += [node.children().apply(i) for i in range(node.children().size())]

@@ -69,7 +69,7 @@ def _misfit(raw: Column, kind: Column) -> Column:
 
 def _problems(raw: Column, domain: Column) -> Column:
     """List of reasons why a message is no valid update of its type."""
-    rules = F.element_at(F.col("_rules"), raw["type"])
+    rules = F.element_at(_rules(), raw["type"])  # not by way of a column: that would write all rules beside every row
 
     def judge(f: Column) -> Column:
         given, there = raw[f["key"]], F.map_contains_key(raw, f["key"])
@@ -146,7 +146,7 @@ def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = N
         renamed = F.create_map(*[F.lit(x) for pair in type_names.items() for x in pair])
         kind = F.coalesce(renamed[kind], kind)
     named = F.map_concat(F.map_filter("_json", lambda k, _: k != "type"), F.create_map(F.lit("type"), kind))
-    base = once(base, _raw=F.when(F.col("_json").isNotNull(), named)).withColumn("_rules", _rules())
+    base = once(base, _raw=F.when(F.col("_json").isNotNull(), named))
     raw = F.col("_raw")
     domain = F.lower(F.coalesce(F.col("key"), raw["domain"]))
     checked = once(base, _problems=_problems(raw, domain))

@@ -1,7 +1,7 @@
 """Current row per domain as keyed state: a micro-batch reads the state of the names it touches and nothing else.
 
 The state is kept by Spark's RocksDB store below the checkpoint, split by key hash and saved per batch, so a restart goes on
-where the last finished batch ended, whatever the size of the table.
+where the last finished batch ended, whatever the size of the table. A row is kept as one packed text; state of another layout is not read.
 """
 
 from __future__ import annotations
