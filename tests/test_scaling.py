@@ -1,9 +1,15 @@
 """Work is done once and shuffles move no more than they need: results with the plans or counts behind them."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
-from zonewright.operators import enrich, merge, names, ranks
+from zonewright import schema
+from zonewright.functions import text
+from zonewright.operators import enrich, extract_whois, merge, names, ranks, skew
 from zonewright.operators.names import Suffixes
+from zonewright.operators.once import once
 from zonewright.plans import catalog_layouts, catalog_updates
 from zonewright.streaming import streams
 
@@ -77,3 +83,65 @@ def test_decoded_rows_do_not_carry_the_rules(spark):
             node = todo.pop()
             assert "required:" not in node.schema().simpleString()
             todo += [node.children().apply(i) for i in range(node.children().size())]
+
+
+def _sent(spark, docs):
+    rows = [(i, "a.com", d if isinstance(d, str) else json.dumps(d)) for i, d in enumerate(docs)]
+    return spark.createDataFrame(rows, "seq bigint, key string, value string").withColumn("arrived", F.timestamp_seconds(F.lit(0)))
+
+
+def test_rules_of_messages_are_compiled(spark):
+    """Reasons as before, from expressions that call no function per rule (functions of arrays are interpreted)."""
+    pi = dict(type="PIResult", visits_12m=1, hits_12m=2, visits_arr_12m=[1], last_visit_date="2024-01-01", hits_geo="A", pi_rank=3)
+    nx = dict(type="RDAPNXResult", registered=False)
+    docs = {"": pi, "missing pi_rank": {k: v for k, v in pi.items() if k != "pi_rank"}, "null hits_geo; bad pi_rank": {**pi, "hits_geo": None, "pi_rank": "x"},
+            "bad visits_arr_12m; bad last_visit_date": {**pi, "visits_arr_12m": 1, "last_visit_date": "2024"}, "null registered": {**nx, "registered": None},
+            "bad registered; bad rdap_scraped": {**nx, "registered": "perhaps", "rdap_scraped": "soon"}, "bad pi_import_date": {**pi, "pi_import_date": "soon"},
+            "not a JSON object": "[{}]", "unknown type": {}}
+    bad = merge.decode_updates(_sent(spark, docs.values()))[1]
+    assert {r["seq"]: r["reason"] for r in bad.collect()} == {i: r for i, r in enumerate(docs) if r}
+    assert "lambda" not in bad._jdf.queryExecution().optimizedPlan().toString()
+    rdap = [f for f in schema.UPDATE_TYPES["RDAPResult"].fields if f.required]
+    got = merge.decode_updates(_sent(spark, [{"type": "RDAPResult", **{f.key: None for f in rdap}}, {"type": "RDAPResult"}]))[1].orderBy("seq").collect()
+    assert got[0]["reason"] == "; ".join(f"null {f.key}" for f in rdap if not f.nullable)  # a member that is there may be NULL
+    assert got[1]["reason"] == "; ".join(f"missing {f.key}" for f in rdap)
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        merge.decode_updates(_sent(spark, ['{"type":"RDAPNXResult","registered":false,"registered":true}']))[0].collect()
+
+
+def test_values_made_once_stand_below_the_generator(spark):
+    df = once(spark.range(3), _a=F.col("id") * 2, _b=F.transform(F.array("id"), lambda x: x + 1))
+    assert [(r["id"], r["_a"], r["_b"]) for r in df.where("_a > 0").orderBy("id").collect()] == [(1, 2, [2]), (2, 4, [3])]
+    plan = df.where("_a > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline(array(_once" in plan and plan.count("* 2") == 1
+
+
+def test_whole_updates_are_encoded_as_those_in_parts(spark):
+    """One JSON expression per update where it carries its whole type; the text is that of column by column."""
+    docs = [dict(type="RDAPNXResult", registered=False), dict(type="OwnershipResult", pm_username=None, pm_blacklisted=None),
+            dict(type="DNSResult", addr=["1.2.3.4"], ns=['n"s'], txt=[], mx=[], dns_exists=True, rcode="NOERROR", ns_domains=[])]
+    ups = merge.decode_updates(_sent(spark, docs))[0]
+    whole = merge.encode_updates(ups)
+    parts = merge.encode_updates(ups.withColumn("fields", F.reverse("fields")))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+    assert '"pm_username":null' in "".join(r["value"] for r in whole.collect())
+
+
+def test_wide_fold_runs_in_methods_that_are_compiled(spark, monkeypatch):
+    key, inner, seen = "spark.sql.codegen.hugeMethodLimit", skew.in_blocks, []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(skew, "in_blocks", lambda *a, **k: (seen.append(int(spark.conf.get(key))), inner(*a, **k))[1])
+    ups = merge.decode_updates(_sent(spark, [dict(type="RDAPNXResult", registered=False)]))[0]
+    rows, _ = merge.apply_updates(ups.select(*schema.TABLE_COLS).limit(0), ups, Suffixes.of(spark, ["com"]))
+    assert seen == [8000] and spark.conf.get(key) == before and rows.count() == 1
+
+
+def test_known_lines_are_the_label_lines_of_our_fields(spark):
+    own = {label: name for name, labels in extract_whois.LABELS.items() for label in labels}
+    texts = ["Status: a\r\n  Registrar :x\nStatus Reason: y\u2028\xa0Tech Email:\u3000 e:f \x0bAdmin Name: \t\nstatus: low\nStatus:\x85Domain Status:ok", "", ":", None,
+             "".join(f"{s}{label}:{s}v{i}{s}{e}" for i, (label, s, e) in enumerate(zip(own, text.SPACE * 2, text.LINE_ENDS * 9)))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(extract_whois.label_lines(F.col("t")).alias("all"), extract_whois.known_lines(F.col("t")).alias("known"))
+    for r in df.collect():
+        want = None if r["all"] is None else [(own[x["label"]], x["value"]) for x in reversed(r["all"]) if x["label"] in own]
+        assert (r["known"] and [tuple(x) for x in r["known"]]) == want
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") < 8

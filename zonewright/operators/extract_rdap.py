@@ -71,20 +71,18 @@ def _properties(entity: Column, name: str) -> Column:
     return F.filter(entity["card"], lambda p: F.get(p, F.lit(0)) == name)
 
 
-def _first(entity: Column, name: str) -> Column:
-    return F.try_element_at(F.get(_properties(entity, name), F.lit(0)), F.lit(-1))
+def _first(properties: Column) -> Column:
+    return F.try_element_at(F.get(properties, F.lit(0)), F.lit(-1))
 
 
-def _phone(entity: Column) -> Column:
+def _phone(tel: Column, handle: Column) -> Column:
     """Last element of the property; the second one for handles ending in .info."""
-    prop = F.get(_properties(entity, "tel"), F.lit(0))
-    second = entity["handle"].endswith(".info") & (F.size(prop) > 1)
-    return F.when(second, F.get(prop, F.lit(1))).otherwise(F.try_element_at(prop, F.lit(-1)))
+    prop = F.get(tel, F.lit(0))
+    return F.when(handle.endswith(".info") & (F.size(prop) > 1), F.get(prop, F.lit(1))).otherwise(F.try_element_at(prop, F.lit(-1)))
 
 
-def _addresses(entity: Column) -> Column:
-    found = F.transform(_properties(entity, "adr"), lambda p: F.try_element_at(p, F.lit(-1)))
-    return F.when(F.size(found) > 0, found)
+def _addresses(adr: Column) -> Column:
+    return F.when(F.size(adr) > 0, F.transform(adr, lambda p: F.try_element_at(p, F.lit(-1))))
 
 
 def _parts(addresses: Column) -> Column:
@@ -99,22 +97,33 @@ def digested(entities: Column) -> Column:
         found = F.try_element_at(parts, F.lit(-back))
         return F.when(found != "", found)
 
-    plain = F.transform(entities, lambda e: F.struct(
-        e["roles"].alias("roles"), _first(e, "fn").alias("name"), _first(e, "org").alias("organization"),
-        _phone(e).alias("phone"), _first(e, "email").alias("email"), _addresses(e).alias("adr"),
-        _parts(_addresses(e)).alias("parts")))
+    # in steps, so that a card is searched once for each property and an address list is made once
+    cards = F.transform(entities, lambda e: F.struct(
+        e["roles"].alias("roles"), e["handle"].alias("handle"), *[_properties(e, n).alias(n) for n in ("fn", "org", "tel", "email", "adr")]))
+    named = F.transform(cards, lambda e: F.struct(
+        e["roles"].alias("roles"), _first(e["fn"]).alias("name"), _first(e["org"]).alias("organization"),
+        _phone(e["tel"], e["handle"]).alias("phone"), _first(e["email"]).alias("email"), _addresses(e["adr"]).alias("adr")))
+    plain = F.transform(named, lambda e: F.struct(
+        *[e[n].alias(n) for n in ("roles", "name", "organization", "phone", "email", "adr")], _parts(e["adr"]).alias("parts")))
     return F.transform(plain, lambda e: F.struct(
         *[e[n].alias(n) for n in ("roles", "name", "organization", "phone", "email", "adr")],
         part(e["parts"], 3).alias("stateprovince"), part(e["parts"], 1).alias("country")))
 
 
-def contacts(details: Column) -> dict[str, Column]:
+ROLES = {"registrant": "registrant", "admin": "admin", "tech": "tech"}
+
+
+def by_role(details: Column) -> dict[str, Column]:
+    """Details of the entities of each role, under the role's name in our columns."""
+    return {ours: _with_role(details, role) for ours, role in ROLES.items()}
+
+
+def contacts(roles: dict[str, Column]) -> dict[str, Column]:
     """Details of the three roles; a later entity overrides an earlier one with what it has."""
     out: dict[str, Column] = {}
-    for ours, role in (("registrant", "registrant"), ("admin", "admin"), ("tech", "tech")):
-        mine = _with_role(details, role)
+    for ours, mine in roles.items():
         for name in ("name", "organization", "phone", "email", "adr", "stateprovince", "country"):
-            given = F.filter(F.transform(mine, lambda e: e[name]), lambda v: v.isNotNull())
+            given = F.filter(mine[name], lambda v: v.isNotNull())
             out[f"{ours}_{name}"] = F.try_element_at(given, F.lit(-1))
         out[f"{ours}_adr"] = F.coalesce(out[f"{ours}_adr"], F.array().cast("array<string>"))
     return out
@@ -144,11 +153,12 @@ def extract_rdap(captures: DataFrame) -> dict[str, DataFrame]:
 
     docs = once(base.where(F.col("_outcome") == "record").select("domain", "rdap_json"), _doc=parse(F.col("rdap_json")))
     docs = once(once(docs, _open=opened(F.col("_doc"))), _who=digested(F.col("_open")))
+    docs = once(docs, **{f"_of_{n}": c for n, c in by_role(F.col("_who")).items()})
     doc = F.col("_doc")
     raw_dates = parse_columns(doc)
     raw = once(docs, **{f"_{n}": c for n, c in raw_dates.items()}, _id=registrar_id(doc), status=status_list(doc),
                _broken=doc.isNull() | doc["events"].isNull() | doc["entities"].isNull(),
-               **contacts(F.col("_who"))).drop("_doc", "_open", "_who")
+               **contacts({n: F.col(f"_of_{n}") for n in ROLES})).drop("_doc", "_open", "_who", *[f"_of_{n}" for n in ROLES])
     dates = {d: text.iso_timestamp(F.col(f"_{d}")) for d in raw_dates}
     number = F.col("_id").try_cast("bigint")
     reasons = F.array_compact(F.array(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,12 +76,17 @@ def label_lines(body: Column) -> Column:
 
 
 def known_lines(body: Column) -> Column:
-    """(field, value) of the label lines of the fields we keep, the last line first."""
+    """(field, value) of the label lines of the fields we keep, the last line first.
+
+    The same lines as `label_lines` finds, but one pattern picks out ours before any is taken apart.
+    """
     own = [(label, name) for name, labels in LABELS.items() for label in labels]
     field_of = F.create_map(*[F.lit(part) for pair in own for part in pair])
-    known = F.filter(label_lines(body), lambda p: p["label"].isin(*[label for label, _ in own]))
-    return F.reverse(F.transform(known, lambda p: F.struct(
-        F.element_at(field_of, p["label"]).alias("field"), p["value"].alias("value"))))
+    ours = "|".join(re.escape(label) for label, _ in own)
+    known = F.filter(F.split(body, f"[{text.LINE_ENDS}]"), lambda line: line.rlike(f"^[{text.SPACE}]*+(?:{ours}):[{text.SPACE}]*+."))
+    return F.reverse(F.transform(known, lambda line: F.struct(
+        F.element_at(field_of, F.ltrim(F.substring_index(line, ":", 1), F.lit(text.SPACE))).alias("field"),
+        F.trim(F.substr(line, F.locate(":", line) + 1), F.lit(text.SPACE)).alias("value"))))
 
 
 def parse_fields(lines: Column) -> dict[str, Column]:

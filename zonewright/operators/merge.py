@@ -16,6 +16,7 @@ from zonewright.functions import text
 from zonewright.operators import skew
 from zonewright.operators.names import Suffixes, suffix_of
 from zonewright.operators.once import once
+from zonewright.session import compiled_wide
 
 CURRENT_SEQ = -1  # orders the stored row before every update
 
@@ -40,47 +41,37 @@ def _wire_names(column: str) -> list[str]:
     return sorted(names | {column})
 
 
-def _rules() -> Column:
-    """Type name to the list of its fields' rules, as one literal map."""
-    def rule(key: str, kind: str, required: bool, nullable: bool) -> Column:
-        return F.struct(F.lit(key).alias("key"), F.lit(kind).alias("kind"), F.lit(required).alias("required"),
-                        F.lit(nullable).alias("nullable"))
-
-    pairs = []
-    for name, spec in schema.UPDATE_TYPES.items():
-        rules = [rule(f.key, schema.TABLE_TYPES[f.name], f.required, f.nullable) for f in spec.fields]
-        rules += [rule(s, "timestamp", False, True) for s in (*spec.stamps, "last_modified")]
-        rules.append(rule("modified_by", "string", name == "Result", name != "Result"))
-        pairs += [F.lit(name), F.array(*rules)]
-    return F.create_map(*pairs)
-
-
-def _misfit(raw: Column, kind: Column) -> Column:
-    """The text is there but is no value of that kind."""
-    fits = (F.when(kind == "string", F.lit(True))
-            .when(kind == "array<string>", _typed(raw, "array<string>").isNotNull())
-            .when(kind == "array<bigint>", _typed(raw, "array<bigint>").isNotNull())
-            .when(kind == "timestamp", text.iso_timestamp(raw).isNotNull())
-            .when(kind == "date", text.iso_date(raw).isNotNull())
-            .when(kind == "boolean", raw.try_cast("boolean").isNotNull())
-            .otherwise(raw.try_cast("bigint").isNotNull()))
-    return raw.isNotNull() & ~fits
+_WIRES = sorted({w for c in schema.TABLE_COLS for w in _wire_names(c)} | {"type"})
+_TYPED_COLS = [c for c, kind in schema.TABLE_TYPES.items() if kind != "string"]
 
 
-def _problems(raw: Column, domain: Column) -> Column:
-    """List of reasons why a message is no valid update of its type."""
-    rules = F.element_at(_rules(), raw["type"])  # not by way of a column: that would write all rules beside every row
+def _reason(doc: Column, typed: Column, keys: Column, kind: Column, domain: Column) -> Column:
+    """Why a message is no valid update of its type, '' for a valid one.
 
-    def judge(f: Column) -> Column:
-        given, there = raw[f["key"]], F.map_contains_key(raw, f["key"])
-        return (F.when(f["required"] & ~there, F.concat(F.lit("missing "), f["key"]))
-                .when(~f["nullable"] & there & given.isNull(), F.concat(F.lit("null "), f["key"]))
-                .when(_misfit(given, f["kind"]), F.concat(F.lit("bad "), f["key"])))
-
-    found = F.array_compact(F.transform(rules, judge))
-    nameless = F.array_compact(F.array(F.when(F.coalesce(domain, F.lit("")) == "", F.lit("missing domain"))))
-    return (F.when(raw.isNull(), F.array(F.lit("not a JSON object")))
-            .when(rules.isNull(), F.array(F.lit("unknown type"))).otherwise(F.concat(found, nameless)))
+    `doc` has the JSON texts, `typed` their values, `keys` is the JSON as a map, which tells a NULL from an absent member.
+    The rules of a type are written out as one expression, so that Spark compiles them; no function is called per rule.
+    """
+    def judge(key: str, name: str, required: bool, nullable: bool) -> Column:
+        given, there = doc[key], F.map_contains_key(keys, F.lit(key))
+        missing, null, bad = F.lit(f"missing {key}"), F.lit(f"null {key}"), F.lit(f"bad {key}")
+        if required:
+            out = F.when(given.isNull() & ~there, missing) if nullable else F.when(given.isNull(), F.when(there, null).otherwise(missing))
+        else:
+            out = F.when(given.isNull() & there, null) if not nullable else None
+        if name in _TYPED_COLS:
+            value = typed[name] if _wire_names(name) == [key] else _typed(given, schema.TABLE_TYPES[name])
+            misfit = given.isNotNull() & value.isNull()
+            out = F.when(misfit, bad) if out is None else F.coalesce(out, F.when(misfit, bad))
+        return F.lit(None).cast("string") if out is None else out
+
+    out = F.when(keys.isNull(), F.lit("not a JSON object"))
+    nameless = F.when(F.coalesce(domain, F.lit("")) == "", F.lit("missing domain"))
+    for name, spec in schema.UPDATE_TYPES.items():
+        found = [judge(f.key, f.name, f.required, f.nullable) for f in spec.fields]
+        found += [judge(s, s, False, True) for s in (*spec.stamps, "last_modified")]
+        found.append(judge("modified_by", "modified_by", name == "Result", name != "Result"))
+        out = out.when(kind == name, F.concat_ws("; ", *found, nameless))
+    return out.otherwise("unknown type")
 
 
 _LOWERED = {f.name for t in schema.UPDATE_TYPES.values() for f in t.fields if f.lower}
@@ -140,36 +131,39 @@ def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = N
     tag to ours. With `parsed_only` an update carries only the columns present in its JSON; by
     default it carries every column of its type, so an absent optional one becomes NULL.
     """
-    base = once(messages, _json=F.from_json("value", "map<string,string>"))
-    kind = F.col("_json")["type"]
+    # a member that comes twice is an error or not as the session says for maps
+    keys = F.map_from_entries(F.map_entries(F.from_json("value", "map<string,string>")))
+    base = once(messages, _keys=keys)
+    # the members that have a meaning are read by position: looking each of them up in the map would pass over all keys every time
+    shape = ", ".join(f"`{w}` string" for w in _WIRES)
+    base = once(base, _doc=F.when(F.col("_keys").isNotNull(), F.from_json("value", shape)))
+    doc, typed = F.col("_doc"), F.col("_typed")
+    kind = doc["type"]
     if type_names:
         renamed = F.create_map(*[F.lit(x) for pair in type_names.items() for x in pair])
         kind = F.coalesce(renamed[kind], kind)
-    named = F.map_concat(F.map_filter("_json", lambda k, _: k != "type"), F.create_map(F.lit("type"), kind))
-    base = once(base, _raw=F.when(F.col("_json").isNotNull(), named))
-    raw = F.col("_raw")
-    domain = F.lower(F.coalesce(F.col("key"), raw["domain"]))
-    checked = once(base, _problems=_problems(raw, domain))
-    quarantine = (checked.where(F.size("_problems") > 0)
-                  .select("seq", "key", "value", F.array_join("_problems", "; ").alias("reason")))
+    domain = F.lower(F.coalesce(F.col("key"), doc["domain"]))
+    base = once(base, _type=kind, _domain=domain, _typed=F.struct(*[
+        _typed(F.coalesce(*[doc[w] for w in _wire_names(c)]), schema.TABLE_TYPES[c]).alias(c) for c in _TYPED_COLS]))
+    checked = once(base, _reason=_reason(doc, typed, F.col("_keys"), F.col("_type"), F.col("_domain")))
+    quarantine = checked.where(F.col("_reason") != "").select("seq", "key", "value", F.col("_reason").alias("reason"))
 
     def value_of(name: str) -> Column:
         if name == "domain":
-            return domain
-        ddl = schema.TABLE_TYPES[name]
-        return _lowered(name, _typed(F.coalesce(*[raw[w] for w in _wire_names(name)]), ddl))
+            return F.col("_domain")
+        return _lowered(name, typed[name] if name in _TYPED_COLS else F.coalesce(*[doc[w] for w in _wire_names(name)]))
 
-    defaults = _arrival_defaults(F.col("arrived"), raw["type"])
-    defaults["pm_blacklisted"] = F.when(~F.map_contains_key(raw, "pm_blacklisted"), F.col("arrived"))
-    carried = _carried(raw["type"])
+    defaults = _arrival_defaults(F.col("arrived"), F.col("_type"))
+    defaults["pm_blacklisted"] = F.when(~F.map_contains_key("_keys", "pm_blacklisted"), F.col("arrived"))
+    carried = _carried(F.col("_type"))
     if parsed_only:
         wires = F.create_map(*[x for c in schema.TABLE_COLS
                                for x in (F.lit(c), F.array(*[F.lit(w) for w in _wire_names(c)]))])
         always = F.array(*[F.lit(c) for c in defaults])
         carried = F.filter(carried, lambda c: F.array_contains(always, c) | F.exists(
-            wires[c], lambda w: F.map_contains_key(raw, w)))
-    good = checked.where(F.size("_problems") == 0)
-    updates = good.select("seq", raw["type"].alias("type"), carried.alias("fields"), *[
+            wires[c], lambda w: F.map_contains_key("_keys", w)))
+    good = checked.where(F.col("_reason") == "")
+    updates = good.select("seq", F.col("_type").alias("type"), carried.alias("fields"), *[
         F.coalesce(value_of(c), defaults[c]).alias(c) if c in defaults else value_of(c).alias(c)
         for c in schema.TABLE_COLS])
     return updates, quarantine
@@ -178,6 +172,7 @@ def decode_updates(messages: DataFrame, type_names: Mapping[str, str] | None = N
 def encode_updates(updates: DataFrame) -> DataFrame:
     """Typed updates as messages `(key, value)`: lower-case domain, JSON of the carried columns only."""
     cols = [c for c in updates.columns if c in schema.TABLE_TYPES and c != "domain"]
+    nulls = {"ignoreNullFields": "false"}
 
     def wire_name(c: str) -> Column:
         name = F.lit(c)
@@ -188,13 +183,21 @@ def encode_updates(updates: DataFrame) -> DataFrame:
         return name
 
     as_text = [F.when(F.array_contains("fields", c), F.struct(
-        wire_name(c).alias("k"), F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}).alias("v")))
+        wire_name(c).alias("k"), F.to_json(F.struct(F.col(c).alias("v")), nulls).alias("v")))
         for c in cols]
     # each carried column is encoded alone and joined, so an explicit NULL stays visible as null
     pairs = F.transform(F.array_compact(F.array(*as_text)), lambda p: F.concat(
         F.lit('"'), p["k"], F.lit('":'), F.substring(p["v"], 6, F.length(p["v"]) - 6)))
-    head = F.to_json(F.struct("type", F.lower("domain").alias("domain")), {"ignoreNullFields": "false"})
-    body = F.concat(F.lit("{"), F.concat_ws(",", F.substring(head, 2, F.length(head) - 2), pairs), F.lit("}"))
+    domain = F.lower("domain").alias("domain")
+    head = F.to_json(F.struct("type", domain), nulls)
+    part = F.concat(F.lit("{"), F.concat_ws(",", F.substring(head, 2, F.length(head) - 2), pairs), F.lit("}"))
+    # an update of a whole type carries known columns, so it is encoded at once
+    body = F.when(F.lit(False), part)
+    for kind, spec in schema.UPDATE_TYPES.items():
+        wires = {f.name: f.key for f in spec.fields}
+        whole = F.to_json(F.struct("type", domain, *[F.col(c).alias(wires.get(c, c)) for c in cols if c in spec.columns]), nulls)
+        body = body.when((F.col("type") == kind) & (F.col("fields") == F.array(*[F.lit(c) for c in spec.columns])), whole)
+    body = body.otherwise(part)
     return updates.select(F.lower("domain").alias("key"), body.alias("value"))
 
 
@@ -282,15 +285,16 @@ def apply_updates(current: DataFrame, updates: DataFrame, suffixes: Suffixes,
     for the suffix rules, for the ranges of the fold and for the fold itself; they are kept for as long as that takes,
     so that whatever made them (extractors, decoding, lookups) runs once.
     """
-    ruled = registered_by_resolution(updates).persist()
-    kept = [ruled]
-    if enrich is not None:  # reads the updates for the look-up and for the way back
-        ruled = enrich(ruled).persist()
-        kept.append(ruled)
-    usable, rejected = split_unknown_suffix(ruled, current, suffixes)
-    together = schema.carried_together([c for c in schema.TABLE_COLS if c != "domain"]) if whole_types else None
-    versions = merge_updates(current, usable, together=together, blocks=blocks)  # folded and stored when this returns
-    for frame in kept:
-        frame.unpersist()
+    with compiled_wide(updates.sparkSession):
+        ruled = registered_by_resolution(updates).persist()
+        kept = [ruled]
+        if enrich is not None:  # reads the updates for the look-up and for the way back
+            ruled = enrich(ruled).persist()
+            kept.append(ruled)
+        usable, rejected = split_unknown_suffix(ruled, current, suffixes)
+        together = schema.carried_together([c for c in schema.TABLE_COLS if c != "domain"]) if whole_types else None
+        versions = merge_updates(current, usable, together=together, blocks=blocks)  # folded and stored when this returns
+        for frame in kept:
+            frame.unpersist()
     filled = versions.withColumn("tld", F.coalesce(F.when(F.col("tld") != "", F.col("tld")), F.col("_suffix")))
     return filled.drop("_suffix"), rejected

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,26 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+# fixed value: bytes of byte code above which HotSpot never compiles a method, but interprets it for good
+_JIT_LIMIT = 8000
+
+
+@contextmanager
+def compiled_wide(spark: SparkSession) -> Iterator[None]:
+    """For jobs that run inside and whose steps handle the wide table: no generated method is too long to be compiled.
+
+    Spark fuses the steps of a stage into one method, and by default accepts ones that the JVM then only interprets (the fold of
+    the whole table is one). Stages with such a method run step by step instead, each in several short methods.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), _JIT_LIMIT)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df worked out once and kept in the shared folder: later jobs and lost executors start from there."""
     context = df.sparkSession.sparkContext
